@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality
+from . import bpe_automaton, decontaminate, quality, token_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality.query,
     "op4_decontamination": decontaminate.query,
+    "op9_bpe": bpe_automaton.query,
+    "op10_token_shards": token_shards.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": decontaminate.SQL,
