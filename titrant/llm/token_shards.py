@@ -226,7 +226,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-SHARDS = T.StructType.fromDDL("part int, shard int, first_token long, n_docs long, n_tokens long, blob binary")
+SHARDS = T.StructType([T.StructField(n, t) for n, t in (("part", T.IntegerType()), ("shard", T.IntegerType()), ("first_token", T.LongType()), ("n_docs", T.LongType()), ("n_tokens", T.LongType()), ("blob", T.BinaryType()))])
 
 
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, doc: str = "doc_id", text: str = "text", end: int | None = END_ID, shard_tokens: int = SHARD_TOKENS) -> None:
