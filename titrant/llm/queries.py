@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, decontaminate, quality, token_shards
+from . import bpe_automaton, decontaminate, licenses, pii, quality, token_shards, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality.query,
+    "op3_url_filters": url_filter.query,
     "op4_decontamination": decontaminate.query,
+    "op5_license_scans": licenses.query,
+    "op8_pii": pii.query,
     "op9_bpe": bpe_automaton.query,
     "op10_token_shards": token_shards.query,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op3_url_filters": url_filter.sql(),
     "op4_decontamination": decontaminate.SQL,
+    "op5_license_scans": licenses.sql(),
 }
