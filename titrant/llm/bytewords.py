@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 1 << 15
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,7 +146,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     lo = 0
     while lo < len(column):
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
-        hi = min(hi, len(column))
+        hi = min(hi, lo + SLICE_ROWS, len(column))
         yield Slice(lo, hi, flat[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], null[lo:hi])
         lo = hi
 

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, decontaminate, licenses, pii, quality, token_shards, url_filter
+from . import bpe_automaton, decontaminate, licenses, minhash, pii, quality, token_shards, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": minhash.query,
     "op2_quality_rules": quality.query,
     "op3_url_filters": url_filter.query,
     "op4_decontamination": decontaminate.query,
