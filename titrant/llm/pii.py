@@ -281,20 +281,28 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All rows and columns, with the spans of ``text`` masked."""
+def redact(docs: DataFrame, text: str = "text", count: str | None = None) -> DataFrame:
+    """All rows and columns, with the spans of ``text`` masked; ``count``, if given and there, becomes the new number of code points (of a masked text only)."""
     model = train(pattern_counts(docs, text))
+    counted = count if count in docs.columns else None
 
     def make():
         def compute(part: Slice, rows: pa.RecordBatch) -> dict:
             texts = [None if null else part.text(i).decode() for i, null in enumerate(part.null)]
+            sizes = rows.column(rows.schema.names.index(counted)).to_pylist() if counted else []
             for i in candidate_rows(part):
-                texts[i] = masked(texts[i], find(texts[i], model)[1])
-            return {text: texts}
+                spans = find(texts[i], model)[1]
+                if spans:
+                    texts[i] = masked(texts[i], spans)
+                    if counted:
+                        sizes[i] = len(texts[i])
+            return {text: texts} | ({"__count": sizes} if counted else {})
 
         return compute
 
-    return map_text(docs, text, docs.columns, f"`{text}` string", make).select(*[F.col(f"`{c}`") for c in docs.columns])
+    fields = f"`{text}` string" + (f", __count {docs.schema[counted].dataType.simpleString()}" if counted else "")
+    out = map_text(docs, text, docs.columns, fields, make)
+    return out.select(*[F.col("__count").alias(c) if c == counted else F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, decontaminate, licenses, minhash, pii, quality, token_shards, url_filter
+from . import bpe_automaton, chat, decontaminate, html_extract, licenses, minhash, pii, quality, token_shards, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": minhash.query,
@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": url_filter.query,
     "op4_decontamination": decontaminate.query,
     "op5_license_scans": licenses.query,
+    "op6_html_extraction": html_extract.query,
+    "op7_chat_formatting": chat.query,
     "op8_pii": pii.query,
     "op9_bpe": bpe_automaton.query,
     "op10_token_shards": token_shards.query,
