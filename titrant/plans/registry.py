@@ -1,11 +1,11 @@
-"""All registered queries and their SQL."""
+"""All registered queries of the library itself, and their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import rule_queries
+from .common import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-FLAGSHIP = "rank_trend"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+FLAGSHIP = "rules_fired_long"
+_ENTRIES = rule_queries.ENTRIES
+QUERIES: dict[str, Query] = {k: q for k, (q, _) in _ENTRIES.items()}
+ORACLE_SQL: dict[str, str] = {k: s for k, (_, s) in _ENTRIES.items() if s}
