@@ -50,11 +50,19 @@ def similar_pairs(names: DataFrame, name: str = "name", threshold: float = THRES
     """``a, b, ratio`` of names whose ratio, with the lesser name first, reaches the threshold."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher, held = SequenceMatcher(None), None
         for pdf in batches:
-            pdf["ratio"] = [SequenceMatcher(None, a, b).ratio() for a, b in zip(pdf["a"], pdf["b"], strict=True)]
+            ratios = []
+            for a, b in zip(pdf["a"], pdf["b"], strict=True):
+                if b != held:  # what is prepared for the second name serves all that are held against it
+                    matcher.set_seq2(b)
+                    held = b
+                matcher.set_seq1(a)
+                ratios.append(matcher.ratio() if matcher.real_quick_ratio() >= threshold and matcher.quick_ratio() >= threshold else 0.0)
+            pdf["ratio"] = ratios
             yield pdf[pdf["ratio"] >= threshold]
 
-    return candidates(names, name, threshold).mapInPandas(compare, "a string, b string, ratio double")
+    return candidates(names, name, threshold).sortWithinPartitions("b").mapInPandas(compare, "a string, b string, ratio double")
 
 
 def without_pairs(pairs: DataFrame, forbidden: Sequence[Sequence[str]]) -> DataFrame:

@@ -40,7 +40,7 @@ def rank_names(rows: DataFrame, paper: str, year: str, name: str, where: Column
     if last_year:
         used = used.filter(F.col("y") <= last_year)
     per_year = used.groupBy("y").agg(F.count_distinct("p").alias("papers"))
-    distinct = used.filter("n <> ''").groupBy("n", "y", "p").agg()
+    distinct = used.filter("n <> ''").distinct()
     per_name_year = distinct.groupBy("n", "y").agg(F.count("*").alias("c"))
     total = distinct.select("n", "p").groupBy("n").agg(F.count_distinct("p").alias("n_papers_total"))
     # there is one row per calendar year in per_year

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import rule_queries
+from . import corpus_queries, record_queries, rule_queries
 from .common import Query
 
-FLAGSHIP = "rules_fired_long"
-_ENTRIES = rule_queries.ENTRIES
+FLAGSHIP = "rank_trend"
+_ENTRIES = corpus_queries.ENTRIES | rule_queries.ENTRIES | record_queries.ENTRIES
 QUERIES: dict[str, Query] = {k: q for k, (q, _) in _ENTRIES.items()}
 ORACLE_SQL: dict[str, str] = {k: s for k, (_, s) in _ENTRIES.items() if s}
