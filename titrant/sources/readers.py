@@ -26,7 +26,7 @@ def json_documents(spark: SparkSession, folder: str, schema: T.StructType) -> Da
 
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``key, doc VARIANT``: where properties may be bare or sourced."""
-    text = spark.read.option("wholetext", True).text(folder)
+    text = spark.read.text(folder, wholetext=True)
     return text.select(stem(F.col("_metadata.file_name")).alias("key"), F.parse_json("value").alias("doc"))
 
 
@@ -65,4 +65,4 @@ def xml_papers(spark: SparkSession, folder: str) -> DataFrame:
 
 def sheet_texts(spark: SparkSession, folder: str) -> DataFrame:
     """``key, text``: sheets whose text was extracted before; pages that have none are empty."""
-    return spark.read.option("wholetext", True).text(folder).select(stem(F.col("_metadata.file_name")).alias("key"), F.coalesce("value", F.lit("")).alias("text"))
+    return spark.read.text(folder, wholetext=True).select(stem(F.col("_metadata.file_name")).alias("key"), F.coalesce("value", F.lit("")).alias("text"))
