@@ -23,5 +23,5 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: lineage is cut, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
