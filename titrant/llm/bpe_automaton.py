@@ -152,7 +152,8 @@ class WordTokenizer:
 
     def _entries(self, words: list[bytes]) -> list:
         alphabet, encode = self.alphabet, self.automaton.encode
-        return [self._entry(encode(w.decode() if w.isascii() else "".join([alphabet[b] for b in w]))) for w in words]
+        # printable ASCII stands for itself in the alphabet
+        return [self._entry(encode(w.decode() if w.isascii() and w.decode().isprintable() else "".join([alphabet[b] for b in w]))) for w in words]
 
     def encode_text(self, text: str) -> list[int]:
         out: list[int] = []
