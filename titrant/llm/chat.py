@@ -2,7 +2,7 @@
 
 A legal conversation has at most one system turn, at its start, and then user and assistant in turn, user first; it may
 end with either. The automaton's state is the role of the last turn. Each input turn is kept, relabelled (``RELABEL``;
-``UNKNOWN`` if its role is none of the three), merged into the turn before (``MERGE``, beside any relabelling) or
+``UNKNOWN`` if its role is none of the three and it becomes user or assistant), merged into the turn before (``MERGE``, beside any relabelling) or
 preceded by an empty turn of the missing role (``INSERT``); dynamic programming finds the cheapest legal sequence. Ties
 go to the first of: keep or relabel, merge, insert; and to the roles in the order of ``ROLES``.
 
@@ -50,7 +50,7 @@ def _steps() -> list[list[list[Step | None]]]:
         for s in range(STATES):
             options: list[Step] = []
             for role in range(3):
-                change = 0 if role == given else UNKNOWN if given == 3 else RELABEL
+                change = 0 if role == given else UNKNOWN if given == 3 and ROLES[role] != "system" else RELABEL
                 name = "keep" if role == given else "relabel"
                 if role in NEXT[s]:
                     options.append((change, name, role, -1))
