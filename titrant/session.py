@@ -26,3 +26,24 @@ def configure(spark: SparkSession) -> SparkSession:
         if not key.startswith("spark.sql.adaptive"):
             spark.conf.set(key, value)
     return spark
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package: it goes to every executor with the session's files, once, unless PYTHONPATH has it for all."""
+    import os
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    context = spark.sparkContext
+    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_titrant_shipped", False):
+        return spark
+    target = Path(tempfile.mkdtemp(prefix="titrant-")).resolve() / "titrant.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*")):
+            if f.suffix in (".py", ".yaml"):
+                z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._titrant_shipped = True
+    return spark
