@@ -12,32 +12,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 from titrant.llm import bpe_automaton, decontaminate, minhash, pii, quality
 from titrant.llm.storage import settled
+from titrant.session import ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
+    ship(spark)
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays: that with the least doc_id."""
+    ship(spark)
     return minhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go."""
+    ship(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked in the text, and n_chars follows it."""
+    ship(spark)
     return pii.redact(docs, count="n_chars")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, number of tokens, digests of the ids and of the text that they decode to."""
+    ship(spark)
     return bpe_automaton.digests(docs)
 
 
