@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.first_match import blank_to_null, first_match
 from ..functions.text import lookup_key
 from ..schemas import FIRST_FLAGS, FLAGS, SOURCED, TIERS
+from .lookups import one_per_key
 
 NOT_ASSESSED = "not_yet_assessed"
 SOURCES_TYPE = "array<struct<type:string,ref:string,agrees:boolean>>"
@@ -66,8 +67,7 @@ def union_sources(old: Column, new: Column) -> Column:
 
 def union_long(rows: DataFrame, keys: Sequence[str] = ("key", "flag"), order: Sequence[str] = ("ord",)) -> DataFrame:
     """Long rows without later repeats of a type and reference."""
-    w = Window.partitionBy(*keys, "type", "ref").orderBy(*order)
-    return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    return one_per_key(rows, [*keys, "type", "ref"], [F.col(c) for c in order])
 
 
 def settled_value(value: Column, new_agrees: Column) -> Column:

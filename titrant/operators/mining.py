@@ -43,8 +43,7 @@ def rank_names(rows: DataFrame, paper: str, year: str, name: str, where: Column
     distinct = used.filter("n <> ''").distinct()
     per_name_year = distinct.groupBy("n", "y").agg(F.count("*").alias("c"))
     total = distinct.select("n", "p").groupBy("n").agg(F.count_distinct("p").alias("n_papers_total"))
-    # there is one row per calendar year in per_year
-    joined = per_name_year.join(F.broadcast(per_year), "y").withColumn("f", F.col("c") / F.col("papers"))
+    joined = per_name_year.join(per_year, "y").withColumn("f", F.col("c") / F.col("papers"))
     per_name = joined.groupBy("n").agg(
         F.array_sort(F.collect_list(F.struct("y", "c", "f"))).alias("years"), F.round(F.avg("f"), 6).alias("mean_norm_freq"),
         F.when(F.count("*") >= min_points, F.round(F.regr_slope(F.col("f"), F.col("y").cast("double")), 8)).alias("trend_slope"),
@@ -147,10 +146,17 @@ def parse_funnel(papers: DataFrame, rows: DataFrame, category: str = "") -> Data
 
     ``papers``: ``pmcid, found, xml_ok, tables``; ``rows``: ``pmcid, category``.
     """
-    p = papers.agg(F.count("*").alias("selected"), F.count_if(~F.col("found")).alias("missing"), F.count_if(F.col("found")).alias("parsed"), F.count_if(F.col("xml_ok")).alias("xml_ok"), F.count_if(F.col("tables") > 0).alias("with_table"))
     keep = F.lower("category").contains(category.lower()) if category else F.lit(True)
-    r = rows.agg(F.count("*").alias("raw_rows"), F.count_if(keep).alias("kept_rows"), F.count_distinct(F.when(keep, F.col("pmcid"))).alias("papers_with_rows"))
-    return p.join(r, F.lit(True)).withColumn("table_pct", F.round(100 * F.col("with_table") / F.greatest("parsed", F.lit(1)), 1))  # one row each
+    flag = lambda c, name: c.cast("int").alias(name)
+    one = F.lit(True)
+    both = papers.select(flag(one, "p"), flag(F.col("found"), "found"), flag(F.col("xml_ok"), "xml"), flag(F.col("tables") > 0, "table"))
+    both = both.unionByName(rows.select(flag(one, "r"), flag(keep, "kept"), F.when(keep, F.col("pmcid")).alias("k")), allowMissingColumns=True)
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).cast("long")
+    out = both.agg(
+        total("p").alias("selected"), (total("p") - total("found")).alias("missing"), total("found").alias("parsed"), total("xml").alias("xml_ok"), total("table").alias("with_table"),
+        total("r").alias("raw_rows"), total("kept").alias("kept_rows"), F.count_distinct("k").alias("papers_with_rows"),
+    )
+    return out.withColumn("table_pct", F.round(100 * F.col("with_table") / F.greatest("parsed", F.lit(1)), 1))
 
 
 def forward_fill(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, is_heading: Column | None = None) -> DataFrame:

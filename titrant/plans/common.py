@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 Entry = tuple[Query, str | None]
@@ -19,6 +20,12 @@ def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def times(df: DataFrame, rows: list[tuple], **kinds: str) -> DataFrame:
+    """Every row of ``df`` with each of a few literal ones, without a join."""
+    items = [F.struct(*[F.lit(v).cast(k).alias(n) for v, (n, k) in zip(r, kinds.items(), strict=True)]) for r in rows]
+    return df.select("*", F.inline(F.array(*items)))
+
+
 def quoted(value: object) -> str:
     if value is None:
         return "NULL"

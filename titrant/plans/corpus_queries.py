@@ -14,7 +14,7 @@ from ..functions import classify, sheet, text
 from ..operators import fuzzy, mining, rules, tables
 from ..sources.folders import shared
 from ..streaming import incremental
-from .common import Entry, quoted, sql_values, table, values
+from .common import Entry, quoted, sql_values, table, times, values
 
 
 def name_rows(spark, sf_dir) -> DataFrame:
@@ -80,8 +80,8 @@ CATALOGS = ["Cat# A123", "cat #77", "# 9-1", "  cat#Cat#5", "X-12", "#", "CAT  #
 
 
 def clean_catalogs(spark, sf_dir):
-    rows = values(spark, [(c,) for c in CATALOGS], "raw string")
-    return table(spark, sf_dir, "region").select("r_regionkey").join(rows, F.lit(True)).select("r_regionkey", "raw", text.clean_catalog(F.col("raw")).alias("catalog"))
+    rows = times(table(spark, sf_dir, "region").select("r_regionkey"), [(c,) for c in CATALOGS], raw="string")
+    return rows.select("r_regionkey", "raw", text.clean_catalog(F.col("raw")).alias("catalog"))
 
 
 NAMES = [
@@ -110,8 +110,8 @@ HEADINGS = [
 
 
 def heading_categories(spark, sf_dir):
-    rows = values(spark, HEADINGS, "k int, a string, b string, c string")
-    return table(spark, sf_dir, "region").select("r_regionkey").join(rows, F.lit(True)).select("r_regionkey", "k", classify.heading_category(F.array("a", "b", "c")).alias("category"))
+    rows = times(table(spark, sf_dir, "region").select("r_regionkey"), HEADINGS, k="int", a="string", b="string", c="string")
+    return rows.select("r_regionkey", "k", classify.heading_category(F.array("a", "b", "c")).alias("category"))
 
 
 def header_roles(spark, sf_dir):
@@ -217,7 +217,7 @@ PRESSURES = ["57.26 hPa (67.3 °F)", "< 0.1 hPa (25 °C)", "No data available",
 
 def numeric_parse(spark, sf_dir):
     rows = [(t, "t") for t in TEMPERATURES] + [(p, "p") for p in PRESSURES] + [("1,412 mPa.s", "v"), ("4.9 mPas", "v"), ("no data 5 mPa.s", "v")]
-    v = values(spark, rows, "raw string, kind string").join(table(spark, sf_dir, "region").select("r_regionkey"), F.lit(True))
+    v = times(table(spark, sf_dir, "region").select("r_regionkey"), rows, raw="string", kind="string")
     number = F.when(F.col("kind") == "t", sheet.temperature(F.col("raw"))).when(F.col("kind") == "p", sheet.vapor_pressure(F.col("raw"))).otherwise(sheet.viscosity(F.col("raw")))
     return v.select("r_regionkey", "kind", "raw", number.alias("number"))
 
