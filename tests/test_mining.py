@@ -77,3 +77,15 @@ def test_lookups(spark):
     out = lookups.crosswalk(rows, cache)
     assert [(r.k, r.cas, r.cas_method) for r in out.orderBy("k").collect()] == [(1, "c5", "sid"), (2, None, "miss"), (3, None, "not_queried"), (4, "ca", "cid")]
     assert tuple(lookups.coverage(out).first()) == (4, 2, 1, 1)
+
+
+def test_services(spark):
+    from titrant.operators import services
+
+    papers = spark.createDataFrame([("a", ARTICLE), ("b", "<x/>"), ("c", None)], "pmcid string, xml string")
+    assert {tuple(r) for r in services.valid_articles(papers).collect()} == {("a", True), ("b", False), ("c", False)}
+    rows = spark.createDataFrame([("Cat# 1",), ("2",), ("",), ("3",)], "identifier string")
+    known = spark.createDataFrame([("1", 10, 1), ("1_SIAL", 11, 1), ("1_SIGMA", 12, 2), ("2", None, 1)], "registry_id string, cid long, compound_type int")
+    assert {tuple(r) for r in services.substance_of(rows, known).collect()} == {("Cat# 1", 11), ("2", None), ("", None), ("3", None)}
+    hits = spark.createDataFrame([("k", 1, 0, True, "late"), ("k", 0, 5, True, "early"), ("k", 0, 1, False, "no")], "key string, query_ord int, hit_ord int, reviewed boolean, accession string")
+    assert services.first_reviewed(hits).first().accession == "early"
