@@ -117,14 +117,13 @@ def test_url_filter(spark):
 
 
 def test_globs():
-    import fnmatch
     import re
 
     rng = random.Random(1)
     globs = ["a*b", "**/x", "*.c/*", "ab", "*", "**", "a**", "*b*/**", "/"] + ["".join(rng.choice("ab/*") for _ in range(rng.randint(1, 9))).replace("***", "*") for _ in range(60)]
     texts = ["".join(rng.choice("ab/.cx") for _ in range(rng.randint(0, 9))) for _ in range(400)]
     machine = url_filter.GlobSet(globs)
-    assert machine.width > 1 and fnmatch
+    assert machine.width > 1
     (part,) = slices(pa.array(texts))
     got = machine.match(part)
     for i, t in enumerate(texts):
