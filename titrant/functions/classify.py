@@ -36,8 +36,9 @@ HEADER_ECHOES = ("reagent or resource", "reagent", "resource", "reagent/resource
 
 
 def canonical_category(c: Column, ascii_only: bool = False) -> Column:
-    form = match_form(c, ascii_only)
-    return first_match([(any_of([all_of([form.contains(a) for a in anchors]) for anchors in sets]), name) for name, sets in CATEGORIES])
+    named = lambda form: first_match([(any_of([all_of([form.contains(a) for a in anchors]) for anchors in sets]), name) for name, sets in CATEGORIES])
+    # bound to a variable, so that it is made once and not for every word
+    return F.get(F.transform(F.array(match_form(c, ascii_only)), named), F.lit(0))
 
 
 def is_filler(cell: Column, first: Column) -> Column:

@@ -20,12 +20,12 @@ from .common import Entry, quoted, sql_values, table, times, values
 def name_rows(spark, sf_dir) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").cast("string").alias("year"))
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.concat(F.upper("p_name"), F.lit("  ("), F.col("p_type"), F.lit(")")).alias("name"))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), text.normalize_name(F.concat(F.upper("p_name"), F.lit("  ("), F.col("p_type"), F.lit(")")), True).alias("name"))  # once a part, not once a line
     return lines.join(orders, "l_orderkey").join(parts, "l_partkey").select(F.col("l_orderkey").alias("paper"), "year", "name")
 
 
 def ranked(spark, sf_dir, **options) -> DataFrame:
-    return mining.rank_names(name_rows(spark, sf_dir), "paper", "year", "name", ascii_only=True, **options)
+    return mining.rank_names(name_rows(spark, sf_dir), "paper", "year", "name", normalized=True, **options)
 
 
 _SHOWN = ("normalized_name", "n_papers_total", "years_active", "mean_norm_freq", "trend_slope")
@@ -126,8 +126,8 @@ WORDS = (("the", r"\bthe\b"), ("quoted", r"\bof the\b"), ("number", r"\d{3,}"),
 
 def phrase_hits(spark, sf_dir) -> DataFrame:
     """Which of some patterns each whole text has, and what it says first there."""
-    rows = [F.when(sheet.snippet(F.col("text"), p).isNotNull(), F.struct(F.lit(n).alias("phrase"), sheet.snippet(F.col("text"), p).alias("snippet"))) for n, p in WORDS]
-    return table(spark, sf_dir, "documents").select("doc_id", F.inline(F.array_compact(F.array(*rows))))
+    rows = F.array(*[F.struct(F.lit(n).alias("phrase"), sheet.snippet(F.col("text"), p).alias("snippet")) for n, p in WORDS])
+    return table(spark, sf_dir, "documents").select("doc_id", F.inline(F.filter(rows, lambda r: r["snippet"].isNotNull())))
 
 
 def phrase_scan(spark, sf_dir):
@@ -262,7 +262,8 @@ ARTICLE = """<article><sec><title>Key resources table</title><table-wrap><table>
 
 
 def articles(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("pmcid"), F.when(F.col("p_partkey") % 10 == 9, F.lit("<broken")).otherwise(F.replace(F.lit(ARTICLE), F.lit("{name}"), F.col("p_name"))).alias("xml"))
+    parts = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")  # articles are made of one small file, which would be one task
+    return parts.select(F.col("p_partkey").cast("string").alias("pmcid"), F.when(F.col("p_partkey") % 10 == 9, F.lit("<broken")).otherwise(F.replace(F.lit(ARTICLE), F.lit("{name}"), F.col("p_name"))).alias("xml"))
 
 
 def grid_expand(spark, sf_dir):
