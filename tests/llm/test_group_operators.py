@@ -60,6 +60,40 @@ def test_minhash_classes(spark, near_copies):
     assert set(per_class) == {r.class_id for r in got} and set(per_class.values()) == {1}
 
 
+def test_minhash_verifies_whole_buckets(spark, monkeypatch):
+    """Texts of common passages share large buckets; what neither hub nor neighbours link is found all the same, in any blocks."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passages = [" ".join(word() for _ in range(12)) for _ in range(24)]
+    rows = []
+    for _ in range(12):
+        base = rng.sample(range(24), 13)
+        for _ in range(10):
+            mix = list(base)
+            for _ in range(rng.randint(0, 3)):
+                mix[rng.randrange(len(mix))] = rng.randrange(24)
+            rows.append((len(rows), " ".join(passages[k] for k in mix)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_classes(rows, minhash.word_weights(frame))
+    monkeypatch.setattr(minhash, "neighbours", lambda labelled: labelled.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")))
+    for block in (256, 4):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        assert sorted((r.doc_id, r.class_id) for r in minhash.classes(frame).collect()) == want
+
+
+def test_block_links_are_all_pairs():
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[k : k + 40]) for k in range(0, 20, 2)] + [" ".join(rng.sample(base, 40)) for _ in range(5)]
+    weights = np.ones(minhash.BUCKETS)
+    n, apart = len(texts), np.arange(len(texts))
+    links = lambda mine: minhash.block_links(0, mine, apart, apart, np.zeros((n, minhash.BANDS), np.int64), pa.array(texts), weights, minhash.THRESHOLD)
+    want = {d for d, c in brute_classes(list(enumerate(texts)), weights) if c == 0}
+    assert len(want) == 10 and {x for link in links(np.zeros(n, int)) for x in link} == want
+    assert all((a + b) % 2 for a, b in links(apart % 2)) and links(apart % 2)
+    assert minhash.block_links(3, np.zeros(n, int), apart, apart, np.zeros((n, minhash.BANDS), np.int64), pa.array(texts), weights, minhash.THRESHOLD) == []
+
+
 def test_minhash_edge_cases(spark, awkward, empty):
     assert minhash.classes(empty).count() == 0
     kept = minhash.keep_one(awkward.withColumn("kept", F.lit(1)))

@@ -10,12 +10,14 @@ Each of ``RUNS`` runs deals the shingles to ``BINS`` bins by hash and takes an i
 each bin; an empty bin borrows from others by hash. Equal samples are as likely as the weighted Jaccard similarity.
 ``BANDS`` bands of ``ROWS`` samples give the candidates: a pair at 0.8 is missed with probability below 1e-4.
 
-Texts with equal words are one node from the start. Within a bucket, members aren't paired with each other: each is held
-against the bucket's hub, the member that shares most buckets. Then members are held against the ``NEAR`` before them
-in the bucket, sorted by their sketches, which brings the most similar together, in another order in each band; pairs
-similar to the same hub, and those whose sketch rules the similarity out (which it does to a true link with probability below
-1e-3), are left out. So candidates grow with the members of buckets and not with their pairs. Verified links give
-components; a class is a component.
+Texts with equal words are one node from the start. Most links are found cheaply: in a bucket, each member is held
+against the hub, the member that shares most buckets, then against the ``NEAR`` before it in sketch order, another order
+in each band, unless the sketch makes the similarity unlikely or both are similar to the same hub. The last round is
+exact: in buckets whose members lie in several components of the links so far, every pair of members of different
+components is verified, without regard to sketches, in the first band that the two share. It works in blocks of
+a bucket: each pair of blocks meets in one task, with texts, and only links leave it. So no row stands for a pair, but
+rows of a bucket with m members grow as m * m / ``BLOCK``, and the time to verify with the pairs that no link spares.
+Verified links give components; a class is a component.
 
 Edge cases: a null or wordless text is a class of its own (so is each of several such rows). Repeated rows are copies.
 The class id is the least doc_id of the class; ``kept`` marks one row of each class (the first with that id). An empty
@@ -43,6 +45,8 @@ SKETCH_LONGS = RUNS * BINS * 4 // 64
 #: The least similarity that a sketch may suggest for neighbours to be verified: over three deviations below the threshold.
 SKETCH_LEAST = 0.67
 NEAR = 2
+#: For the exact round: about so many members, and bytes of text, of a bucket make a block.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 SIGNATURE = "__n long, __k1 long, __k2 long, __bands array<long>, __sketch array<long>"
 
 
@@ -225,8 +229,67 @@ def neighbours(labelled: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def block_links(band: int, mine: np.ndarray, nodes: np.ndarray, roots: np.ndarray, bands: np.ndarray, texts: pa.Array, weights: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links among members of one bucket that stand in different blocks, or in the only one (``mine``: each one's block).
+
+    Every pair is verified but those in one component (by ``roots`` or links found here) and those that share an earlier band.
+    """
+    found = [(r + part.lo, ids, w) for part in slices(texts) for r, ids, w, *_ in [vectors(part, weights)]]
+    rows, ids, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+    edge = np.searchsorted(rows, np.arange(len(nodes) + 1))
+    kinds, at = np.unique(ids, return_inverse=True)
+    total = np.bincount(rows, weight, len(nodes))
+    label, dense, alone, out = roots.copy(), np.zeros(len(kinds)), len(np.unique(mine)) == 1, []
+    for i in range(len(nodes)):
+        j = np.arange(i + 1, len(nodes))
+        # no two texts are more similar than their weights are
+        j = j[(label[j] != label[i]) & (alone | (mine[j] != mine[i])) & (np.minimum(total[j], total[i]) >= (threshold - 1e-9) * np.maximum(total[j], total[i]))]
+        j = j[~(bands[j, :band] == bands[i, :band]).any(1)]
+        if not len(j):
+            continue
+        own = slice(edge[i], edge[i + 1])
+        dense[at[own]] = weight[own]
+        sizes = edge[j + 1] - edge[j]
+        begin = np.cumsum(sizes) - sizes
+        flat = np.repeat(edge[j] - begin, sizes) + np.arange(sizes.sum())
+        common = np.add.reduceat(np.minimum(dense[at[flat]], weight[flat]), begin)
+        dense[at[own]] = 0
+        score = common / (total[i] + total[j] - common)
+        for k in j[score >= threshold - 1e-9].tolist():
+            other = slice(edge[k], edge[k + 1])
+            if label[k] != label[i] and weighted_jaccard((ids[own], weight[own]), (ids[other], weight[other])) >= threshold:
+                out.append((int(nodes[i]), int(nodes[k])))
+                label[label == label[k]] = label[i]
+    return out
+
+
+def remaining(members: DataFrame, texts: DataFrame, roots: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
+    """The links ``a, b`` that join what ``roots`` (``node, root``) leaves apart: see the exact round above."""
+    held = members.sparkSession.sparkContext.broadcast(weights)
+    labelled = members.select("band", "h", "node").join(texts.select(F.col("rid").alias("node"), "size").hint("merge"), "node")
+    labelled = settled(labelled.join(roots.hint("merge"), "node", "left").select("band", "h", "node", "size", F.coalesce("root", "node").alias("root")), "labelled")
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("long")
+    mixed = labelled.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), parts.alias("parts")).filter("lo < hi").select("band", "h", "parts")
+    apart = labelled.join(mixed.hint("merge"), ["band", "h"]).withColumn("mine", F.expr("pmod(xxhash64(node, band), parts)"))
+    apart = settled(apart.select("band", "h", "node", "root", "mine", "parts"), "apart")
+    apart = apart.join(texts.select(F.col("rid").alias("node"), "bands", "body").hint("merge"), "node")
+    apart = apart.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        column = lambda c: table.column(c).combine_chunks()
+        bands = column("bands").flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, BANDS)
+        mine = column("mine").to_numpy(zero_copy_only=False)
+        first, second = key[2].as_py(), key[3].as_py()
+        got: list = []
+        if first == second or len(np.unique(mine)) == 2:
+            got = block_links(key[0].as_py(), mine, column("node").to_numpy(zero_copy_only=False), column("root").to_numpy(zero_copy_only=False), bands, column("body"), held.value, threshold)
+        return pa.table({"a": pa.array([a for a, _ in got], pa.int64()), "b": pa.array([b for _, b in got], pa.int64())})
+
+    return apart.select("band", "h", "x", "y", "node", "root", "mine", "bands", "body").groupBy("band", "h", "x", "y").applyInArrow(run, "a long, b long")
+
+
 def _links(members: DataFrame, texts: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
-    """Verified links ``a, b`` among the nodes of ``members`` (``band, h, node``, buckets of two or more); ``texts``: ``rid, body, sketch``."""
+    """Verified links ``a, b`` among the nodes of ``members`` (``band, h, node``, buckets of two or more); ``texts``: ``rid, body, size, sketch, bands``."""
     score = settled(members.groupBy("band", "h").agg(F.count("*").alias("size")), "sizes")
     score = members.select("band", "h", "node").join(score, ["band", "h"]).groupBy("node").agg(F.sum("size").alias("score"))
     scored = settled(members.select("band", "h", "node").join(settled(score, "scores"), "node"), "scored")
@@ -241,7 +304,9 @@ def _links(members: DataFrame, texts: DataFrame, weights: np.ndarray, threshold:
     labelled = members.join(known, "node")
     near = settled(neighbours(labelled).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "near")
     second = similar(near, texts, weights, threshold).filter("linked").select("a", "b")
-    return settled(links.unionByName(second), "all-links")
+    roots = settled(components(settled(links.unionByName(second), "all-links"), "a", "b"), "joined")
+    rest = remaining(members, texts, roots, weights, threshold)
+    return settled(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest), "whole-links")
 
 
 def classes(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), doc: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -261,7 +326,7 @@ def classes(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id"
     # the same kind of join at every size: the buckets grow with the rows
     members = settled(bands.join(many.hint("merge"), ["band", "h"]), "members")
     # only members of buckets are ever compared; their texts are moved once, at every size by the same kind of join
-    texts = signed.select(F.col("__rid").alias("rid"), F.col(f"`{text}`").alias("body"), F.col("__sketch").alias("sketch"))
+    texts = signed.select(F.col("__rid").alias("rid"), F.col(f"`{text}`").alias("body"), F.octet_length(f"`{text}`").alias("size"), F.col("__sketch").alias("sketch"), F.col("__bands").alias("bands"))
     texts = settled(texts.join(members.select(F.col("node").alias("rid")).distinct().hint("merge"), "rid", "left_semi"), "texts")
     roots = components(_links(members, texts, weights, threshold), "a", "b")
     rooted = nodes.join(settled(roots, "roots"), "node", "left").select("__k1", "__k2", "least", F.coalesce("root", "node").alias("root"))
