@@ -157,6 +157,22 @@ def test_pii(spark, tables, awkward, empty):
         assert pii.detect(frame).count() == frame.count() == pii.redact(frame).count()
 
 
+def test_pii_long_secrets_and_short_ibans(spark):
+    """A secret is masked to its end, however long; IBANs have 15 characters or more."""
+    rng = np.random.default_rng(6)
+    letters = list("ABCDEFGHabcdefgh0123456789-_.")
+    secrets = ["".join(rng.choice(letters, n)) + "Z9" for n in (30, 199, 200, 201, 603, 2000) * 5]
+    rows = [(i, f"before token={s} after") for i, s in enumerate(secrets)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in pii.detect(frame).collect()} == {i: f"secret:13:{13 + len(s)}" for i, s in enumerate(secrets)}
+    assert {r.text for r in pii.redact(frame).collect()} == {"before token=[SECRET] after"}
+    for iban in ("NO9386011117947", "NO93 8601 1117 947", "BE68 5390 0754 7034", "GB29 NWBK 6016 1331 9268 19"):
+        assert [s for s in pii.own_candidates(f"IBAN {iban}, paid") if s[2] == "iban"] == [(5, 5 + len(iban), "iban")]
+        assert pii._check("iban", iban) == 1
+    assert not pii.own_candidates("IBAN NO938601111794")
+    assert pii._check("secret", "0" * 5000 + "a1b2c3d4") == 1 and pii._check("secret", "000.00-0 0.") == -1  # in time proportional to the length
+
+
 def test_pii_em_recovers_reliabilities():
     """Held-out accuracy: labelers of known reliability on spans whose truth is known."""
     rng = np.random.default_rng(1)

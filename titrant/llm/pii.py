@@ -47,8 +47,8 @@ _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _OWN = {
-    "secret": re.compile(r"(?i)(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-+/=.]{8,200})"),
-    "iban": re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"),
+    "secret": re.compile(r"(?i)(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-+/=.]{8,})"),
+    "iban": re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3}))(?![A-Za-z0-9])"),
     "ssn": re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"),
     "hidden_email": re.compile(r"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}(?: ?[(\[]dot[)\]] ?[A-Za-z0-9-]{1,63}){1,5})"),
 }
@@ -58,7 +58,7 @@ CUES = {
     "secret": ("password", "token", "secret", "key", "pwd", "login"), "iban": ("iban", "bank", "account", "konto"), "ssn": ("ssn", "social", "security"), "hidden_email": ("mail", "contact", "write"),
 }
 #: Values that stand for none.
-PLACEHOLDERS = re.compile(r"(?i)\A(?:0+[. -]?)+\Z|127\.0\.0\.1|x{4,}|changeme|your[_-]|placeholder|000-00-0000|123-45-6789")
+PLACEHOLDERS = re.compile(r"(?i)\A0+(?:[. -]0+)*[. -]?\Z|127\.0\.0\.1|x{4,}|changeme|your[_-]|placeholder|000-00-0000|123-45-6789")
 _WORTH = class_table(lambda b: chr(b) in "0123456789@=:([" and b < 128)
 
 Span = tuple[int, int, str]
