@@ -1,3 +1,4 @@
+import base64
 import collections
 import hashlib
 import re
@@ -48,6 +49,29 @@ def test_quality(spark, tables, awkward, empty):
     assert kept.columns == awkward.columns and {r.doc_id for r in kept.collect()} <= {4}
 
 
+def test_quality_rejects_encoded_and_bad_texts(spark):
+    """Base64 is rejected whole at every length and embedded; on held-out labels good texts stay and half of the bad ones go."""
+    packer = zstandard.ZstdCompressor(level=quality.LEVEL)
+    rng = np.random.default_rng(2)
+
+    def blob(size):
+        flat = base64.b64encode(rng.bytes(size)).decode()
+        return " ".join(flat[i : i + 40] for i in range(0, len(flat), 40))[:size].encode()
+
+    for size in (200, 300, 511, 600, 1023, 1500, 2047, 2500, 4095, 5000, 8191, 9000, 20_000, 40_000, 100_000):
+        assert quality.compression_verdict(blob(size), packer)[2] == "incompressible", size
+    root = "/root/testdata/check_s/"
+    docs = spark.read.parquet(f"{root}documents.parquet")
+    rows = quality.judge(docs).join(spark.read.parquet(f"{root}labels.parquet"), "doc_id").filter("not base_failed").groupBy("quality", "kept").count().collect()
+    n = {(r.quality, r.kept): r["count"] for r in rows}
+    assert n.get((1, False), 0) <= 0.001 * n[1, True]
+    assert n[0, False] >= 0.5 * (n[0, False] + n[0, True])
+    good = " ".join(r.text for r in docs.filter("lang = 'en' and n_chars between 1500 and 4000").orderBy("doc_id").limit(20).collect()).encode()
+    for size in (10_000, 20_000, 40_000):
+        mixed = good[: size // 2] + b" " + blob(size // 2)
+        assert quality.compression_verdict(mixed, packer)[2] in ("incompressible", "chunks"), size
+
+
 def test_quality_bands():
     packer = zstandard.ZstdCompressor(level=quality.LEVEL)
     assert quality.compression_verdict(b"spam and eggs " * 500, packer)[2] == "repetitive"
