@@ -265,6 +265,27 @@ def best_matching(a, b, i=0, j=0):
     return 1 + m[-1][-1]
 
 
+def test_matching_of_many_children_is_exact(monkeypatch):
+    """The divided programme scores as the whole one, on small trees and on pages with hundreds of children."""
+    rng = random.Random(8)
+
+    def tree(n):
+        some = ["<h2>x</h2>", "<ul><li>x</li></ul>", "<ul><li>x</li><li><p>y</p></li></ul>", "<p>x</p>", "<figure><img><p>z</p></figure>", "<p>x</p><p>y</p>"]
+        return "<body>" + "".join(rng.choice(some) for _ in range(n)) + "</body>"
+
+    flat = lambda page: html_tree.Flat(html_tree.parse(page))
+    long = [tree(260) for _ in range(2)]
+    for a, b in [(tree(rng.randint(1, 14)), tree(rng.randint(1, 14))) for _ in range(60)] + [(long[0], long[1]), (long[0], "<body>" + "<section><h3>n</h3></section>" * 60 + long[0][6:])]:
+        a, b = flat(a), flat(b)
+        monkeypatch.setattr(html_tree, "PAIRS_MOST", 10**9)
+        whole = html_tree.match(a, b)[0]
+        for most in (4, 40_000):
+            monkeypatch.setattr(html_tree, "PAIRS_MOST", most)
+            score, pairs = html_tree.match(a, b)
+            assert score == len(pairs) == len(set(pairs)) == whole
+            assert all(a.labels[i] == b.labels[j] for i, j in pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == score
+
+
 def test_tree_matching():
     rng = random.Random(4)
 

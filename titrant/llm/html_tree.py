@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 from zlib import crc32
 
+import numpy as np
+
 # What the elements of HTML are.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "object", "canvas", "select", "button"}
@@ -153,7 +156,8 @@ class Flat:
         return [self.labels, self.hashes, self.kids]
 
 
-PAIRS_MOST = 40_000
+#: Cells of the programme held at once, and scores; beyond it the programme is divided.
+PAIRS_MOST, SCORES_MOST = 40_000, 4_000_000
 
 
 def _groups(tree: Flat, kids: list[int]) -> list[list[int]]:
@@ -167,11 +171,66 @@ def _groups(tree: Flat, kids: list[int]) -> list[list[int]]:
     return out
 
 
+def _shapes(tree: Flat, groups: list[list[int]], known: dict) -> np.ndarray:
+    """A number for the labelled shape of each group; groups of one shape score alike."""
+
+    def shape(k: int) -> int:
+        return known.setdefault((tree.labels[k], *[shape(c) for c in tree.kids[k]]), len(known))
+
+    return np.array([shape(g[0]) if len(g) == 1 else known.setdefault((len(g), tree.labels[g[0]]), len(known)) for g in groups])
+
+
+def _divided(xs: np.ndarray, ys: np.ndarray, score: Callable[[int, int], int]) -> list[tuple[int, int]]:
+    """The places of ``xs`` and ``ys`` that the programme pairs, in memory that grows with their number (Hirschberg's division)."""
+    kinds, at = np.unique(ys, return_inverse=True)
+    held: dict[int, np.ndarray] = {}
+
+    def scores(x: int) -> np.ndarray:
+        if x not in held:
+            if len(held) * len(kinds) > SCORES_MOST:
+                held.clear()
+            held[x] = np.array([score(x, y) for y in kinds.tolist()])
+        return held[x]
+
+    def rows(p: list[int], q: np.ndarray, short: bool) -> list[np.ndarray]:
+        """Of the programme's table; if ``short``, only the last."""
+        row = np.zeros(len(q) + 1, np.int64)
+        out = [row]
+        for x in p:
+            row = np.append(0, np.maximum.accumulate(np.maximum(out[-1][1:], out[-1][:-1] + scores(x)[q])))
+            if short:
+                out.clear()
+            out.append(row)
+        return out
+
+    found, stack = [], [(0, len(xs), 0, len(ys))]
+    while stack:
+        p0, p1, q0, q1 = stack.pop()
+        p, q = xs[p0:p1].tolist(), at[q0:q1]
+        if not len(p) or not len(q):
+            continue
+        if len(p) > 1 and len(p) * len(q) > PAIRS_MOST:
+            mid = len(p) // 2
+            cut = q0 + int(np.argmax(rows(p[:mid], q, True)[-1] + rows(p[mid:][::-1], q[::-1], True)[-1][::-1]))
+            stack += [(p0, p0 + mid, q0, cut), (p0 + mid, p1, cut, q1)]
+            continue
+        best, i, j = rows(p, q, False), len(p), len(q)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((p0 + i, q0 + j))
+    return found
+
+
 def match(a: Flat, b: Flat, i: int = 0, j: int = 0, seen: dict | None = None) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching: the most pairs of equally labelled nodes that keep parents and order, and the pairs.
 
     A run of equally labelled leaves is one step of the programme, matched from its start. Where both nodes have so many
-    children that the programme would have over ``PAIRS_MOST`` cells, children are matched greedily in order instead.
+    children that the programme would have over ``PAIRS_MOST`` cells, it is divided; the result is as good.
     """
     if a.labels[i] != b.labels[j]:
         return 0, []
@@ -188,12 +247,11 @@ def match(a: Flat, b: Flat, i: int = 0, j: int = 0, seen: dict | None = None) ->
         return min(len(x), len(y)), list(zip(x, y, strict=False))
 
     if len(left) * len(right) > PAIRS_MOST:
-        k = 0
-        for x in left:
-            q = next((q for q in range(k, min(k + 50, len(right))) if a.labels[x[0]] == b.labels[right[q][0]]), None)
-            if q is not None:
-                pairs += pair(x, right[q])[1]
-                k = q + 1
+        known: dict = {}
+        xs, ys = _shapes(a, left, known), _shapes(b, right, known)
+        mine, other = dict(zip(xs.tolist(), left, strict=True)), dict(zip(ys.tolist(), right, strict=True))
+        for p, q in _divided(xs, ys, lambda x, y: pair(mine[x], other[y])[0]):
+            pairs += pair(left[p], right[q])[1]
         return len(pairs), pairs
     best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
     got = {}
