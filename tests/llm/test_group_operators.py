@@ -81,6 +81,16 @@ def test_minhash_verifies_whole_buckets(spark, monkeypatch):
         assert sorted((r.doc_id, r.class_id) for r in minhash.classes(frame).collect()) == want
 
 
+def test_links_beyond_hub_and_neighbours(spark):
+    """Two like texts five apart in one bucket whose hub is unlike both."""
+    texts = [" ".join(f"t{1 if i == 6 else i}w{k}" for k in range(40)) + (" end" if i == 6 else "") for i in range(8)]
+    rows = [(i, t, len(t), [0] * minhash.SKETCH_LONGS, [1] + [100 + i] * (minhash.BANDS - 1)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "rid long, body string, size int, sketch array<long>, bands array<long>")
+    members = spark.createDataFrame([(0, 1, i) for i in range(8)], "band int, h long, node long")
+    got = minhash._links(members, frame, np.ones(minhash.BUCKETS), minhash.THRESHOLD).collect()
+    assert [{r.a, r.b} for r in got] == [{1, 6}]
+
+
 def test_block_links_are_all_pairs():
     rng = random.Random(3)
     base = [f"w{i}" for i in range(60)]
