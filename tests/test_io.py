@@ -1,14 +1,42 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titrant.plans.ingest import ingest
-from titrant.plans.corpus_queries import SHEET
 from titrant.schemas import RECORD
 from titrant.sources import readers, search, sinks
 from titrant.streaming import incremental
 
+SHEET = """Revision Date 01/02/2024 Version 6.1
+SECTION 1. Identification
+Product name : Example salt
+CAS-No. : 7647-14-5
+Product Number : S123
+Brand : Sigma
+SECTION 2. Hazards
+Signal word : Danger
+H302 Harmful if swallowed.
+H314 Causes severe burns.
+H302 Harmful again here.
+H360FD May damage fertility.
+SECTION 7. Handling and storage
+Storage class : 8B Corrosive
+Recommended storage : 36 - 46 °F / 2 - 8 °C
+hygroscopic and protect from light
+SECTION 9. Physical
+Appearance : Liquid
+Flash point : 55 °F / 13 °C
+Vapor pressure : 57.26 hPa (67.3 °F)
+Viscosity, dynamic : 1,412 mPa.s
+Melting point/ range : 41 - 44 °C
+SECTION 10. Stability
+Incompatible materials : Strong acids
+Oxidizers
+Strong acids
+Hazardous decomp"""
+
 
 def test_documents_round_trip(spark, tmp_path):
     (tmp_path / "in").mkdir()
@@ -52,9 +80,62 @@ def test_search_pages_and_retries():
         calls.append(what)
         return (503, "") if len(calls) == 1 else (200, json.dumps(pages[json.loads(what)["cursorMark"]]))
 
-    assert [h["id"] for h in search.search(get, "q", wait=waits.append)] == [1, 2, 3] and waits == [1.0]
+    assert [h["id"] for h in search.search(get, "q", wait=waits.append)] == [1, 2, 3] and waits == [2.0]
     assert [h["id"] for h in search.search(get, "q", limit=2)] == [1, 2]
-    assert search.fetched(lambda _: (404, ""), "x") is None
+
+
+@pytest.mark.parametrize(("answer", "waited"), [((503, ""), [2.0, 4.0]), ((200, "<html>"), [2.0, 4.0]), ((404, "gone"), [])])
+def test_search_never_ends_early_without_a_word(answer, waited):
+    waits = []
+    with pytest.raises(search.ServiceError):
+        list(search.search(lambda _: answer, "q", wait=waits.append))
+    assert waits == waited
+
+
+def test_search_fails_on_a_later_page():
+    first = (200, json.dumps({"resultList": {"result": [{"id": 1}]}, "nextCursorMark": "c2"}))
+    with pytest.raises(search.ServiceError):
+        list(search.search(lambda what: first if json.loads(what)["cursorMark"] == "*" else (500, ""), "q", wait=lambda _: None))
+
+
+def test_article_attempts():
+    from titrant.sources import fetch, offline
+
+    whole = offline.article("PMC1")[1]
+    for answers, want, waited in (([(503, b""), (200, whole)], whole, [2.0]), ([(200, b"<html/>")] * 3, None, [2.0, 4.0]), ([(404, b"")], None, []), ([(403, b"")], None, [])):
+        left, waits = list(answers), []
+        assert fetch.article(lambda _: left.pop(0), "x", wait=waits.append) == want and waits == waited and not left  # noqa: B023
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 300])
+def test_index_is_one_json_array_in_order(spark, tmp_path, n):
+    rows = spark.range(n).select(F.format_string('n "%04d"', "id").alias("name"), F.lit(None).cast("string").alias("cas")).orderBy(F.desc("name"))
+    sinks.index(rows, str(tmp_path / "i"))
+    files = sorted((tmp_path / "i").glob("part-*"))
+    got = json.loads("".join(f.read_text() for f in files))
+    assert [x["name"] for x in got] == [f'n "{i:04d}"' for i in reversed(range(n))] and all("cas" in x for x in got)
+
+
+def test_profiles_and_mirrors(spark, tmp_path):
+    from titrant.plans.rule_queries import applied
+
+    rows = applied(spark, "/root/testdata/sf0.001").limit(20).withColumns({"key": F.col("p_partkey").cast("string"), "name": F.col("p_name"), "cas": F.lit(None).cast("string")}).cache()
+    sinks.profiles(rows, str(tmp_path / "rows"))
+    assert spark.read.json(str(tmp_path / "rows")).count() == 20
+    sinks.profile_files(rows, str(tmp_path / "files"))
+    names = {p.parent.name for p in (tmp_path / "files").glob("key=*/part-*")}
+    assert names == {f"key={r.key}" for r in rows.collect()}
+    small = rows.select("key", "name")
+    sinks.mirrors(small.limit(3), str(tmp_path / "b"))
+    sinks.mirrors(small, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert spark.read.json(str(tmp_path / "a")).count() == spark.read.json(str(tmp_path / "b")).count() == 20
+
+
+def test_too_many_profile_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FEW", 2)
+    rows = spark.range(3).select(F.col("id").cast("string").alias("key"), F.lit("n").alias("name"), F.lit("c").alias("cas"), F.create_map(F.lit("a.b"), F.lit("c")).alias("profile"), F.array(F.struct(*[F.lit("x").alias(c) for c in ("id", "because", "cite", "confidence")], F.lit(True).alias("field_consensus"))).alias("rules_fired"), F.array().cast("array<string>").alias("conflicts"))
+    with pytest.raises(ValueError, match="too many"):
+        sinks.profile_files(rows, str(tmp_path / "p"))
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):

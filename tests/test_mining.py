@@ -1,3 +1,5 @@
+import hashlib
+import itertools
 import random
 from difflib import SequenceMatcher
 
@@ -39,6 +41,23 @@ def test_fuzzy_is_exact(spark):
         assert {(r.a, r.b) for r in fuzzy.similar_pairs(frame, threshold=threshold).collect()} == want
 
 
+def test_shared_words_are_no_keys(spark):
+    """Names that all begin alike meet by what tells them apart: the candidates stay few."""
+    names = [f"recombinant human {a} {hashlib.md5(bytes([i])).hexdigest()[:10]}{e}" for i in range(200) for a in ("alpha", "omega") for e in ("", "s")]
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    want = {tuple(sorted((a, b))) for a, b in itertools.combinations(names, 2) if SequenceMatcher(None, *sorted((a, b))).ratio() >= 0.97}
+    assert {(r.a, r.b) for r in fuzzy.similar_pairs(frame).collect()} == want
+    assert len(want) >= 400 and fuzzy.candidates(frame).count() < 2 * len(want)
+
+
+def test_malformed_xml_is_read_as_far_as_it_goes():
+    got = tables.recovered("<?xml version='1.0'?><!DOCTYPE a [<!ENTITY x 'y'>]><a:b k='1&lt;2' q><c>one &nosuch;&#65;&amp;</d><e/>two<f>thr<![CDATA[<ee>]]> </c> tail <!-- <g> -->")
+    assert got.tag == "b" and got.attrib == {"k": "1<2"} and "".join(got.itertext()) == "one A&twothr<ee>  tail "
+    assert [e.tag for e in got.iter()] == ["b", "c", "e", "f"]
+    assert tables.recovered("<broken") is None and tables.recovered(b"\xff") is None and tables.parse_xml("<a><b></a>") is None
+    assert tables.recovered("<a/><b/>").tag == "a" and len(tables.recovered("<a>x</a><b/>")) == 0
+
+
 def test_duplicates(spark):
     rows = [("Fetal Bovine Serum", 50), ("FBS", 70), ("gibco fbs", 5), ("heat-inactivated fbs", 3), ("charcoal-stripped fbs", 4), ("recombinant mouse m-csf", 9), ("recombinant mouse gm-csf", 8), ("trizol reagent", 2), ("TRI reagent", 2)]
     got = {r.name: r for r in mining.duplicates(spark.createDataFrame(rows, "name string, n long")).collect()}

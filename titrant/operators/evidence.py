@@ -75,10 +75,14 @@ def settled_value(value: Column, new_agrees: Column) -> Column:
     return F.coalesce(value, F.when(F.coalesce(new_agrees, F.lit(False)), F.lit(True)))
 
 
-def enrich(records: DataFrame, evidence: DataFrame, key: str = "key", flags: str = "flags") -> DataFrame:
+PRESENT = "2.0"
+
+
+def enrich(records: DataFrame, evidence: DataFrame, key: str = "key", flags: str = "flags", version: str | None = "schema_version") -> DataFrame:
     """Records with long ``evidence`` (``key, flag, type, ref, agrees, ord``) fused into their flags, in one join.
 
-    The evidence is gathered per record: its rows are bounded by the patterns and look-ups that make them.
+    The evidence is gathered per record: its rows are bounded by the patterns and look-ups that make them. Records whose
+    column ``version`` (if they have it) isn't the present one are passed over: they come out as they went in.
     """
     per_flag = evidence.groupBy(key, "flag").agg(F.array_sort(F.collect_list(F.struct("ord", "type", "ref", "agrees"))).alias("rows"))
     per_flag = per_flag.select(key, F.struct(F.col("flag").alias("key"), F.transform("rows", lambda r: F.struct(r["type"].alias("type"), r["ref"].alias("ref"), r["agrees"].alias("agrees"))).alias("value")).alias("e"))
@@ -94,7 +98,10 @@ def enrich(records: DataFrame, evidence: DataFrame, key: str = "key", flags: str
         grown = F.struct(value.alias("value"), confidence(sources).alias("confidence"), sources.alias("sources"))
         return F.when(new.isNull() | (F.size(sources) == F.size(base["sources"])), base).otherwise(grown)
 
-    return out.withColumn(flags, F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("key"), fused(n).alias("value"))))).drop("__new")
+    grown = F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("key"), fused(n).alias("value"))))
+    if version in records.columns:
+        grown = F.when(F.coalesce(F.col(version) == PRESENT, F.lit(False)), grown).otherwise(F.col(flags))
+    return out.withColumn(flags, grown).drop("__new")
 
 
 def role_evidence(records: DataFrame, lookup: DataFrame, key: str = "key", cas: str = "cas", strict_keys: bool = False) -> DataFrame:
@@ -233,7 +240,7 @@ ENUMS = {"physical_state": ("liquid", "solution", "powder", "solid"), "confidenc
 
 def errors(record_columns: Sequence[str]) -> Column:
     """Schema errors of a typed record, sorted: required texts, values of enumerations, sources without kind or reference."""
-    checks = [F.when(F.coalesce(F.col("name"), F.lit("")) == "", F.lit("name: missing")), F.when(~F.coalesce(F.col("schema_version") == "2.0", F.lit(False)), F.lit("schema_version: not 2.0"))]
+    checks = [F.when(F.coalesce(F.col("name"), F.lit("")) == "", F.lit("name: missing")), F.when(~F.coalesce(F.col("schema_version") == PRESENT, F.lit(False)), F.lit(f"schema_version: not {PRESENT}"))]
     checks.append(F.when(~F.col("physical_state").isin(*ENUMS["physical_state"]), F.lit("physical_state: not allowed")))
     if "numerics" in record_columns:
         checks.append(F.when(~F.col("numerics.viscosity_class").isin(*ENUMS["viscosity_class"]), F.lit("numerics.viscosity_class: not allowed")))
@@ -243,7 +250,7 @@ def errors(record_columns: Sequence[str]) -> Column:
 
 def validate(records: DataFrame) -> DataFrame:
     """All columns, ``errors``, ``warnings`` and ``status``; only records of the present version have warnings."""
-    found = F.when(F.col("schema_version") == "2.0", warnings(F.col("flags"), F.col("category"))).otherwise(F.array().cast("array<string>"))
+    found = F.when(F.col("schema_version") == PRESENT, warnings(F.col("flags"), F.col("category"))).otherwise(F.array().cast("array<string>"))
     out = records.withColumns({"errors": errors(records.columns), "warnings": found})
     return out.withColumn("status", F.when(F.size("errors") > 0, "failed").when(F.size("warnings") > 0, "warned").otherwise("passed"))
 

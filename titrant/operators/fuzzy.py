@@ -1,8 +1,12 @@
 """Similar names: pairs whose matching-blocks ratio is at least a threshold, without comparing all with all.
 
 ``ratio = 2 M / (la + lb)``, where ``M`` characters match in order. At a threshold ``t`` at most ``d = (1 - t)(la + lb)``
-characters of both names don't, so of ``d + 1`` segments of one name, one stands whole in the other, at most ``d`` places
-off. Candidates are therefore an equi-join of segments with substrings; only candidates are compared.
+characters of both names don't, and each of them spoils at most one segment of a name that is cut into several. A name is
+cut into up to ``3 (d + 1)`` segments, and the ``d + 1`` of them that the fewest names have are its keys: one of these
+stands whole in every partner. So what all names begin with ("recombinant human") is nobody's key as long as the rest
+has enough segments. With ``e`` of the ``d`` characters missing in a partner and ``i`` added, ``i - e`` is the difference of
+lengths, so a segment has at most ``d + 1`` places where it may stand. Candidates are an equi-join of keys with
+substrings, of which those too many edits apart go before any Python; only candidates are compared.
 """
 
 from __future__ import annotations
@@ -22,28 +26,36 @@ def spare(total: object, threshold: float):
     return F.floor(F.lit(1 - threshold) * total + F.lit(1e-9)).cast("int")
 
 
+def _segments(rows: DataFrame, length: str, threshold: float) -> DataFrame:
+    """Adds, for names of a length: ``least`` (how many keys such a name has) and, a row each, ``at`` and ``size`` of its segments."""
+    longest = F.floor(F.col(length) * F.lit((2 - threshold) / threshold) + F.lit(1e-9)).cast("int")
+    rows = rows.withColumn("least", spare(F.col(length) + longest, threshold) + 1).withColumn("k", F.least(3 * F.col("least"), F.col(length)))
+    begin = lambda i: F.floor(i * F.col(length) / F.col("k")).cast("int")
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    return rows.withColumns({"at": begin(F.col("i")), "size": begin(F.col("i") + 1) - begin(F.col("i"))}).drop("k", "i")
+
+
 def candidates(names: DataFrame, name: str = "name", threshold: float = THRESHOLD) -> DataFrame:
     """Distinct pairs ``a < b`` of distinct names that can reach the threshold."""
     base = names.select(F.col(name).alias("s")).filter("s IS NOT NULL AND s <> ''").distinct().withColumn("l", F.length("s"))
-    # a name's partners are at most this long
-    longest = F.floor(F.col("l") * F.lit((2 - threshold) / threshold) + F.lit(1e-9)).cast("int")
-    seg = base.withColumn("k", F.least(spare(F.col("l") + longest, threshold) + 1, F.col("l")))
-    seg = seg.select("s", "l", "k", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
-    begin = F.floor(F.col("i") * F.col("l") / F.col("k")).cast("int")
-    end = F.floor((F.col("i") + 1) * F.col("l") / F.col("k")).cast("int")
-    seg = seg.select(F.col("s").alias("x"), F.col("l").alias("lx"), begin.alias("at"), F.substring(F.col("s"), begin + 1, end - begin).alias("part"))
+    seg = _segments(base.select(F.col("s").alias("x"), F.col("l").alias("lx")), "lx", threshold)
+    seg = seg.select("x", "lx", "least", "at", F.substring(F.col("x"), F.col("at") + 1, F.col("size")).alias("part"))
+    common = seg.groupBy("lx", "at", "part").agg(F.count("*").alias("n"))
+    # a name's keys are gathered by name: a few dozen segments at most for each
+    keys = seg.join(common, ["lx", "at", "part"]).groupBy("x", "lx", "least").agg(F.array_sort(F.collect_list(F.struct("n", "at", "part"))).alias("keys"))
+    keys = keys.select("x", "lx", F.explode(F.slice("keys", F.lit(1), F.col("least"))).alias("key")).select("x", "lx", "key.at", "key.part")
     # every partner length, every segment of a name of that length, every place where it may stand
     shortest = F.ceil(F.col("l") * F.lit(threshold / (2 - threshold)) - F.lit(1e-9)).cast("int")
+    longest = F.floor(F.col("l") * F.lit((2 - threshold) / threshold) + F.lit(1e-9)).cast("int")
     probe = base.select(F.col("s").alias("y"), F.col("l").alias("ly"), F.explode(F.sequence(F.greatest(shortest, F.lit(1)), longest)).alias("lx"))
-    limit = F.floor(F.col("lx") * F.lit((2 - threshold) / threshold) + F.lit(1e-9)).cast("int")
-    probe = probe.withColumn("k", F.least(spare(F.col("lx") + limit, threshold) + 1, F.col("lx"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    begin = F.floor(F.col("i") * F.col("lx") / F.col("k")).cast("int")
-    end = F.floor((F.col("i") + 1) * F.col("lx") / F.col("k")).cast("int")
-    probe = probe.withColumns({"at": begin, "size": end - begin, "d": spare(F.col("lx") + F.col("ly"), threshold)})
-    probe = probe.withColumn("p", F.explode(F.sequence(F.greatest(F.col("at") - F.col("d"), F.lit(0)), F.col("at") + F.col("d")))).filter("p + size <= ly")
+    probe = _segments(probe, "lx", threshold).withColumn("d", spare(F.col("lx") + F.col("ly"), threshold)).withColumn("more", F.col("ly") - F.col("lx"))
+    fewer, further = F.floor((F.col("d") - F.col("more")) / 2).cast("int"), F.floor((F.col("d") + F.col("more")) / 2).cast("int")
+    probe = probe.filter(F.abs("more") <= F.col("d")).withColumn("p", F.explode(F.sequence(F.greatest(F.col("at") - fewer, F.lit(0)), F.greatest(F.col("at") + further, F.lit(0))))).filter("p + size <= ly")
     probe = probe.select("y", "lx", "at", F.substring(F.col("y"), F.col("p") + 1, F.col("size")).alias("part")).distinct()
-    pairs = seg.join(probe, ["lx", "at", "part"]).filter("x <> y")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = keys.join(probe, ["lx", "at", "part"]).filter("x <> y")
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), spare(F.col("lx") + F.length("y"), threshold).alias("d"))
+    # no more edits than characters without a match; the distance ends where it exceeds them
+    return pairs.filter(F.expr("levenshtein(a, b, d) >= 0")).select("a", "b").distinct()
 
 
 def similar_pairs(names: DataFrame, name: str = "name", threshold: float = THRESHOLD) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import lru_cache
 from importlib.resources import files
@@ -109,8 +110,8 @@ def merge_form(name: Column) -> Column:
     """The name under which duplicates meet: no vendor before it, one name of several, no "solution" after it."""
     data = names_data()
     n = strip(F.lower(name))
-    vendors = "|".join(v.replace("&", "&").replace(" ", r"\ ") for v in sorted(data["vendors"], key=len, reverse=True))
-    n = F.regexp_replace(n, rf"(?x)\A(?:{vendors})\s+", "")
+    vendors = "|".join(re.escape(v) for v in sorted(data["vendors"], key=len, reverse=True))
+    n = F.regexp_replace(n, rf"\A(?:{vendors})\s+", "")
     table = F.create_map(*[F.lit(x) for kv in data["synonyms"].items() for x in kv])
     n = F.coalesce(F.try_element_at(table, n), n)
     return strip(F.regexp_replace(n, r"(?i)\s+(?:solution|reagent)$", ""))
@@ -141,6 +142,12 @@ def with_counts(names: DataFrame, ranked: DataFrame, name: str = "name") -> Data
     return count_with_fallback(rows, counts, "__l", "__s").drop("__l", "__s")
 
 
+def sort_by_count(rows: DataFrame, count: str = "n_papers_total", top: int = 0) -> DataFrame:
+    """Rows of an all-text table, the greatest count first; what isn't a number counts as 0."""
+    out = rows.orderBy(F.coalesce(F.col(count).try_cast("long"), F.lit(0)).desc(), *[c for c in rows.columns if c != count])
+    return out.limit(top) if top else out
+
+
 def parse_funnel(papers: DataFrame, rows: DataFrame, category: str = "") -> DataFrame:
     """One row of counts: papers selected, missing, parsed, with a table, and rows found, kept and their papers.
 

@@ -70,11 +70,74 @@ def expand(trs: list[ET.Element]) -> list[list[str]]:
     return out
 
 
-def parse_xml(raw: bytes | str | None) -> ET.Element | None:
-    try:
-        return ET.fromstring(raw) if raw else None
-    except ET.ParseError:
+_MARKUP = re.compile(r"<!--.*?-->|<!\[CDATA\[(?P<raw>.*?)\]\]>|<\?.*?\?>|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>|<(?P<close>/?)(?P<tag>[A-Za-z_][\w.:-]*)(?P<more>[^<>]*?)(?P<empty>/?)>", re.S)
+_ATTRIBUTE = re.compile(r"""([A-Za-z_][\w.:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+_REFERENCE = re.compile(r"&(?:#x([0-9A-Fa-f]+)|#([0-9]+)|([A-Za-z_][\w.-]*));?")
+# The references that XML itself defines.
+_NAMED = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
+
+
+def _unescaped(text: str) -> str:
+    """References as characters; those that nothing defines vanish."""
+
+    def one(m: re.Match) -> str:
+        if m.group(3):
+            return _NAMED.get(m.group(3), "")
+        code = int(m.group(1), 16) if m.group(1) else int(m.group(2))
+        return chr(code) if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000 else ""
+
+    return _REFERENCE.sub(one, text) if "&" in text else text
+
+
+def recovered(raw: bytes | str) -> ET.Element | None:
+    """As much of malformed XML as can be read: what is unclosed ends with what holds it, an end tag of nothing open is passed over, and so is all behind the root. None if there is no element."""
+    page = bytes(raw).decode("utf-8", "replace") if not isinstance(raw, str) else raw
+    root, stack, at = None, [], 0
+
+    def text(value: str) -> None:
+        if stack and value:
+            if len(stack[-1]):
+                stack[-1][-1].tail = (stack[-1][-1].tail or "") + value
+            else:
+                stack[-1].text = (stack[-1].text or "") + value
+
+    for m in _MARKUP.finditer(page):
+        text(_unescaped(page[at : m.start()]))
+        at = m.end()
+        if m["raw"] is not None:
+            text(m["raw"])
+        if m["tag"] is None:
+            continue
+        tag = m["tag"].rpartition(":")[2]
+        if m["close"]:
+            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].tag == tag), None)
+            if depth is not None:
+                del stack[depth:]
+                if not stack:
+                    break
+            continue
+        el = ET.Element(tag, {k.rpartition(":")[2]: _unescaped(a or b) for k, a, b in _ATTRIBUTE.findall(m["more"])})
+        if stack:
+            stack[-1].append(el)
+        else:
+            root = el
+        if not m["empty"]:
+            stack.append(el)
+        elif root is el:
+            break
+    else:
+        text(_unescaped(page[at:]))
+    return root
+
+
+def parse_xml(raw: bytes | str | None, recover: bool = False) -> ET.Element | None:
+    """The root; of malformed XML what can be recovered, if asked for, else None."""
+    if not raw:
         return None
+    try:
+        return ET.fromstring(raw if isinstance(raw, str) else bytes(raw))
+    except (ET.ParseError, ValueError, LookupError):
+        return recovered(raw) if recover else None
 
 
 def is_article(raw: bytes | None) -> bool:
@@ -102,8 +165,8 @@ def key_tables(root: ET.Element) -> Iterator[tuple[ET.Element, str]]:
 
 
 def grid_rows(pmcid: str, raw: bytes | str | None) -> list[tuple]:
-    """Rows of :data:`GRID`; one row without cells for an article that has none."""
-    root = parse_xml(raw)
+    """Rows of :data:`GRID`; one row without cells for an article that has none. Malformed articles are read as far as they go."""
+    root = parse_xml(raw, recover=True)
     found = [] if root is None else list(key_tables(root))
     out = []
     for t, (tw, where) in enumerate(found):

@@ -31,7 +31,9 @@ def quoted(value: object) -> str:
         return "NULL"
     if isinstance(value, bool):
         return str(value).upper()
-    if isinstance(value, (int, float)):
+    if isinstance(value, float):
+        return repr(value) if "e" in repr(value) else f"{value!r}e0"
+    if isinstance(value, int):
         return str(value)
     return "'" + str(value).replace("'", "''") + "'"
 

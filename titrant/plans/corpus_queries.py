@@ -6,6 +6,7 @@ A paper is an order, its year the order's; a name is a part's.
 from __future__ import annotations
 
 import uuid
+from difflib import SequenceMatcher
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,47 +77,50 @@ def slugify(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.slugify(F.col("url")).alias("slug"))
 
 
-CATALOGS = ["Cat# A123", "cat #77", "# 9-1", "  cat#Cat#5", "X-12", "#", "CAT  # z9 "]
-
-
 def clean_catalogs(spark, sf_dir):
-    rows = times(table(spark, sf_dir, "region").select("r_regionkey"), [(c,) for c in CATALOGS], raw="string")
-    return rows.select("r_regionkey", "raw", text.clean_catalog(F.col("raw")).alias("catalog"))
+    """Catalogue numbers written in seven ways."""
+    raw = F.expr("CASE p_partkey % 7 WHEN 0 THEN concat('Cat# A', p_partkey) WHEN 1 THEN concat('cat #', p_size) WHEN 2 THEN concat('# ', p_size, '-1') WHEN 3 THEN concat('  cat#Cat#', p_partkey) WHEN 4 THEN concat('X-', p_partkey) WHEN 5 THEN '#' ELSE concat('CAT  # z', p_partkey, ' ') END")
+    return table(spark, sf_dir, "part").select("p_partkey", text.clean_catalog(raw).alias("catalog"))
 
 
-NAMES = [
-    "opti-mem reduced serum medium", "Goat Serum", "anti-CD3", "antimycin a", "nuclease-free water", "DNase I", "Recombinant mouse IL-6", "penicillin-streptomycin", "assay kit", "human plasma", "plasmid plasma prep", "IgG control", "trypsin-edta", "taq polymerase",
-    "sodium chloride", "protein gel", "VEGF", "culture medium", "prolong gold", "bovine serum albumin", "recombinant trypsin", "lipase",
-]
+#: What is put after a part's name, and the class that it makes of it.
+ENDINGS = (
+    (" reduced serum medium", "media"), (" serum", "serum"), (" anti-CD3", "antibody"), (" antimycin a", "other"), (" nuclease-free water", "kit"), (" DNase I", "enzyme"), (" Recombinant mouse IL-6", "growth_factor"), (" penicillin-streptomycin", "media"), (" assay kit", "kit"), (" plasma", "serum"),
+    (" plasmid plasma prep", "other"), (" IgG control", "antibody"), (" trypsin-edta", "enzyme"), (" polymerase", "enzyme"), (" chloride", "other"), (" protein gel", "kit"), (" VEGF", "growth_factor"), (" culture medium", "media"), (" prolong gold", "kit"), (" serum albumin", "serum"), (" recombinant trypsin", "enzyme"), (" lipase", "enzyme"), ("", "other"),
+)
 
 
-def classify_names(spark, sf_dir):
-    names = values(spark, [(n,) for n in NAMES], "name string").unionByName(table(spark, sf_dir, "part").select(F.col("p_name").alias("name")))
-    return mining.class_counts(names, "name")
+def named_parts(spark, sf_dir) -> DataFrame:
+    ending = F.element_at(F.array(*[F.lit(e) for e, _ in ENDINGS]), (F.col("p_partkey") % len(ENDINGS) + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", ending).alias("name"))
 
 
-_EXPECTED = {"media": 3, "serum": 3, "antibody": 2, "growth_factor": 2, "kit": 4, "enzyme": 5, "other": 3}
+def classify_names(spark, sf_dir):
+    return mining.class_counts(named_parts(spark, sf_dir), "name")
 
 
 def class_each(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", classify.reagent_class(F.concat(F.col("lang"), F.lit(" "), F.col("source"), F.expr("CASE doc_id % 4 WHEN 0 THEN ' reaction buffer' WHEN 1 THEN ' kinase' WHEN 2 THEN ' anti-x' ELSE ' kit' END")), True).alias("class"))
+    return named_parts(spark, sf_dir).select("p_partkey", classify.reagent_class(F.col("name"), True).alias("class"))
 
 
-HEADINGS = [
-    (1, "Chemicals, Peptides & Recombinant Proteins", "", ""), (2, "Antibodies", "—", "N/A"), (3, "Antibody calibrator", "real", "data"), (4, "Software and Algorithms", "Software and Algorithms", ""), (5, "", "", ""), (6, "EXPERIMENTAL MODELS: CELL LINES:", "", "none"),
-    (7, "Mouse strains", "", ""), (8, "Something", "", ""), (9, "Bacterial and Virus Strains", "...", "*"),
-]
+_CLASS = "SELECT p_partkey, CASE p_partkey % " + str(len(ENDINGS)) + " " + " ".join(f"WHEN {i} THEN '{c}'" for i, (_, c) in enumerate(ENDINGS)) + " END AS class FROM part"
 
 
 def heading_categories(spark, sf_dir):
-    rows = times(table(spark, sf_dir, "region").select("r_regionkey"), HEADINGS, k="int", a="string", b="string", c="string")
-    return rows.select("r_regionkey", "k", classify.heading_category(F.array("a", "b", "c")).alias("category"))
+    """Rows of a table, some of which name a category: by the first cell, if the others are empty, fillers or the same."""
+    first = "CASE p_partkey % 8 WHEN 0 THEN concat('Chemicals, Peptides & ', p_name) WHEN 1 THEN concat(p_name, ' antibodies') WHEN 2 THEN concat('EXPERIMENTAL MODELS: CELL LINES OF ', p_type, ':') WHEN 3 THEN concat(p_brand, ' bacterial and virus strains') WHEN 4 THEN '' WHEN 5 THEN concat('Software of ', p_brand) WHEN 6 THEN concat(p_name, ' sgRNA') ELSE p_name END"
+    other = "CASE p_size % 5 WHEN 0 THEN '' WHEN 1 THEN '—' WHEN 2 THEN 'n/a' WHEN 3 THEN p_brand ELSE a END"
+    rows = table(spark, sf_dir, "part").withColumn("a", F.expr(first)).withColumn("b", F.expr(other))
+    return rows.select("p_partkey", classify.heading_category(F.array("a", "b", F.lit(" * "))).alias("category"))
+
+
+_HEADING = """SELECT p_partkey, CASE WHEN p_size % 5 <> 3 THEN CASE p_partkey % 8 WHEN 0 THEN 'Chemicals, Peptides, and Recombinant Proteins' WHEN 1 THEN 'Antibodies' WHEN 2 THEN 'Experimental Models: Cell Lines' WHEN 3 THEN 'Bacterial and Virus Strains' WHEN 5 THEN 'Software and Algorithms' WHEN 6 THEN 'Oligonucleotides' END END AS category FROM part"""
 
 
 def header_roles(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.expr("CASE c_custkey % 8 WHEN 0 THEN 'Resource Type' WHEN 1 THEN 'REAGENT or RESOURCE' WHEN 2 THEN 'Source' WHEN 3 THEN 'Cat# / RRID' WHEN 4 THEN 'Notes' WHEN 5 THEN ' ' WHEN 6 THEN 'Resource' ELSE c_mktsegment END").alias("h"))
-    return c.select("c_custkey", classify.header_role(F.col("h")).alias("role"))
+    """Headers with a customer's name before or after what tells their role."""
+    h = F.expr("CASE c_custkey % 8 WHEN 0 THEN concat('Resource Type ', c_custkey) WHEN 1 THEN concat(c_name, ' REAGENT or SOURCE') WHEN 2 THEN concat('  Source ', c_name) WHEN 3 THEN concat('Cat# / ', c_name) WHEN 4 THEN concat(c_mktsegment, ' notes') WHEN 5 THEN ' ' WHEN 6 THEN concat(c_custkey, ' Resource') ELSE c_mktsegment END")
+    return table(spark, sf_dir, "customer").select("c_custkey", classify.header_role(h).alias("role"))
 
 
 _ROLES = "SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN 'category' WHEN 1 THEN 'reagent' WHEN 2 THEN 'source' WHEN 3 THEN 'identifier' WHEN 4 THEN 'additional' WHEN 6 THEN 'reagent' END AS role FROM customer"
@@ -140,89 +144,40 @@ def phrase_tally(spark, sf_dir):
 
 _HITS = " UNION ALL ".join(f"SELECT doc_id, '{n}' AS phrase, lower(regexp_extract(text, '{p}', 0, 'i')) AS snippet FROM documents WHERE regexp_matches(text, '{p}', 'i')" for n, p in WORDS)
 
-SHEET = """Revision Date 01/02/2024 Version 6.1
-SECTION 1. Identification
-Product name : Example salt
-CAS-No. : 7647-14-5
-Product Number : S123
-Brand : Sigma
-SECTION 2. Hazards
-Signal word : Danger
-H302 Harmful if swallowed.
-H314 Causes severe burns.
-H302 Harmful again here.
-H360FD May damage fertility.
-SECTION 7. Handling and storage
-Storage class : 8B Corrosive
-Recommended storage : 36 - 46 °F / 2 - 8 °C
-hygroscopic and protect from light
-SECTION 9. Physical
-Appearance : Liquid
-Flash point : 55 °F / 13 °C
-Vapor pressure : 57.26 hPa (67.3 °F)
-Viscosity, dynamic : 1,412 mPa.s
-Melting point/ range : 41 - 44 °C
-SECTION 10. Stability
-Incompatible materials : Strong acids
-Oxidizers
-Strong acids
-Hazardous decomp"""
-
-
-def sheets(spark, sf_dir) -> DataFrame:
-    """One sheet for each nation, with numbers of its own."""
-    n = table(spark, sf_dir, "nation")
-    return n.select(F.col("n_nationkey").cast("string").alias("key"), F.replace(F.lit(SHEET), F.lit("13 °C"), F.concat((F.col("n_nationkey") * 5).cast("string"), F.lit(" °C"))).alias("text"))
-
-
-def sheet_fields(spark, sf_dir):
-    p = sheet.parse_sheets(sheets(spark, sf_dir))
-    return p.select("key", "revision_date", "cas", "signal_word", F.array_join("hazard_statements", "|").alias("statements"), "storage_temp_C", "physical_state", "flash_point_C", "vapor_pressure_kPa_20C", "viscosity_mPas_20C", "freeze_point_C", "is_flammable", "is_corrosive", "is_volatile", "viscosity_class", F.array_join("incompatibilities", "|").alias("avoid"), F.array_join("pictograms", "|").alias("pictures"))
-
-
-_FIELDS = """SELECT CAST(n_nationkey AS VARCHAR) AS key, '01/02/2024' AS revision_date, '7647-14-5' AS cas, 'Danger' AS signal_word, 'H302 Harmful if swallowed|H314 Causes severe burns|H360FD May damage fertility' AS statements, CAST(5 AS DOUBLE) AS storage_temp_C, 'liquid' AS physical_state,
-CAST(n_nationkey * 5 AS DOUBLE) AS flash_point_C, CAST(5.726 AS DOUBLE) AS vapor_pressure_kPa_20C, CAST(1412 AS DOUBLE) AS viscosity_mPas_20C, CAST(42.5 AS DOUBLE) AS freeze_point_C, n_nationkey * 5 < 60 AS is_flammable, TRUE AS is_corrosive, TRUE AS is_volatile, 'high' AS viscosity_class,
-'Strong acids|Oxidizers' AS avoid, 'corrosion|exclamation_mark' AS pictures FROM nation"""
-
-
-def sheet_evidence(spark, sf_dir):
-    return sheet.sheet_evidence(sheet.parse_sheets(sheets(spark, sf_dir))).select("key", "flag", "type", "ref")
-
-
-_EVIDENCE = """SELECT CAST(n_nationkey AS VARCHAR) AS key, e.flag, e.type, e.ref FROM nation, (VALUES ('is_corrosive', 'ghs_hcode', 'H314'), ('is_corrosive', 'storage_class', 'Storage class : 8'), ('is_hygroscopic', 'sds_phrase', 'section_7:''hygroscopic'''), ('is_light_sensitive', 'sds_phrase', 'section_7:''protect from light''')) e(flag, type, ref)"""
-
-
-def sheet_audit(spark, sf_dir):
-    return sheet.audit_matrix(sheet.parse_sheets(sheets(spark, sf_dir))).select("key", "is_hygroscopic", "is_light_sensitive", "is_oxidizer", "is_corrosive_storage_hint")
-
-
 def hcode_extract(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", F.format_string("H%03d Some words follow here.\nH%03d Others follow there.", (F.col("c_custkey") % 400 + 100).cast("int"), (F.col("c_custkey") % 37 + 290).cast("int")).alias("s"))
     return c.select("c_custkey", F.array_join(F.transform(sheet.hazards(F.col("s"))["hazard_statements"], lambda x: F.substring(x, 1, 4)), ",").alias("codes"), F.array_join(sheet.pictograms(sheet.hazards(F.col("s"))["hazard_statements"]), ",").alias("pictures"))
 
 
-_PICTURES = sql_values([(c, n) for n, cs in sheet.PICTOGRAMS for c in cs.split() if not (c == "H241" and n == "exploding_bomb")], "pic", "code, name")
+_PICTURES = sql_values([(c, n) for n, cs in sheet.PICTOGRAMS for c in cs if not (c == "H241" and n == "exploding_bomb")], "pic", "code, name")
 _HCODES = f"""WITH {_PICTURES}, c AS (SELECT c_custkey, 'H' || lpad(CAST(c_custkey % 400 + 100 AS VARCHAR), 3, '0') AS a, 'H' || CAST(c_custkey % 37 + 290 AS VARCHAR) AS b FROM customer)
 SELECT c_custkey, CASE WHEN a = b THEN a ELSE a || ',' || b END AS codes, coalesce((SELECT string_agg(DISTINCT name, ',' ORDER BY name) FROM pic WHERE code IN (a, b)), '') AS pictures FROM c"""
 
 
 def sections_split(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("head\nSECTION 3. Alpha\n"), F.col("text"), F.lit("\nSECTION 12. Beta\nSection 4. no\nSECTION 3. Gamma\n"), F.col("lang")).alias("t"))
+    """Whole documents as a section between others; of two sections with one number, the later."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("head\nSECTION 3. Alpha\n"), F.col("lang"), F.lit("\nSECTION 5. Delta\n"), F.col("text"), F.lit("\nSECTION 12. Beta\nSection 4. no\nSECTION 3. Gamma\n"), F.col("source")).alias("t"))
     return lines.select("doc_id", F.explode(sheet.sections(F.col("t"))).alias("section", "body")).select("doc_id", "section", F.length("body").alias("n_chars"))
 
 
-TEMPERATURES = ["55 °F / 13 °C", "36 - 46 °F / 2 - 8 °C", "-20 °C", "41 - 44 °C", "Not applicable", "-25--15 °C", "5 °C", None]
-PRESSURES = ["57.26 hPa (67.3 °F)", "< 0.1 hPa (25 °C)", "No data available", "3.5 kPa", None]
+#: How a part's size is written, and what it means.
+_KINDS = (
+    ("t", "concat('70 °F / ', p_size, ' °C')", "p_size"), ("t", "concat('36 - 46 °F / ', p_size, ' - ', p_size + 3, ' °C')", "p_size + 1.5"), ("t", "concat('-', p_size, ' °C')", "-p_size"), ("t", "concat(p_size, ' - ', p_partkey, ' °C')", "round((p_size + p_partkey) / 2.0, 1)"), ("t", "concat('Not applicable ', p_size, ' °C')", "NULL"),
+    ("t", "concat('-', p_size + 5, '--', p_size, ' °C')", "NULL"), ("p", "concat(p_size, '.26 hPa (67.3 °F)')", "round((p_size + 0.26) / 10, 4)"), ("p", "concat('< ', p_size, ' hPa (25 °C)')", "round(p_size / 10.0, 4)"), ("p", "concat('No data available ', p_size, ' hPa')", "NULL"), ("p", "concat(p_size, '.5 kPa')", "p_size + 0.5"),
+    ("v", "concat(p_size, ',', lpad(p_partkey % 1000, 3, '0'), ' mPa.s')", "p_size * 1000 + p_partkey % 1000"), ("v", "concat(p_size, '.9 mPas')", "p_size + 0.9"), ("v", "concat('no data ', p_size, ' mPa.s')", "NULL"),
+)
 
 
 def numeric_parse(spark, sf_dir):
-    rows = [(t, "t") for t in TEMPERATURES] + [(p, "p") for p in PRESSURES] + [("1,412 mPa.s", "v"), ("4.9 mPas", "v"), ("no data 5 mPa.s", "v")]
-    v = times(table(spark, sf_dir, "region").select("r_regionkey"), rows, raw="string", kind="string")
+    """Temperatures, pressures and viscosities as sheets write them."""
+    raw = F.expr(f"CASE p_partkey % {len(_KINDS)} " + " ".join(f"WHEN {i} THEN {e}" for i, (_, e, _) in enumerate(_KINDS)) + " END")
+    kind = F.expr(f"CASE p_partkey % {len(_KINDS)} " + " ".join(f"WHEN {i} THEN '{k}'" for i, (k, _, _) in enumerate(_KINDS)) + " END")
+    v = table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw"), kind.alias("kind"))
     number = F.when(F.col("kind") == "t", sheet.temperature(F.col("raw"))).when(F.col("kind") == "p", sheet.vapor_pressure(F.col("raw"))).otherwise(sheet.viscosity(F.col("raw")))
-    return v.select("r_regionkey", "kind", "raw", number.alias("number"))
+    return v.select("p_partkey", "kind", number.alias("number"))
 
 
-_NUMBERS = [*zip(TEMPERATURES, "t" * 8, [13.0, 5.0, -20.0, 42.5, None, None, 5.0, None], strict=True), *zip(PRESSURES, "p" * 5, [5.726, 0.01, None, 3.5, None], strict=True), ("1,412 mPa.s", "v", 1412.0), ("4.9 mPas", "v", 4.9), ("no data 5 mPa.s", "v", None)]
+_NUMBERS = f"SELECT p_partkey, CASE p_partkey % {len(_KINDS)} " + " ".join(f"WHEN {i} THEN '{k}'" for i, (k, _, _) in enumerate(_KINDS)) + f" END AS kind, CAST(CASE p_partkey % {len(_KINDS)} " + " ".join(f"WHEN {i} THEN {v}" for i, (_, _, v) in enumerate(_KINDS)) + " END AS DOUBLE) AS number FROM part"
 
 
 def parse_funnel(spark, sf_dir):
@@ -257,30 +212,58 @@ def top_pictograms(spark, sf_dir):
 
 _TOP = "SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'skull_crossbones' WHEN p_size % 5 = 0 THEN 'flame' WHEN p_size % 2 = 0 THEN 'exclamation_mark' WHEN p_size % 3 = 0 THEN 'compressed_gas' END AS top FROM part"
 
+#: An article whose spans and fourth cells vary; every tenth breaks off behind its table, and is read as far as it goes.
 ARTICLE = """<article><sec><title>Key resources table</title><table-wrap><table><thead><tr><th colspan="3">Overview</th></tr><tr><th>REAGENT or RESOURCE</th><th>SOURCE</th><th>IDENTIFIER</th></tr></thead><tbody>
-<tr><td colspan="3">Antibodies</td></tr><tr><td>anti-{name}</td><td rowspan="2">Vendor</td><td>A1</td></tr><tr><td>anti-y</td><td>A2</td></tr><tr><td>Chemicals</td><td/><td>—</td></tr><tr><td>{name}</td><td>S</td><td>1</td><td>note</td></tr><tr><td>short</td></tr></tbody></table></table-wrap></sec></article>"""
+<tr><td colspan="3">Antibodies</td></tr><tr><td>anti-{name}</td><td rowspan="{tall}">{brand}</td><td colspan="{wide}">A{key}</td></tr><tr><td>anti-y</td><td>B{size}</td></tr><tr><td>Chemicals</td><td/><td>—</td></tr><tr><td>{name}</td><td>S &amp; T</td><td>1</td><td>{more}</td></tr><tr><td>short</td></tr></tbody></table></table-wrap></sec>"""
 
 
 def articles(spark, sf_dir) -> DataFrame:
     parts = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")  # articles are made of one small file, which would be one task
-    return parts.select(F.col("p_partkey").cast("string").alias("pmcid"), F.when(F.col("p_partkey") % 10 == 9, F.lit("<broken")).otherwise(F.replace(F.lit(ARTICLE), F.lit("{name}"), F.col("p_name"))).alias("xml"))
+    xml = F.lit(ARTICLE)
+    for name, e in {"name": "p_name", "brand": "p_brand", "key": "p_partkey", "size": "p_size", "tall": "1 + p_size % 2", "wide": "1 + p_partkey % 2", "more": "CASE WHEN p_size % 3 = 0 THEN '' ELSE p_type END"}.items():
+        xml = F.replace(xml, F.lit("{" + name + "}"), F.expr(f"CAST({e} AS STRING)"))
+    return parts.select(F.col("p_partkey").cast("string").alias("pmcid"), F.when(F.col("p_partkey") % 10 == 9, F.concat(xml, F.lit("<sec><p>cut &nosuch; <b"))).otherwise(F.concat(xml, F.lit("</article>"))).alias("xml"))
 
 
 def grid_expand(spark, sf_dir):
     return tables.table_rows(tables.expand_tables(articles(spark, sf_dir)))
 
 
-_GRID = """SELECT CAST(p_partkey AS VARCHAR) AS pmcid, 0 AS table_idx, r.row_idx, r.category, replace(r.name, '{name}', p_name) AS reagent_name, r.source, r.identifier, r.more AS additional_info, r.w AS parser_warnings FROM part,
-(VALUES (1, 'Antibodies', 'anti-{name}', 'Vendor', 'A1', '', ''), (2, 'Antibodies', 'anti-y', 'Vendor', 'A2', '', ''), (4, 'Chemicals, Peptides, and Recombinant Proteins', '{name}', 'S', '1', 'note', 'captured_1_extra_cells'),
- (5, 'Chemicals, Peptides, and Recombinant Proteins', 'short', '', '', '', 'only_1_cells_expected_3')) r(row_idx, category, name, source, identifier, more, w) WHERE p_partkey % 10 <> 9"""
+_GRID = """WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS pmcid, *, p_size % 2 = 1 AS tall, p_partkey % 2 = 1 AS wide FROM part), chem(c) AS (VALUES ('Chemicals, Peptides, and Recombinant Proteins'))
+SELECT pmcid, 0 AS table_idx, 1 AS row_idx, 'Antibodies' AS category, 'anti-' || p_name AS reagent_name, p_brand AS source, 'A' || p_partkey AS identifier, CASE WHEN wide THEN 'A' || p_partkey ELSE '' END AS additional_info, CASE WHEN wide THEN 'captured_1_extra_cells' ELSE '' END AS parser_warnings FROM p
+UNION ALL SELECT pmcid, 0, 2, 'Antibodies', 'anti-y', CASE WHEN tall THEN p_brand ELSE 'B' || p_size END, CASE WHEN tall THEN 'B' || p_size ELSE '' END, '', CASE WHEN tall THEN '' ELSE 'only_2_cells_expected_3' END FROM p
+UNION ALL SELECT pmcid, 0, 4, c, p_name, 'S & T', '1', CASE WHEN p_size % 3 = 0 THEN '' ELSE p_type END, CASE WHEN p_size % 3 = 0 THEN '' ELSE 'captured_1_extra_cells' END FROM p, chem
+UNION ALL SELECT pmcid, 0, 5, c, 'short', '', '', '', 'only_1_cells_expected_3' FROM p, chem"""
 
 
 def variant_names(spark, sf_dir) -> DataFrame:
-    """Part names with small changes, so that some are similar."""
-    p = table(spark, sf_dir, "part").select(F.concat_ws(" ", F.lit("recombinant"), F.substring(F.md5(F.concat("p_name", "p_type")), 1, 24), "p_name", "p_type").alias("stem"), (F.col("p_partkey") % 4).alias("v"))
+    """Part names behind words that all of them share, with small changes, so that some are similar. Of each, how many parts have it."""
+    p = table(spark, sf_dir, "part").select(F.concat(F.lit("recombinant human carrier free "), F.col("p_name")).alias("stem"), (F.col("p_partkey") % 4).alias("v"))
     return p.select(F.concat("stem", F.expr("CASE v WHEN 0 THEN '' WHEN 1 THEN 's' WHEN 2 THEN ' x' ELSE ' solution' END")).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
 
 
+#: The words that part names are made of, on any scale.
+_FIRST, _LAST = ("blue", "cold", "hot", "large", "new", "old", "red", "small"), ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+
+
+def _similar(names: list[str]) -> list[tuple[str, str, float]]:
+    """All pairs of names, compared one by one: what the queries are held against."""
+    out = []
+    for i, b in enumerate(sorted(names)):
+        matcher = SequenceMatcher(None, b=b)
+        for a in sorted(names)[:i]:
+            matcher.set_seq1(a)
+            if matcher.real_quick_ratio() >= fuzzy.THRESHOLD and matcher.quick_ratio() >= fuzzy.THRESHOLD and matcher.ratio() >= fuzzy.THRESHOLD:
+                out.append((a, b, matcher.ratio()))
+    return out
+
+
+_STEMS = [f"recombinant human carrier free {a} {b}" for a in _FIRST for b in _LAST]
+_VARIANTS = """v AS (SELECT 'recombinant human carrier free ' || p_name || CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN 's' WHEN 2 THEN ' x' ELSE ' solution' END AS name, count(*) AS n FROM part GROUP BY 1)"""
+_PAIRS = sql_values(_similar([s + e for s in _STEMS for e in ("", "s", " x", " solution")]), "near", "a, b, ratio")
+_FORMS = sql_values(_similar([s + e for s in _STEMS for e in ("", "s", " x")]), "near", "a, b, ratio")
+
+
 def fuzzy_pairs(spark, sf_dir):
     return fuzzy.similar_pairs(variant_names(spark, sf_dir))
 
@@ -289,6 +272,14 @@ def dedup_verdict(spark, sf_dir):
     return mining.duplicates(variant_names(spark, sf_dir)).select("slug", "n", "canonical", "verdict")
 
 
+_DEDUP = f"""WITH RECURSIVE {_VARIANTS}, {_FORMS}, f AS (SELECT name, n, replace(name, ' ', '-') AS slug, regexp_replace(name, ' solution$', '') AS form FROM v),
+link AS (SELECT a, b FROM near WHERE a IN (SELECT form FROM f) AND b IN (SELECT form FROM f) UNION ALL SELECT b, a FROM near WHERE a IN (SELECT form FROM f) AND b IN (SELECT form FROM f)),
+reach(form, other) AS (SELECT form, form FROM f UNION SELECT r.form, link.b FROM reach r JOIN link ON r.other = link.a),
+c AS (SELECT form, min(other) AS cluster FROM reach GROUP BY 1), every AS (SELECT slug, n, cluster FROM f JOIN c USING (form)),
+best AS (SELECT cluster, slug AS canonical FROM every QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY n DESC, slug) = 1)
+SELECT slug, n, canonical, CASE WHEN slug = canonical THEN 'keep' ELSE 'drop' END AS verdict FROM every JOIN best USING (cluster)"""
+
+
 def scaffold_records(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select(F.concat(F.lit("anti-"), "p_name").alias("normalized_name"), F.col("p_brand").alias("source"), F.col("p_size").cast("string").alias("identifier"), F.lit("").alias("cas"), F.col("p_partkey").alias("ord"))
     out = mining.scaffold(rows, values(spark, [("anti-red-bolt",)], "key string"))
@@ -323,26 +314,23 @@ ENTRIES: dict[str, Entry] = {
     "forward_fill_category": (forward_fill_category, "WITH c AS (SELECT conv_id, turn, role, CASE WHEN (turn + conv_id) % 3 = 0 THEN role || '-' || CAST(turn AS VARCHAR) END AS h FROM conversations) SELECT conv_id, turn, category FROM (SELECT *, last_value(h IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role ROWS UNBOUNDED PRECEDING) AS category FROM c) WHERE h IS NULL"),
     "normalize_names": (normalize_names, _NAMES),
     "slugify": (slugify, "SELECT page_id, regexp_replace(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM pages"),
-    "clean_catalogs": (clean_catalogs, f"WITH {sql_values(list(zip(CATALOGS, ['A123', '77', '9-1', 'Cat#5', 'X-12', '', 'z9'], strict=True)), 'c', 'raw, catalog')} SELECT r_regionkey, raw, catalog FROM region, c"),
-    "classify_names": (classify_names, "WITH x(class, k) AS (VALUES " + ", ".join(f"({quoted(c)}, {n})" for c, n in _EXPECTED.items()) + ") SELECT class, CAST(k + CASE WHEN class = 'other' THEN (SELECT count(*) FROM part) ELSE 0 END AS BIGINT) AS n FROM x"),
-    "class_each": (class_each, "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'kit' WHEN 1 THEN 'enzyme' WHEN 2 THEN 'antibody' ELSE 'kit' END AS class FROM documents"),
-    "heading_categories": (heading_categories, f"WITH {sql_values([(1, 'Chemicals, Peptides, and Recombinant Proteins'), (2, 'Antibodies'), (3, None), (4, 'Software and Algorithms'), (5, None), (6, 'Experimental Models: Cell Lines'), (7, 'Experimental Models: Organisms/Strains'), (8, None), (9, 'Bacterial and Virus Strains')], 'h', 'k, category')} SELECT r_regionkey, k, category FROM region, h"),
+    "clean_catalogs": (clean_catalogs, "SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'A' || p_partkey WHEN 1 THEN CAST(p_size AS VARCHAR) WHEN 2 THEN p_size || '-1' WHEN 3 THEN 'Cat#' || p_partkey WHEN 4 THEN 'X-' || p_partkey WHEN 5 THEN '' ELSE 'z' || p_partkey END AS catalog FROM part"),
+    "classify_names": (classify_names, f"SELECT class, count(*) AS n FROM ({_CLASS}) GROUP BY 1"),
+    "class_each": (class_each, _CLASS),
+    "heading_categories": (heading_categories, _HEADING),
     "header_roles": (header_roles, _ROLES),
     "phrase_scan": (phrase_scan, f"WITH h AS ({_HITS}) SELECT phrase, count(*) AS n, min(doc_id) AS first_doc FROM h GROUP BY 1"),
     "phrase_tally": (phrase_tally, f"WITH h AS ({_HITS}) SELECT phrase, trim(snippet[1:60]) AS snippet, count(*) AS n FROM h GROUP BY 1, 2"),
     "hcode_extract": (hcode_extract, _HCODES),
-    "sheet_fields": (sheet_fields, _FIELDS),
-    "sheet_evidence": (sheet_evidence, _EVIDENCE),
-    "sheet_audit": (sheet_audit, "SELECT CAST(n_nationkey AS VARCHAR) AS key, TRUE AS is_hygroscopic, TRUE AS is_light_sensitive, FALSE AS is_oxidizer, TRUE AS is_corrosive_storage_hint FROM nation"),
-    "sections_split": (sections_split, "SELECT doc_id, 3 AS section, CAST(length(lang) + 5 AS INTEGER) AS n_chars FROM documents UNION ALL SELECT doc_id, 12, 18 FROM documents"),
-    "numeric_parse": (numeric_parse, f"WITH {sql_values(_NUMBERS, 'v', 'raw, kind, number')} SELECT r_regionkey, kind, raw, CAST(number AS DOUBLE) AS number FROM region, v"),
+    "sections_split": (sections_split, "SELECT doc_id, 3 AS section, CAST(length(source) + 5 AS INTEGER) AS n_chars FROM documents UNION ALL SELECT doc_id, 5, CAST(length(text) + 6 AS INTEGER) FROM documents UNION ALL SELECT doc_id, 12, 18 FROM documents"),
+    "numeric_parse": (numeric_parse, _NUMBERS),
     "parse_funnel": (parse_funnel, _FUNNEL),
     "token_overlap": (token_overlap, r"SELECT item_id, len(list_intersect(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: length(t) >= 4), ['ther', 'then', 'with', 'that'])) > 0 AS overlap FROM benchmark"),
     "title_names": (title_names, _TITLE),
     "top_pictograms": (top_pictograms, _TOP),
     "grid_expand": (grid_expand, _GRID),
-    "fuzzy_pairs": (fuzzy_pairs, None),
-    "dedup_verdict": (dedup_verdict, None),
+    "fuzzy_pairs": (fuzzy_pairs, f"WITH {_VARIANTS}, {_PAIRS} SELECT a, b, ratio FROM near WHERE a IN (SELECT name FROM v) AND b IN (SELECT name FROM v)"),
+    "dedup_verdict": (dedup_verdict, _DEDUP),
     "scaffold_records": (scaffold_records, _SCAFFOLD),
     "events_incremental": (events_incremental, "SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events WHERE value > 10 GROUP BY 1"),
     "events_windows": (events_windows, "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events GROUP BY 1, 2"),

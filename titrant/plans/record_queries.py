@@ -90,21 +90,6 @@ def count_fallback(spark, sf_dir):
     return lookups.count_with_fallback(rows, values(spark, COUNTS, "name string, n long"), "p_name", "other").select("p_partkey", "n")
 
 
-def merge_precedence(spark, sf_dir):
-    """A document's own fields over those of its label, empty ones counting as missing."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    joined = d.join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "left")
-    blank = lambda c: F.nullif(c, F.lit(""))
-    return joined.select(
-        "doc_id", F.coalesce(blank(F.when(F.col("lang") != "en", F.col("lang")).otherwise(F.lit(""))), F.when(F.col("quality") == 1, "good"), F.lit("unknown")).alias("name"), F.coalesce(F.when(F.col("toxic") == 1, 0.0), F.col("n_chars").cast("double")).alias("size"),
-        text.vendor_label(blank(F.col("source")), F.col("quality").cast("string")).alias("label"),
-    )
-
-
-_MERGE = """SELECT d.doc_id, coalesce(nullif(CASE WHEN lang <> 'en' THEN lang ELSE '' END, ''), CASE WHEN quality = 1 THEN 'good' END, 'unknown') AS name, coalesce(CASE WHEN toxic = 1 THEN CAST(0 AS DOUBLE) END, CAST(n_chars AS DOUBLE)) AS size,
-trim(concat_ws(' ', nullif(source, ''), CAST(quality AS VARCHAR))) AS label FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
-
-
 def first_seen(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
     return lookups.one_per_key(e, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).select("user_id", "event_type", "event_id")
@@ -184,7 +169,6 @@ ENTRIES: dict[str, Entry] = {
     "downloads_split": (downloads_split, "SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 'have_sheet' ELSE 'download' END AS state FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)"),
     "orphans_union": (orphans_union, _ORPHANS),
     "count_fallback": (count_fallback, f"WITH {sql_values(COUNTS, 'c', 'name, n')} SELECT p_partkey, CAST(coalesce(a.n, b.n, 0) AS BIGINT) AS n FROM part LEFT JOIN c a ON p_name = a.name LEFT JOIN c b ON lower(replace(p_brand, '#', ' ')) = b.name"),
-    "merge_precedence": (merge_precedence, _MERGE),
     "first_seen": (first_seen, "SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1"),
     "canonical_per_cluster": (canonical_per_cluster, "SELECT p_brand, p_name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY count(*) DESC, p_name) = 1"),
     "limit_per_group": (limit_per_group, "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 2"),

@@ -187,7 +187,7 @@ def validate_counts(spark, sf_dir):
 
 
 def evidence_enrich(spark, sf_dir):
-    """Supplier records with events as evidence (a user is a supplier), fused in one join."""
+    """Supplier records with events as evidence (a user is a supplier), fused in one join; records of the first version (every ninth) are passed over."""
     new = sources(spark, sf_dir).select(F.col("user_id").alias("s_suppkey"), F.lit("is_protein").alias("flag"), "type", F.concat(F.lit("e"), (F.floor("value") % 3).cast("string")).alias("ref"), "agrees", F.col("event_id").alias("ord"))
     out = evidence.enrich(supplier_records(spark, sf_dir), new, "s_suppkey")
     f = F.col("flags")["is_protein"]
@@ -195,7 +195,7 @@ def evidence_enrich(spark, sf_dir):
 
 
 _ENRICH = f"""WITH {_SOURCES}, r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'chebi' ELSE 'manufacturer_protocol' END AS type, 'r' AS ref, s_acctbal > 0 AS agrees, -1 AS ord FROM supplier),
-x AS (SELECT user_id AS s_suppkey, type, 'e' || CAST(CAST(floor(value) AS BIGINT) % 3 AS VARCHAR) AS ref, agrees, event_id AS ord FROM s WHERE user_id IN (SELECT s_suppkey FROM supplier)),
+x AS (SELECT user_id AS s_suppkey, type, 'e' || CAST(CAST(floor(value) AS BIGINT) % 3 AS VARCHAR) AS ref, agrees, event_id AS ord FROM s WHERE user_id IN (SELECT s_suppkey FROM supplier) AND user_id % 9 <> 0),
 every AS (SELECT * FROM r UNION ALL SELECT * FROM x),
 one AS (SELECT *, {_TIERS.replace("WHEN 'ghs_hcode' THEN 'high'", "WHEN 'ghs_hcode' THEN 'high' WHEN 'chebi' THEN 'high'")} AS tier FROM every QUALIFY row_number() OVER (PARTITION BY s_suppkey, type, ref ORDER BY ord) = 1),
 g AS (SELECT s_suppkey, count(*) AS n, bool_or(tier = 'high' AND coalesce(agrees, TRUE)) AS hy, bool_or(tier = 'high' AND NOT coalesce(agrees, TRUE)) AS hn, bool_or(tier = 'medium' AND coalesce(agrees, TRUE)) AS my FROM one GROUP BY 1),

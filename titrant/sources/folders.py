@@ -1,22 +1,39 @@
-"""Tables kept between steps: in the folder that the session's cluster shares."""
+"""Tables kept between steps: in the folder that the session's cluster shares.
+
+All that a session keeps lies below one folder of its own there, which goes when the driver's process ends.
+"""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUNS: dict[str, str] = {}
+
+
+def _removed(jvm, settings, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(settings).delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone; what stays is for whoever owns the folder
+        return
+
 
 def shared(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where a local session has none, a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="titrant-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """This session's own folder in ``spark.checkpoint.dir``; where a local session has none, in a temporary folder. The setting is only read."""
+    context = spark.sparkContext
+    if context.applicationId not in _RUNS:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = "file://" + tempfile.mkdtemp(prefix="titrant-")
+        _RUNS[context.applicationId] = f"{folder.rstrip('/')}/tables-{uuid.uuid4().hex}"
+        atexit.register(_removed, context._jvm, context._jsc.hadoopConfiguration(), _RUNS[context.applicationId])
+    return _RUNS[context.applicationId]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -64,5 +64,5 @@ def xml_papers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sheet_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """``key, text``: sheets whose text was extracted before; pages that have none are empty."""
+    """``key, text``: sheets whose text was extracted before. Spark's scans pass over files without a byte, so a sheet without text needs a blank in its file."""
     return spark.read.text(folder, wholetext=True).select(stem(F.col("_metadata.file_name")).alias("key"), F.coalesce("value", F.lit("")).alias("text"))

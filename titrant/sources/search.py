@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -21,20 +22,27 @@ def journal_query(issns: list[str], first_year: int, last_year: int) -> str:
     return f"({any_issn}) AND OPEN_ACCESS:y AND HAS_FT:y AND FIRST_PDATE:[{first_year}-01-01 TO {last_year}-12-31]"
 
 
-def fetched(get: Fetch, what: str, tries: int = 3, wait: Callable[[float], None] = time.sleep) -> dict | None:
-    """JSON from the service; server errors and broken bodies are tried again, twice as long apart each time."""
-    for attempt in range(tries):
+class ServiceError(RuntimeError):
+    """A service that persistently fails: what it would have given is missing, so the run ends."""
+
+
+def fetched(get: Fetch, what: str, tries: int = 3, wait: Callable[[float], None] = time.sleep) -> dict:
+    """JSON from the service; server errors and broken bodies are tried again, twice as long apart each time. Raises :class:`ServiceError`, so that no result is partial without a word."""
+    why = "no attempt"
+    for attempt in range(1, tries + 1):
         status, body = get(what)
         if status == 200:
             try:
                 return json.loads(body)
-            except ValueError:
-                pass
+            except ValueError as e:
+                why = f"not JSON: {e}"
         elif status < 500:
-            return None
-        if attempt + 1 < tries:
+            raise ServiceError(f"status {status} for {what}: {body[:200]}")
+        else:
+            why = f"status {status}"
+        if attempt < tries:
             wait(2.0**attempt)
-    return None
+    raise ServiceError(f"{why} after {tries} attempts for {what}")
 
 
 def search(get: Fetch, query: str, limit: int = 0, wait: Callable[[float], None] = time.sleep) -> Iterator[dict]:
@@ -42,18 +50,24 @@ def search(get: Fetch, query: str, limit: int = 0, wait: Callable[[float], None]
     cursor, n = "*", 0
     while True:
         page = fetched(get, json.dumps({"query": query, "cursorMark": cursor, "pageSize": 1000}), wait=wait)
-        hits = ((page or {}).get("resultList") or {}).get("result") or []
+        hits = (page.get("resultList") or {}).get("result") or []
         for hit in hits:
             yield hit
             n += 1
             if limit and n >= limit:
                 return
-        following = (page or {}).get("nextCursorMark")
+        following = page.get("nextCursorMark")
         if not hits or not following or following == cursor:
             return
         cursor = following
 
 
+def transport(named: str) -> Callable:
+    """The function that ``module:function`` names."""
+    module, _, function = named.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 class LiteratureSource(DataSource):
     """Options: ``journals`` (JSON: name to ISSNs), ``first_year``, ``last_year``, ``limit``, ``transport`` (``module:function``)."""
 
@@ -77,9 +91,5 @@ class LiteratureReader(DataSourceReader):
         return [JournalPartition(j, journal_query(issns, int(self.options.get("first_year", 2017)), int(self.options.get("last_year", 2100)))) for j, issns in journals.items()]
 
     def read(self, partition):
-        import importlib
-
-        module, _, function = self.options["transport"].partition(":")
-        get = getattr(importlib.import_module(module), function)
-        for hit in search(get, partition.query, int(self.options.get("limit", 0))):
+        for hit in search(transport(self.options["transport"]), partition.query, int(self.options.get("limit", 0))):
             yield partition.journal, hit.get("pmcid"), (hit.get("firstPublicationDate") or "")[:4], (hit.get("title") or "")[:200]

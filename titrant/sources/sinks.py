@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rules import bench_notes, nested_profile
+from .folders import written
 
 
 def records(df: DataFrame, path: str) -> None:
@@ -20,20 +21,43 @@ def profile_documents(applied: DataFrame) -> DataFrame:
 
 
 def profiles(applied: DataFrame, path: str) -> None:
-    """One folder for each record."""
-    profile_documents(applied).write.mode("overwrite").partitionBy("key").text(path)
+    """``key`` and document as rows of JSON, in as many files as there are tasks, however many records there are."""
+    profile_documents(applied).write.mode("overwrite").json(path)
+
+
+#: So many files at most are written one a record.
+FEW = 10_000
+
+
+def profile_files(applied: DataFrame, path: str) -> None:
+    """One folder for each record, for small sets: a folder a record would wear out any store beyond that."""
+    documents = written(profile_documents(applied), "documents")
+    if (n := documents.count()) > FEW:
+        raise ValueError(f"{n} records are too many for a folder each; write them as rows")
+    documents.repartition("key").write.mode("overwrite").partitionBy("key").text(path)
 
 
 def mirrors(df: DataFrame, *paths: str) -> None:
-    """The same snapshot in several places; what was there before goes."""
-    for path in paths:
-        df.write.mode("overwrite").json(path)
+    """The same snapshot in several places, computed once; what was there before goes."""
+    df.write.mode("overwrite").json(paths[0])
+    for path in paths[1:]:
+        df.sparkSession.read.schema(df.schema).json(paths[0]).write.mode("overwrite").json(path)
 
 
 def index(manifest: DataFrame, path: str) -> None:
-    """The published index, in its order: one JSON array, as it is a page's worth for people."""
-    lines = manifest.select(F.to_json(F.struct(*manifest.columns), {"ignoreNullFields": "false"}).alias("value"))
-    lines.coalesce(1).write.mode("overwrite").text(path, lineSep=",\n")
+    """The published index: its files, read in order of name, are one JSON array with the rows in their order.
+
+    The rows keep the partitions of their sort, so no task holds them all.
+    """
+    lines = manifest.select(F.to_json(F.struct(*manifest.columns), {"ignoreNullFields": "false"}).alias("value"), F.monotonically_increasing_id().alias("place"))
+    lines = written(lines, "index")
+    ends = lines.agg(F.min("place").alias("first"), F.max("place").alias("last")).first()
+    if ends.first is None:
+        out = lines.sparkSession.createDataFrame([("[]",)], "value string")
+    else:
+        begin, end = F.when(F.col("place") == ends.first, "[").otherwise(","), F.when(F.col("place") == ends.last, "]").otherwise("")
+        out = lines.orderBy("place").select(F.concat(begin, "value", end).alias("value"))
+    out.write.mode("overwrite").text(path)
 
 
 def csv(df: DataFrame, path: str) -> None:
