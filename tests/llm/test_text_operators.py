@@ -247,8 +247,10 @@ def test_automaton_is_the_merges():
                 merges.append((str(a), str(b)))
                 tokens.append(str(a + b))
         machine = bpe_automaton.Automaton({t: i for i, t in enumerate(tokens)}, merges)
-        for _ in range(60):
-            word = "".join(rng.choice(["a", "b", "c"], rng.integers(1, 12)))
+        words = ["".join(rng.choice(["a", "b", "c"], rng.integers(0, 100 if k == 7 else 12))) for k in range(60)]
+        together = machine.encode_many(words)
+        for word, ids in zip(words, together, strict=True):
+            assert machine.encode(word) == ids
             parts = list(word)
             for a, b in merges:
                 i = 0
@@ -296,6 +298,29 @@ def test_wavelet_matrix():
         token_shards.unpack(b"nope")
 
 
+def test_shards_are_read_in_parts(monkeypatch):
+    """What the compressed file answers, and how little of it is inflated for it."""
+    monkeypatch.setattr(token_shards, "CHUNK", 2048)
+    x = np.random.default_rng(1).zipf(1.3, 40_000) % 1000
+    for ids in (x, x[:1], x[:0], x[:16384], x[:16385]):
+        blob = token_shards.pack([7], np.array([len(ids)]), ids, 10)
+        m = token_shards.unpack(blob)[2]
+        assert (m.all_ids() == ids).all()
+        m = token_shards.unpack(blob)[2]
+        for i in range(0, len(ids), 1777):
+            assert m.access(i) == ids[i] and m.rank(int(ids[i]), i) == (ids[:i] == ids[i]).sum()
+        for t in (0, 1, 5, 999, 1023, 1024):
+            at = np.flatnonzero(ids == t)
+            assert m.rank(t) == len(at) and [m.select(t, k) for k in range(0, len(at), 97)] == at[::97].tolist()
+            assert m.select(t, len(at)) == m.select(t, -1) == -1
+        assert m.find(1).tolist() == np.flatnonzero(ids == 1).tolist() and m.find(1024).tolist() == []
+    m = token_shards.unpack(token_shards.pack([7], np.array([len(x)]), x, 10))[2]
+    m.access(5)
+    assert len(m.bits.inflated) <= 10 < 10 * -(-len(x) // 16384)
+    with pytest.raises(IndexError):
+        m.access(len(x))
+
+
 def test_registered():
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and set(ORACLE_SQL) <= set(QUERIES)
 

@@ -151,6 +151,38 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
         lo = hi
 
 
+class IntTable:
+    """A table from non-negative integers to integers, looked up many at a time (open addressing)."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            _, first = np.unique(at[left], return_index=True)
+            mine = left[first]
+            mine = mine[self.keys[at[mine]] < 0]
+            self.keys[at[mine]], self.values[at[mine]] = keys[mine], values[mine]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((np.asarray(keys).astype(np.uint64) * ODD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray, missing: int) -> np.ndarray:
+        at = self._slot(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.values[at], missing)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[at[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
+
 Compute = Callable[[Slice, pa.RecordBatch], dict]
 
 

@@ -3,8 +3,10 @@
 A shard holds some consecutive documents' token ids. Its matrix has one bit plane per bit of an id, the highest first;
 below each plane the ids stand stably partitioned by that plane's bit. With the number of ones before each block of 512
 bits, ``access``, ``rank`` (how often a token stands in a prefix) and ``select`` (where its k-th occurrence stands) take
-one step per plane. A shard's file is: ``WVM1``, a length, a JSON head (counts, zeros per plane, sizes), then the
-zstandard-compressed document ids, document lengths and planes, each its own frame. Rank blocks are counted on opening.
+one step per plane. A shard's file is: ``WVM2``, a length, a JSON head (counts, zeros per plane, sizes of frames), then
+zstandard frames: whether there is a document id, the document ids, their numbers of tokens, for every plane the ones
+before its blocks, and for every plane its bits in chunks of ``CHUNK`` bytes. A frame is inflated when it is first
+needed, so a step reads one list of blocks and one chunk of a plane.
 
 Shards are rows of a Parquet table (``part``, ``shard``, ``first_token`` within the part, ``n_docs``, ``n_tokens``,
 ``blob``), so Spark's commit protocol covers them, any store that Spark writes to will do, and a lost executor's shards
@@ -40,54 +42,114 @@ from .storage import shared_folder
 END_ID = 2
 SHARD_TOKENS = 1 << 20
 BLOCK = 512
-_MAGIC = b"WVM1"
+#: Bytes of a plane in one frame; a multiple of a block's.
+CHUNK = 1 << 15
+_MAGIC = b"WVM2"
+
+
+class Planes:
+    """Bits of planes, whole ones in memory."""
+
+    def __init__(self, bits: list[np.ndarray]):
+        self.bits = bits
+        self.counts: dict[int, np.ndarray] = {}
+
+    def __len__(self) -> int:
+        return len(self.bits)
+
+    def whole(self, depth: int) -> np.ndarray:
+        return self.bits[depth]
+
+    def block(self, depth: int, at: int) -> np.ndarray:
+        """The bytes of a block."""
+        return self.bits[depth][at * BLOCK // 8 : (at + 1) * BLOCK // 8]
+
+    def before(self, depth: int) -> np.ndarray:
+        """The ones before each block, and all ones."""
+        if depth not in self.counts:
+            raw = self.bits[depth]
+            ones = np.zeros(-(-len(raw) * 8 // BLOCK) * BLOCK // 8, np.uint8)
+            np.bitwise_count(raw, out=ones[: len(raw)])
+            total = ones.reshape(-1, BLOCK // 8).sum(1, dtype=np.uint32)
+            self.counts[depth] = np.concatenate([np.zeros(1, np.uint32), np.cumsum(total, dtype=np.uint32)])
+        return self.counts[depth]
+
+
+class StoredPlanes(Planes):
+    """Bits of planes in the frames of a file, inflated as they are needed."""
+
+    def __init__(self, blob: memoryview, step: int, counts: list[tuple[int, int]], chunks: list[list[tuple[int, int]]]):
+        super().__init__([np.zeros(0, np.uint8)] * len(chunks))
+        self.blob, self.step, self.where, self.chunks, self.opener = blob, step, counts, chunks, zstandard.ZstdDecompressor()
+        self.inflated: dict[tuple[int, int], np.ndarray] = {}
+
+    def _frame(self, at: tuple[int, int], kind: str) -> np.ndarray:
+        return np.frombuffer(self.opener.decompress(self.blob[at[0] : at[0] + at[1]]), kind)
+
+    def whole(self, depth: int) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint8), *[self._frame(c, np.uint8) for c in self.chunks[depth]]])
+
+    def block(self, depth: int, at: int) -> np.ndarray:
+        c, lo = divmod(at * BLOCK // 8, self.step)
+        if (depth, c) not in self.inflated:
+            self.inflated[depth, c] = self._frame(self.chunks[depth][c], np.uint8)
+        return self.inflated[depth, c][lo : lo + BLOCK // 8]
+
+    def before(self, depth: int) -> np.ndarray:
+        if depth not in self.counts:
+            self.counts[depth] = self._frame(self.where[depth], "<u4")
+        return self.counts[depth]
 
 
 class WaveletMatrix:
     """Over ``ids`` below ``2 ** planes``."""
 
-    def __init__(self, bits: list[np.ndarray], zeros: list[int], n: int):
+    def __init__(self, bits: Planes, zeros: list[int], n: int):
         self.bits, self.zeros, self.n, self.planes = bits, zeros, n, len(bits)
-        self.blocks: list[np.ndarray] | None = None
 
     @classmethod
     def build(cls, ids: np.ndarray, planes: int) -> WaveletMatrix:
-        now, bits, zeros = np.asarray(ids, np.uint32), [], []
+        kind = np.uint16 if planes <= 16 else np.uint32
+        now, bits, zeros = np.asarray(ids).astype(kind), [], []
         for p in range(planes - 1, -1, -1):
-            bit = (now >> np.uint32(p)) & np.uint32(1) != 0
+            bit = (now & kind(1 << p)).astype(bool)
             bits.append(np.packbits(bit, bitorder="little"))
             now = np.concatenate([low := now[~bit], now[bit]])
             zeros.append(len(low))
-        return cls(bits, zeros, len(ids))
+        return cls(Planes(bits), zeros, len(ids))
 
     def all_ids(self) -> np.ndarray:
         """Every id, from the lowest plane up."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for depth in range(self.planes - 1, -1, -1):
-            bit = np.unpackbits(self.bits[depth], count=self.n, bitorder="little").view(bool)
+            bit = np.unpackbits(self.bits.whole(depth), count=self.n, bitorder="little").view(bool)
             back = np.empty_like(out)
             back[~bit] = out[: self.zeros[depth]]
-            back[bit] = out[self.zeros[depth] :] | np.uint32(1 << (self.planes - 1 - depth))
+            back[bit] = out[self.zeros[depth] :] | kind(1 << (self.planes - 1 - depth))
             out = back
-        return out
+        return out.astype(np.uint32)
 
     def _ones(self, depth: int, i: int) -> int:
         """Ones among the first ``i`` bits of a plane."""
-        if self.blocks is None:
-            step = BLOCK // 8
-            self.blocks = []
-            for b in self.bits:
-                padded = np.zeros(-(-len(b) // step) * step, np.uint8)
-                padded[: len(b)] = b
-                counts = np.bitwise_count(padded).reshape(-1, step).sum(1, dtype=np.int64)
-                self.blocks.append(np.concatenate([[0], np.cumsum(counts)]))
-        at = i // BLOCK
-        part = self.bits[depth][at * BLOCK // 8 : i // 8]
-        rest = int(self.bits[depth][i // 8]) & ((1 << (i % 8)) - 1) if i % 8 else 0
-        return int(self.blocks[depth][at]) + int(np.bitwise_count(part).sum()) + rest.bit_count()
+        at, rest = divmod(i, BLOCK)
+        count = int(self.bits.before(depth)[at])
+        if rest:
+            raw = self.bits.block(depth, at)[: -(-rest // 8)]
+            count += int(np.bitwise_count(raw[: rest // 8]).sum()) + (int(raw[-1]) & ((1 << rest % 8) - 1)).bit_count() * (rest % 8 > 0)
+        return count
 
     def _bit(self, depth: int, i: int) -> int:
-        return int(self.bits[depth][i // 8]) >> (i % 8) & 1
+        return int(self.bits.block(depth, i // BLOCK)[i % BLOCK // 8]) >> (i % 8) & 1
+
+    def _place(self, depth: int, one: int, k: int) -> int:
+        """Where the bit number ``k`` (from 0) of its kind stands in a plane."""
+        before = self.bits.before(depth).astype(np.int64)
+        if not one:
+            before = np.arange(len(before)) * BLOCK - before
+        at = int(np.searchsorted(before, k, "right")) - 1
+        bit = np.unpackbits(self.bits.block(depth, at), bitorder="little")
+        return at * BLOCK + int(np.flatnonzero(bit == one)[k - int(before[at])])
 
     def access(self, i: int) -> int:
         """The id at place ``i``."""
@@ -125,42 +187,48 @@ class WaveletMatrix:
         at = self._span(token, 0)[0] + k
         for depth in range(self.planes - 1, -1, -1):
             one = token >> (self.planes - 1 - depth) & 1
-            want = at - self.zeros[depth] if one else at
-            lo, hi = 0, self.n
-            while lo < hi:  # the least prefix with want + 1 such bits
-                mid = (lo + hi) // 2
-                ones = self._ones(depth, mid + 1)
-                if (ones if one else mid + 1 - ones) > want:
-                    hi = mid
-                else:
-                    lo = mid + 1
-            at = lo
+            at = self._place(depth, one, at - self.zeros[depth] if one else at)
         return at
 
+    def find(self, token: int) -> np.ndarray:
+        """All places of ``token``, ascending: its range below the last plane, carried up a plane at a time."""
+        if not self.rank(token):
+            return np.zeros(0, np.int64)
+        places = np.arange(*self._span(token, self.n))
+        for depth in range(self.planes - 1, -1, -1):
+            one = token >> (self.planes - 1 - depth) & 1
+            bit = np.unpackbits(self.bits.whole(depth), count=self.n, bitorder="little")
+            places = np.flatnonzero(bit == one)[places - self.zeros[depth] if one else places]
+        return places
+
 
 def pack(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, planes: int) -> bytes:
     matrix = WaveletMatrix.build(ids, planes)
     packer = zstandard.ZstdCompressor(level=1)
     known = np.array([d is not None for d in doc_ids], np.uint8)
-    parts = [known, np.array([d or 0 for d in doc_ids], "<i8"), np.asarray(lengths, "<i8"), *matrix.bits]
-    frames = [packer.compress(x.tobytes()) for x in parts]
-    head = json.dumps({"docs": len(doc_ids), "tokens": len(ids), "zeros": matrix.zeros, "sizes": [len(f) for f in frames]}).encode()
+    lists = [known, np.array([d or 0 for d in doc_ids], "<i8"), np.asarray(lengths, "<i8"), *[matrix.bits.before(p).astype("<u4") for p in range(planes)]]
+    frames = [packer.compress(x.tobytes()) for x in lists]
+    for p in range(planes):
+        raw = matrix.bits.whole(p).tobytes()
+        frames += [packer.compress(raw[at : at + CHUNK]) for at in range(0, len(raw), CHUNK)]
+    head = json.dumps({"docs": len(doc_ids), "tokens": len(ids), "zeros": matrix.zeros, "chunk": CHUNK, "sizes": [len(f) for f in frames]}).encode()
     return b"".join([_MAGIC, struct.pack("<I", len(head)), head, *frames])
 
 
 def unpack(blob: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
-    """Document ids, their numbers of tokens, and the matrix."""
+    """Document ids, their numbers of tokens, and the matrix, whose planes stay compressed until they are needed."""
     if blob[:4] != _MAGIC:
         raise ValueError("not a token shard")
     (size,) = struct.unpack_from("<I", blob, 4)
     head = json.loads(blob[8 : 8 + size])
-    at, parts, opener = 8 + size, [], zstandard.ZstdDecompressor()
-    for n in head["sizes"]:
-        parts.append(opener.decompress(blob[at : at + n]))
-        at += n
-    known, docs, lengths = np.frombuffer(parts[0], np.uint8), np.frombuffer(parts[1], "<i8"), np.frombuffer(parts[2], "<i8")
+    begin = 8 + size + np.cumsum([0, *head["sizes"]])
+    frames = list(zip(begin[:-1].tolist(), head["sizes"], strict=True))
+    planes = len(head["zeros"])
+    each = (len(frames) - 3 - planes) // planes if planes else 0
+    stored = StoredPlanes(memoryview(blob), head["chunk"], frames[3 : 3 + planes], [frames[3 + planes + p * each : 3 + planes + (p + 1) * each] for p in range(planes)])
+    known, docs, lengths = (stored._frame(frames[i], kind) for i, kind in enumerate((np.uint8, "<i8", "<i8")))
     ids = [int(d) if k else None for d, k in zip(docs, known, strict=True)]
-    return ids, lengths, WaveletMatrix([np.frombuffer(p, np.uint8) for p in parts[3:]], head["zeros"], head["tokens"])
+    return ids, lengths, WaveletMatrix(stored, head["zeros"], head["tokens"])
 
 
 class ByteTokenizer:
@@ -316,8 +384,7 @@ def find_token(spark, folder: str, token: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part, first, blob in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                matrix = unpack(blob)[2]
-                yield pa.RecordBatch.from_arrays([pa.array([starts[part] + first + matrix.select(token, k) for k in range(matrix.rank(token))], pa.int64())], names=["place"])
+                yield pa.RecordBatch.from_arrays([pa.array(starts[part] + first + unpack(blob)[2].find(token), pa.int64())], names=["place"])
 
     return shards.select("part", "first_token", "blob").mapInArrow(run, schema)
 
