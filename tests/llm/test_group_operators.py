@@ -241,8 +241,8 @@ def test_extraction_by_wrapper(spark):
     frame = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
     got = {r.page_id: r for r in html_extract.main_text(frame).collect()}
     words = lambda i: " ".join(f"{i} {'word ' * (10 + i % 5)}".split())
-    for i in range(20):  # what all pages of the host say in the story is template
-        assert got[i].text == f"Title {i}\nFirst & {words(i)} line\nSecond {words(i)}"
+    for i in range(20):  # a box that all pages of the host have is template, a paragraph that all articles have isn't
+        assert got[i].text == f"Title {i}\nFirst & {words(i)} line\nSecond {words(i)}\nSame everywhere"
     assert got[100].text == "Only\nFirst & x line\nSecond x\nSame everywhere\nJoin our club"
     assert (got[101].text, got[101].n_chars, got[102].text) == ("", 0, "")
     assert got[103].text == "A\nb < c" and got[104].text == "plain text &am" and got[105].text == "deep"
@@ -263,8 +263,63 @@ def test_copies_of_one_article_keep_it(spark):
     assert {r.text for r in got} == {"T\nsame text all over\nend", "T\nsame text all over\nfin"}
 
 
+OPENING = "Opening {0} of a story that goes on for some time, as number {0} does, with more to say than what all of them say"
+
+
+def unmarked(i, second=False):
+    """A page whose boilerplate nothing names: menu, banner, club and imprint are told by being the same everywhere."""
+    story = f"<h1>T{i}</h1><p>{OPENING.format(i)}</p><p>We always say this</p><div class=q><b>Join</b> our club<ul><li>now</li></ul></div><p>Close {i * i}</p>"
+    if second:
+        return f"<html><body><table><tr><td class=k><ul><li>Home<li>About</ul><td class=m>{story}</table></body></html>"
+    return f"<html><body><div class=a><ul><li>Home<li>About</ul></div><div class=b><div class=c>{story}</div><div class=d>Imprint and law</div></div></body></html>"
+
+
+def test_template_without_telling_names(spark):
+    """Two layouts on one host, each with a wrapper of its own; and a host too small for any, whose pages keep all text."""
+    rows = [(i, f"http://u.org/{i}", unmarked(i, i % 3 == 0)) for i in range(30)] + [(100 + i, f"http://v.org/{i}", unmarked(i)) for i in range(2)]
+    frame = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string").repartition(4)
+    got = html_extract.main_text(frame).collect()
+    assert len(got) == 33
+    for r in got:
+        i = r.page_id % 100
+        if r.page_id < 100:
+            assert r.text == f"T{i}\n{OPENING.format(i)}\nWe always say this\nClose {i * i}" and r.n_chars == len(r.text)
+        else:
+            assert r.text == f"Home\nAbout\nT{i}\n{OPENING.format(i)}\nWe always say this\nJoin our club\nnow\nClose {i * i}\nImprint and law"
+
+
+def test_extraction_against_known_articles(spark):
+    """Pages put together from parts at random: the text is the article's parts, whatever is around them."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    noise = ["<nav><ul><li>{}</ul></nav>", "<div class='ad top'>{}</div>", "<aside>{}<p>{}</aside>", "<footer>{}</footer>", "<form><p>{}</form>", "<script>var x = '{}'</script>", "<!-- {} -->", "<div id=comments><p>{}</div>", "<header><h2>{}</h2></header>", "<style>{}</style>"]
+    rows, want = [], {}
+    for i in range(120):
+        blocks = [words(rng.randint(2, 30)) for _ in range(rng.randint(1, 6))]
+        body = "".join(f"<h1>{blocks[0]}</h1>" if k == 0 else rng.choice(["<p>{}</p>", "<p>{}", "<blockquote>{}</blockquote>", "<ul><li>{}</ul>", "<p><b>{}</b></p>"]).format(b.replace(" ", rng.choice([" ", " \n ", " <i></i> ", "&#32;", "<br>"]))) for k, b in enumerate(blocks))
+        around = lambda: "".join(x.replace("{}", words(3)) for x in rng.sample(noise, rng.randint(0, 4)))
+        rows.append((i, f"http://h{i % 7}.org/", f"<html><head><title>{words(3)}</title></head><body>{around()}<article>{body}{noise[1].replace('{}', words(2))}</article>{around()}</body>"))
+        want[i] = "\n".join(blocks)
+    got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_more_articles_than_the_reference_has(spark):
+    page = lambda i, n: "<body><nav>n</nav>" + "".join(f"<article><h1>a{i} {k}</h1><p>text {i} {k}</p></article>" for k in range(n)) + "</body>"
+    rows = [(i, f"http://w.org/{i}", page(i, 1 + (i % 5 == 0))) for i in range(20)]
+    got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "\n".join(f"a{i} {k}\ntext {i} {k}" for k in range(1 + (i % 5 == 0))) for i in range(20)}
+
+
+def test_very_long_page(spark):
+    rows = [(i, "http://long.org/", "<article>" + "".join(f"<p>{i} {k}</p>" for k in range(20_000 + i)) + "</article>") for i in range(4)]
+    got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "\n".join(f"{i} {k}" for k in range(20_000 + i)) for i in range(4)}
+
+
 def best_matching(a, b, i=0, j=0):
-    """Simple tree matching without runs, as it is defined."""
+    """Simple tree matching as it is defined, without any shortcut."""
     if a.labels[i] != b.labels[j]:
         return 0
     x, y = a.kids[i], b.kids[j]
@@ -294,6 +349,10 @@ def test_matching_of_many_children_is_exact(monkeypatch):
             score, pairs = html_tree.match(a, b)
             assert score == len(pairs) == len(set(pairs)) == whole
             assert all(a.labels[i] == b.labels[j] for i, j in pairs) and len({i for i, _ in pairs}) == len({j for _, j in pairs}) == score
+            up = [{k: i for i, kids in enumerate(t.kids) for k in kids} for t in (a, b)]
+            mine = dict(pairs)
+            assert all(mine[up[0][i]] == up[1][j] for i, j in pairs if i)
+            assert all(sorted(js) == js for kids in a.kids for js in [[mine[k] for k in kids if k in mine]])
 
 
 def test_tree_matching():
@@ -305,6 +364,17 @@ def test_tree_matching():
     for _ in range(150):
         a, b = html_tree.Flat(html_tree.parse(page())), html_tree.Flat(html_tree.parse(page()))
         score, pairs = html_tree.match(a, b)
-        assert score == len(pairs) <= best_matching(a, b)
+        assert score == len(pairs) == best_matching(a, b)
         assert len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs) and all(a.labels[i] == b.labels[j] for i, j in pairs)
         assert html_tree.match(a, a)[0] == len(a.labels)
+
+
+def test_pages_of_any_depth():
+    """What holds under ten elements holds under ten thousand."""
+    for depth in (10, 160, 20_000):
+        page = "<div>" * depth + "<nav>MENU</nav><p>text</p>" + "</div>" * depth
+        assert html_extract.extract(page) == "text"
+        other = page.replace("text", "words") + "<footer>f</footer>"
+        a, b = html_tree.Flat(html_tree.parse(page)), html_tree.Flat(html_tree.parse(other))
+        assert html_tree.match(a, b)[0] == len(a.labels)
+    assert html_extract.extract("<i><x>" * 5000 + "</q>" * 5000 + "<p>a" * 3000) == "\n".join("a" * 3000)

@@ -1,25 +1,31 @@
 """HTML extraction by wrapper induction.
 
-The pages of a host are aligned, by simple tree matching, with one of them (the one whose HTML has the least hash). Nodes
-whose text is the same on nearly all aligned pages are template; slots whose text varies are content. The smallest
-section that holds most of the varying text is the host's content container. A page's main text is what its aligned
-container holds, without template nodes and without elements that HTML or their class names mark as navigation, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles or comments. Pages that don't align, and hosts with too few
-pages to tell, fall back on ``article`` or ``main``, or else on the whole body, less those elements.
-
-A node counts as template only if the container varies on the whole: where a host's pages are copies of one article,
-nothing is dropped. Votes are summed per task before they are shuffled, so a host with a third of all pages is as cheap
-as any; a host's reference tree and wrapper go to the tasks by broadcast while all of them together stay below
-``BROADCAST_BYTES``, and by a join on the host beyond that.
-
-Edge cases: a null or empty page has an empty text. Unclosed, crossed and cut-off tags are mended. Repeated rows are
-pages of their own. A page without a host (no ``://``) belongs to the host "". An empty table gives no rows.
+The pages of a host are told apart by layout: the paths of nested sections down to those that hold prose. The pages of one
+layout are aligned, by simple tree matching, with one of them (the one whose HTML has the least hash). Nodes whose text
+is the same on nearly all aligned pages are constant; slots whose text varies are content. The smallest section that holds
+most of the varying text is the content container. Boxes (sections, tables, lists) all of whose text is constant are
+template, whatever they are called; headings, paragraphs and quotations that stand in the container itself are the
+article's even if other articles repeat them. A page's main text is what its aligned container holds, without template
+and without elements that HTML or their class names mark as navigation, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles or comments. Where there is no container (layouts of fewer than ``LEAST_PAGES`` pages, content
+that stands in the body itself, pages that don't align) the text is that of ``article`` or ``main``, or else of the whole
+body, less the same.
+
+Boxes count as template only if the container varies on the whole: where the pages are copies of one article, nothing is
+dropped. Votes are summed per task before they are shuffled, so a host with a third of all pages is as cheap as any;
+reference trees and wrappers go to the tasks by broadcast while all of them together stay below ``BROADCAST_BYTES``, and
+by a join on host and layout beyond that.
+
+Edge cases: a null or empty page has an empty text. Unclosed, crossed and cut-off tags are mended. Pages may be of any
+length and nested to any depth. Repeated rows are pages of their own. A page without a host (no ``://``) belongs to the
+host "". An empty table gives no rows. Of columns that share a name with a computed one, the computed one stays.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,11 +38,13 @@ from .storage import settled
 from .url_filter import canonical
 
 BROADCAST_BYTES = 16 << 20
-LEAST_PAGES, SAME_SHARE, ALIGNED_SHARE = 8, 0.9, 0.8
+LEAST_PAGES, SAME_SHARE, ALIGNED_SHARE = 3, 0.9, 0.8
 CONTAINER_SHARE, TEMPLATE_SHARE = 0.8, 0.3
 HELD_VOTES = 200_000
 SECTIONS = {"#page", "html", "body", "main", "article", "section", "div", "td", "table", "tbody", "tr", "center"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+PROSE = HEADINGS | {"p", "pre", "blockquote", "ul", "ol", "dl"}
+BOXES = (SECTIONS - {"#page", "html", "body", "main", "article"}) | {"ul", "ol", "dl"}
 
 # Elements and class, id or role words that mark what isn't main text.
 NOISE_TAGS = {"head", "nav", "footer", "aside", "form", "fieldset", "menu", "dialog"}
@@ -73,7 +81,22 @@ def blocks_of(node: Node, skip: set[int], within: bool = False) -> list[str]:
     return out
 
 
-def fallback(root: Node) -> list[str]:
+def layout(root: Node) -> int:
+    """A number for the paths of sections in a page, down to those that hold prose: what varies with the article leaves it as it is."""
+    found, stack = set(), [(root, "")]
+    while stack:
+        node, above = stack.pop()
+        path = f"{above}>{node.label()}"
+        found.add(path)
+        kids = node.children
+        if node.blocks() or any(c.tag in PROSE for c in kids) or node.tag in ("article", "main"):
+            continue
+        if len(path) < 1000:  # a name for the layout needs no more
+            stack += [(c, path) for c in kids if c.tag in SECTIONS and not is_noise(c, False)]
+    return crc32("\n".join(sorted(found)).encode())
+
+
+def fallback(root: Node, skip: set[int]) -> list[str]:
     found: list[Node] = []
     stack = [(root, False)]
     while stack:
@@ -84,7 +107,7 @@ def fallback(root: Node) -> list[str]:
             found.append(node)
             continue
         stack += [(c, within) for c in reversed(node.children)]
-    return [b for n in found for b in blocks_of(n, set(), True)] if found else blocks_of(root, set())
+    return [b for n in found for b in blocks_of(n, skip, True)] if found else blocks_of(root, skip)
 
 
 def vote(ref: Flat, page: Flat) -> list[tuple[int, int, int, int]]:
@@ -139,97 +162,133 @@ def induce(ref: Flat, votes: list[tuple[int, int, int, int, int]]) -> dict:
         at = up
     while at > 0 and parent[at] > 0 and tag(parent[at]) not in ("html", "body") and any(tag(k) in HEADINGS for k in ref.kids[parent[at]]):
         at = parent[at]
-    inside = {at}
-    for i in range(at + 1, n):
-        if parent[i] in inside:
-            inside.add(i)
-    template = []
+    held = tag(at) not in ("#page", "html", "body")
+    template: list[int] = []
     if quiet[at] < TEMPLATE_SHARE * (quiet[at] + mass[at]):
-        template = [i for i in inside if i != at and aligned[i] >= ALIGNED_SHARE * pages and same[i] >= SAME_SHARE * aligned[i] and still[i]]
-    return {"container": at if at > 0 else -1, "template": template}
+        # from the last node to the first: whether all text of the subtree is constant, and whether there is any
+        steady, worded, inside = [True] * n, [False] * n, [False] * n
+        for i in range(n - 1, -1, -1):
+            own = still[i] > 0 or vary[i] > 0
+            constant = aligned[i] >= ALIGNED_SHARE * pages and same[i] >= SAME_SHARE * aligned[i]
+            steady[i] = constant and all(steady[k] for k in ref.kids[i])
+            worded[i] = own or any(worded[k] for k in ref.kids[i])
+        boxed = [False] * n
+        for i in range(at, n):
+            inside[i] = i == at or parent[i] >= 0 and inside[parent[i]]
+            boxed[i] = inside[i] and i != at and (boxed[parent[i]] or tag(i) in BOXES and steady[i] and worded[i])
+        template = [i for i in range(at, n) if boxed[i] and still[i]]
+    return {"container": at if held else -1, "template": template}
+
+
+def extract(page: str | Node, ref: Flat | None = None, wrapper: dict | None = None) -> str:
+    root = parse(page) if isinstance(page, str) else page
+    if ref is None or wrapper is None or wrapper["container"] < 0 and not wrapper["template"]:
+        return "\n".join(fallback(root, set()))
+    flat = Flat(root)
+    pairs = dict(match(ref, flat)[1])
+    skip = {id(flat.nodes[pairs[i]]) for i in wrapper["template"] if i in pairs and flat.hashes[pairs[i]] == ref.hashes[i]}
+    home = pairs.get(wrapper["container"])
+    if home is None:
+        return "\n".join(fallback(root, skip))
+    homes = [home]
+    if flat.nodes[home].tag in ("article", "main"):  # a page may have more of them than the reference
+        above = next(kids for kids in flat.kids if home in kids)
+        aligned = set(pairs.values())
+        homes = [k for k in above if k == home or k not in aligned and flat.labels[k] == flat.labels[home] and not is_noise(flat.nodes[k], False)]
+    return "\n".join(b for k in homes for b in blocks_of(flat.nodes[k], skip, True))
+
+
+def group_key(host: str, root: Node) -> str:
+    return f"{host} {layout(root)}"
+
+
+def _with_group(pages: DataFrame) -> DataFrame:
+    """All columns and ``group``, the host and layout of each page; ``pages`` ends in ``__html, host``."""
+    schema = T.StructType([*pages.schema.fields, T.StructField("group", T.StringType())])
+    arrow = to_arrow_schema(schema)
+    n = len(pages.columns)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 64):
+                batch = whole.slice(lo, 64)
+                groups = [group_key(h, parse(p or "")) for p, h in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(groups, pa.string())], schema=arrow)
 
-def extract(page: str, ref: Flat | None = None, wrapper: dict | None = None) -> str:
-    root = parse(page)
-    blocks = None
-    if ref is not None and wrapper is not None and wrapper["container"] >= 0:
-        flat = Flat(root)
-        pairs = dict(match(ref, flat)[1])
-        home = pairs.get(wrapper["container"])
-        if home is not None:
-            skip = {id(flat.nodes[pairs[i]]) for i in wrapper["template"] if i in pairs and flat.hashes[pairs[i]] == ref.hashes[i]}
-            blocks = blocks_of(flat.nodes[home], skip, True)
-    return "\n".join(fallback(root) if blocks is None else blocks)
+    return pages.mapInArrow(run, schema)
 
 
 def _with_state(pages: DataFrame, states: DataFrame, work: Callable[[Iterator, Callable[[str, str | None], object]], Iterator[pa.RecordBatch]], schema: T.StructType, parse_state: Callable[[str], object]) -> DataFrame:
-    """``work`` over batches whose last column is the host, with a function that gives a host's state (JSON in ``states``: ``host, state``).
+    """``work`` over batches of ``pages`` (whose last columns are ``__html, host``), with a function that gives a group's state (JSON in ``states``: ``group, state``).
 
-    Few or small states are broadcast; else each page gets its host's by a join, and the column after the host has it.
+    Few or small states are broadcast; else each page gets its group's by a join, in a column after the host.
     """
-    size = states.agg(F.coalesce(F.sum(F.length("state") + F.length("host")), F.lit(0))).first()[0]
+    size = states.agg(F.coalesce(F.sum(F.length("state") + F.length("group")), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
-        held = pages.sparkSession.sparkContext.broadcast({r.host: r.state for r in states.collect()})
+        held = pages.sparkSession.sparkContext.broadcast({r.group: r.state for r in states.collect()})
 
-        def lookup(known: dict, host: str, _: str | None) -> object:
-            if host not in known:
-                known[host] = parse_state(held.value[host]) if host in held.value else None
-            return known[host]
+        def lookup(known: dict, group: str, _: str | None) -> object:
+            if group not in known:
+                known[group] = parse_state(held.value[group]) if group in held.value else None
+            return known[group]
     else:
-        pages = pages.join(states, "host", "left").select(*pages.columns, "state")
+        pages = _with_group(pages).join(states, "group", "left").select(*pages.columns, "state")
 
-        def lookup(known: dict, host: str, state: str | None) -> object:
-            if host not in known:
+        def lookup(known: dict, group: str, state: str | None) -> object:
+            if group not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[host] = None if state is None else parse_state(state)
-            return known[host]
+                known[group] = None if state is None else parse_state(state)
+            return known[group]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
-        yield from work(batches, lambda host, state: lookup(known, host, state))
+        yield from work(batches, lambda group, state: lookup(known, group, state))
 
     return pages.mapInArrow(run, schema)
 
 
-def _rows(batches: Iterator[pa.RecordBatch], page: int, host: int) -> Iterator[tuple[pa.RecordBatch, int, str, str, str | None]]:
-    """Batch, row, page, host and joined state (if there is one), a few rows of a batch at a time."""
+def _rows(batches: Iterator[pa.RecordBatch], page: int) -> Iterator[tuple[pa.RecordBatch, int, Node, str, str | None]]:
+    """Batch, row, the page's tree, its group and joined state (if there is one), a few rows of a batch at a time."""
     for whole in batches:
         for lo in range(0, whole.num_rows, 64):
             batch = whole.slice(lo, 64)
-            states = batch.column(host + 1).to_pylist() if batch.num_columns > host + 1 else [None] * batch.num_rows
-            for i, (p, h, s) in enumerate(zip(batch.column(page).to_pylist(), batch.column(host).to_pylist(), states, strict=True)):
-                yield batch, i, p or "", h, s
+            states = batch.column(page + 2).to_pylist() if batch.num_columns > page + 2 else [None] * batch.num_rows
+            for i, (p, h, s) in enumerate(zip(batch.column(page).to_pylist(), batch.column(page + 1).to_pylist(), states, strict=True)):
+                root = parse(p or "")
+                yield batch, i, root, group_key(h, root), s
 
 
 def references(pages: DataFrame) -> DataFrame:
-    """``host, state``: the tree of the page with the least hash. ``pages`` has ``__html, host``."""
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("key", T.LongType()), T.StructField("state", T.StringType())])
+    """``group, state``: the tree of the page with the least hash, for every host and layout. ``pages`` has ``__html, host``."""
+    schema = T.StructType([T.StructField("group", T.StringType()), T.StructField("key", T.LongType()), T.StructField("state", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[str, tuple[int, str]] = {}
 
         def flush() -> pa.RecordBatch:
-            hosts, values = list(best), list(best.values())
+            groups, values = list(best), list(best.values())
             best.clear()
-            return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array([v[0] for v in values], pa.int64()), pa.array([json.dumps(Flat(parse(v[1])).spec()) for v in values], pa.string())], names=["host", "key", "state"])
+            return pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array([v[0] for v in values], pa.int64()), pa.array([v[1] for v in values], pa.string())], names=["group", "key", "state"])
 
         held = 0
         for batch in batches:
             for page, host, key in zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True):
-                if host not in best or key < best[host][0]:
-                    held += len(page or "")
-                    best[host] = (key, page or "")
+                root = parse(page or "")
+                group = group_key(host, root)
+                if group not in best or key < best[group][0]:
+                    best[group] = (key, json.dumps(Flat(root).spec()))
+                    held += len(best[group][1])
             if held > 32 << 20:
                 yield flush()
                 held = 0
         yield flush()
 
     found = pages.select("__html", "host", F.xxhash64(F.coalesce("__html", F.lit(""))).alias("key")).mapInArrow(run, schema)
-    return found.groupBy("host").agg(F.min(F.struct("key", "state")).alias("top")).select("host", F.col("top.state").alias("state"))
+    return found.groupBy("group").agg(F.min(F.struct("key", "state")).alias("top")).select("group", F.col("top.state").alias("state"))
 
 
-VOTES = T.StructType([T.StructField("host", T.StringType()), T.StructField("node", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("aligned", "same", "still", "vary")]])
+VOTES = T.StructType([T.StructField("group", T.StringType()), T.StructField("node", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("aligned", "same", "still", "vary")]])
 
 
 def _votes(batches: Iterator[pa.RecordBatch], state: Callable) -> Iterator[pa.RecordBatch]:
@@ -241,10 +300,10 @@ def _votes(batches: Iterator[pa.RecordBatch], state: Callable) -> Iterator[pa.Re
         columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), *[pa.array([v[c] for v in values], pa.int64()) for c in range(4)]]
         return pa.RecordBatch.from_arrays(columns, names=VOTES.names)
 
-    for _, _, page, host, joined in _rows(batches, 0, 1):
-        ref = state(host, joined)
-        for i, same, still, vary in vote(ref, Flat(parse(page))):
-            v = sums.setdefault((host, i), [0, 0, 0, 0])
+    for _, _, root, group, joined in _rows(batches, 0):
+        ref = state(group, joined)
+        for i, same, still, vary in vote(ref, Flat(root)):
+            v = sums.setdefault((group, i), [0, 0, 0, 0])
             v[0] += 1
             v[1] += same
             v[2] += still
@@ -255,11 +314,11 @@ def _votes(batches: Iterator[pa.RecordBatch], state: Callable) -> Iterator[pa.Re
 
 
 def wrappers(pages: DataFrame, refs: DataFrame) -> DataFrame:
-    """``host, state``: the reference tree with the wrapper. A host's votes are one row for each node of its reference page."""
+    """``group, state``: the reference tree with the wrapper. A group's votes are one row for each node of its reference page."""
     votes = _with_state(pages.select("__html", "host"), refs, _votes, VOTES, lambda s: Flat(spec=json.loads(s)))
-    summed = votes.groupBy("host", "node").agg(*[F.sum(c).alias(c) for c in ("aligned", "same", "still", "vary")])
-    by_host = summed.groupBy("host").agg(F.collect_list(F.struct("node", "aligned", "same", "still", "vary")).alias("votes")).join(refs, "host")
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("state", T.StringType())])
+    summed = votes.groupBy("group", "node").agg(*[F.sum(c).alias(c) for c in ("aligned", "same", "still", "vary")])
+    by_group = summed.groupBy("group").agg(F.collect_list(F.struct("node", "aligned", "same", "still", "vary")).alias("votes")).join(refs, "group")
+    schema = T.StructType([T.StructField("group", T.StringType()), T.StructField("state", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,9 +326,9 @@ def wrappers(pages: DataFrame, refs: DataFrame) -> DataFrame:
             for got, spec in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 tree = json.loads(spec)
                 out.append(json.dumps([tree, induce(Flat(spec=tree), [tuple(v.values()) for v in got])]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["host", "state"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["group", "state"])
 
-    return by_host.select("host", "votes", "state").mapInArrow(run, schema)
+    return by_group.select("group", "votes", "state").mapInArrow(run, schema)
 
 
 def main_text(df: DataFrame, html: str = "html", url: str = "url", keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
@@ -287,9 +346,9 @@ def main_text(df: DataFrame, html: str = "html", url: str = "url", keep: Sequenc
 
     def work(batches: Iterator[pa.RecordBatch], state: Callable) -> Iterator[pa.RecordBatch]:
         texts: list[str] = []
-        for batch, i, page, host, joined in _rows(batches, len(keep), len(keep) + 1):
-            known = state(host, joined)
-            texts.append(extract(page, *known) if known else extract(page))
+        for batch, i, root, group, joined in _rows(batches, len(keep)):
+            known = state(group, joined)
+            texts.append(extract(root, *known) if known else extract(root))
             if i == batch.num_rows - 1:
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in range(len(keep))], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=arrow)
                 texts = []

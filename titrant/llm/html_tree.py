@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from zlib import crc32
 
 import numpy as np
@@ -17,8 +17,6 @@ CLOSES = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}, "body": {"head"},
 }
 ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul", "figure"}
-#: Elements nested deeper count as parts of the one at this depth; their text stays.
-DEPTH_MOST = 150
 SCOPE = {"table", "ul", "ol", "dl", "div", "article", "section", "body", "aside", "nav", "main", "form"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)(?:>|\Z)", re.S)
@@ -72,6 +70,7 @@ def parse(page: str) -> Node:
     """The tree of a page. Unclosed, crossed and cut-off tags are mended as browsers roughly do."""
     root = Node("#page")
     stack = [root]
+    opened: dict[str, int] = {}  # how many elements of a name are open, so that none is sought in vain, however deep it goes
     at, size = 0, len(page)
 
     def text(raw: str) -> None:
@@ -80,7 +79,9 @@ def parse(page: str) -> Node:
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
-            stack.pop().close_block()
+            node = stack.pop()
+            opened[node.tag] = opened.get(node.tag, 1) - 1
+            node.close_block()
 
     while at < size:
         m = _TOKEN.search(page, at)
@@ -98,9 +99,8 @@ def parse(page: str) -> Node:
             stack[-1].own.append(" ")
             continue
         if closing:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag), 0)
-            if depth:
-                pop_to(depth)
+            if opened.get(tag):
+                pop_to(next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag))
             stack[-1].close_block()
             continue
         stack[-1].close_block()
@@ -110,7 +110,7 @@ def parse(page: str) -> Node:
                 at = end.end() if end else size
             continue
         shut = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-        if shut:
+        if any(opened.get(x) for x in shut):
             depth = len(stack) - 1
             least = len(stack)
             while depth > 0:
@@ -120,9 +120,10 @@ def parse(page: str) -> Node:
                     break
                 depth -= 1
             pop_to(least)
-        if tag in VOID or len(stack) > DEPTH_MOST:
+        if tag in VOID:
             continue
         node = Node(tag, _marks(m.group(3)))
+        opened[tag] = opened.get(tag, 0) + 1
         stack[-1].parts.append(node)
         stack.append(node)
     pop_to(0)
@@ -159,29 +160,11 @@ class Flat:
 #: Cells of the programme held at once, and scores; beyond it the programme is divided.
 PAIRS_MOST, SCORES_MOST = 40_000, 4_000_000
 
+Scores = Callable[[int, int], int]
 
-def _groups(tree: Flat, kids: list[int]) -> list[list[int]]:
-    """Siblings, leaves of one label in a row taken together."""
-    out: list[list[int]] = []
-    for k in kids:
-        if out and not tree.kids[k] and not tree.kids[out[-1][0]] and tree.labels[k] == tree.labels[out[-1][0]]:
-            out[-1].append(k)
-        else:
-            out.append([k])
-    return out
-
-
-def _shapes(tree: Flat, groups: list[list[int]], known: dict) -> np.ndarray:
-    """A number for the labelled shape of each group; groups of one shape score alike."""
-
-    def shape(k: int) -> int:
-        return known.setdefault((tree.labels[k], *[shape(c) for c in tree.kids[k]]), len(known))
-
-    return np.array([shape(g[0]) if len(g) == 1 else known.setdefault((len(g), tree.labels[g[0]]), len(known)) for g in groups])
 
-
-def _divided(xs: np.ndarray, ys: np.ndarray, score: Callable[[int, int], int]) -> list[tuple[int, int]]:
-    """The places of ``xs`` and ``ys`` that the programme pairs, in memory that grows with their number (Hirschberg's division)."""
+def _vectors(ys: np.ndarray, score: Scores) -> tuple[np.ndarray, Callable[[int], np.ndarray]]:
+    """Each one's place among the distinct ``ys``, and a function from ``x`` to its scores against those."""
     kinds, at = np.unique(ys, return_inverse=True)
     held: dict[int, np.ndarray] = {}
 
@@ -192,29 +175,35 @@ def _divided(xs: np.ndarray, ys: np.ndarray, score: Callable[[int, int], int]) -
             held[x] = np.array([score(x, y) for y in kinds.tolist()])
         return held[x]
 
-    def rows(p: list[int], q: np.ndarray, short: bool) -> list[np.ndarray]:
-        """Of the programme's table; if ``short``, only the last."""
-        row = np.zeros(len(q) + 1, np.int64)
-        out = [row]
-        for x in p:
-            row = np.append(0, np.maximum.accumulate(np.maximum(out[-1][1:], out[-1][:-1] + scores(x)[q])))
-            if short:
-                out.clear()
-            out.append(row)
-        return out
+    return at, scores
+
+
+def _rows(xs: list[int], at: np.ndarray, scores: Callable[[int], np.ndarray], short: bool) -> list[np.ndarray]:
+    """The programme's table row by row: the most that a prefix of ``xs`` and a prefix of the others score. If ``short``, only the last row."""
+    out = [np.zeros(len(at) + 1, np.int64)]
+    for x in xs:
+        row = np.append(0, np.maximum.accumulate(np.maximum(out[-1][1:], out[-1][:-1] + scores(x)[at])))
+        if short:
+            out.clear()
+        out.append(row)
+    return out
 
+
+def _divided(xs: list[int], ys: list[int], score: Scores) -> list[tuple[int, int]]:
+    """The places of ``xs`` and ``ys`` that the programme pairs, in memory that grows with their number (Hirschberg's division)."""
+    at, scores = _vectors(np.array(ys), score)
     found, stack = [], [(0, len(xs), 0, len(ys))]
     while stack:
         p0, p1, q0, q1 = stack.pop()
-        p, q = xs[p0:p1].tolist(), at[q0:q1]
+        p, q = xs[p0:p1], at[q0:q1]
         if not len(p) or not len(q):
             continue
         if len(p) > 1 and len(p) * len(q) > PAIRS_MOST:
             mid = len(p) // 2
-            cut = q0 + int(np.argmax(rows(p[:mid], q, True)[-1] + rows(p[mid:][::-1], q[::-1], True)[-1][::-1]))
+            cut = q0 + int(np.argmax(_rows(p[:mid], q, scores, True)[-1] + _rows(p[mid:][::-1], q[::-1], scores, True)[-1][::-1]))
             stack += [(p0, p0 + mid, q0, cut), (p0 + mid, p1, cut, q1)]
             continue
-        best, i, j = rows(p, q, False), len(p), len(q)
+        best, i, j = _rows(p, q, scores, False), len(p), len(q)
         while i and j:
             if best[i][j] == best[i - 1][j]:
                 i -= 1
@@ -226,49 +215,106 @@ def _divided(xs: np.ndarray, ys: np.ndarray, score: Callable[[int, int], int]) -
     return found
 
 
-def match(a: Flat, b: Flat, i: int = 0, j: int = 0, seen: dict | None = None) -> tuple[int, list[tuple[int, int]]]:
+def _trim(x: Sequence[int], y: Sequence[int]) -> tuple[int, int]:
+    """How many shapes are alike at the start of both lists, and at the end of what remains. Pairing these loses nothing: no other partner scores more."""
+    most, lo, hi = min(len(x), len(y)), 0, 0
+    while lo < most and x[lo] == y[lo]:
+        lo += 1
+    while hi < most - lo and x[-1 - hi] == y[-1 - hi]:
+        hi += 1
+    return lo, hi
+
+
+class _Shapes:
+    """Labelled shapes of subtrees by number, and what pairs of them score. Subtrees of one shape score alike."""
+
+    def __init__(self) -> None:
+        self.known: dict[tuple, int] = {}
+        self.labels: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.sizes: list[int] = []
+        self.memo: dict[tuple[int, int], int] = {}
+
+    def of(self, tree: Flat) -> list[int]:
+        """The shape of each node, from the last to the first, as children stand behind their parents."""
+        out = [0] * len(tree.labels)
+        for k in range(len(out) - 1, -1, -1):
+            kids = tuple([out[c] for c in tree.kids[k]])
+            key = (tree.labels[k], kids)
+            if key not in self.known:
+                self.known[key] = len(self.labels)
+                self.labels.append(tree.labels[k])
+                self.kids.append(kids)
+                self.sizes.append(1 + sum([self.sizes[c] for c in kids]))
+            out[k] = self.known[key]
+        return out
+
+    def direct(self, x: int, y: int) -> int | None:
+        """The score of a pair that needs no programme."""
+        if x == y:
+            return self.sizes[x]
+        if self.labels[x] != self.labels[y]:
+            return 0
+        return None if self.kids[x] and self.kids[y] else 1
+
+    def known_score(self, x: int, y: int) -> int:
+        got = self.direct(x, y)
+        return self.memo[x, y] if got is None else got
+
+    def score(self, x: int, y: int) -> int:
+        got = self.direct(x, y)
+        if got is not None:
+            return got
+        stack = [(x, y)]
+        while stack:
+            p, q = stack[-1]
+            if (p, q) in self.memo:
+                stack.pop()
+                continue
+            left, right = self.kids[p], self.kids[q]
+            lo, hi = _trim(left, right)
+            left, right = left[lo : len(left) - hi], right[lo : len(right) - hi]
+            first = [(i, j) for i in set(left) for j in set(right) if (i, j) not in self.memo and self.direct(i, j) is None]
+            if first:
+                stack += first
+                continue
+            alike = sum([self.sizes[k] for k in (*self.kids[p][:lo], *self.kids[p][len(self.kids[p]) - hi :])])
+            rest = 0
+            if left and right:
+                at, scores = _vectors(np.array(right), self.known_score)
+                rest = int(_rows(list(left), at, scores, True)[-1][-1])
+            self.memo[p, q] = 1 + alike + rest
+            stack.pop()
+        return self.memo[x, y]
+
+
+def match(a: Flat, b: Flat) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching: the most pairs of equally labelled nodes that keep parents and order, and the pairs.
 
-    A run of equally labelled leaves is one step of the programme, matched from its start. Where both nodes have so many
-    children that the programme would have over ``PAIRS_MOST`` cells, it is divided; the result is as good.
+    Each pair of shapes is scored once, by the programme over their children; where a table would have over ``PAIRS_MOST``
+    cells it is divided, with the same result. Nothing here recurses, so trees may be of any depth.
     """
-    if a.labels[i] != b.labels[j]:
+    shapes = _Shapes()
+    sa, sb = shapes.of(a), shapes.of(b)
+    total = shapes.score(sa[0], sb[0])
+    if not total:
         return 0, []
-    left, right = _groups(a, a.kids[i]), _groups(b, b.kids[j])
-    pairs = [(i, j)]
-    if not left or not right:
-        return 1, pairs
-
-    def pair(x: list[int], y: list[int]) -> tuple[int, list[tuple[int, int]]]:
-        if a.labels[x[0]] != b.labels[y[0]]:
-            return 0, []
-        if len(x) == len(y) == 1:
-            return match(a, b, x[0], y[0])
-        return min(len(x), len(y)), list(zip(x, y, strict=False))
-
-    if len(left) * len(right) > PAIRS_MOST:
-        known: dict = {}
-        xs, ys = _shapes(a, left, known), _shapes(b, right, known)
-        mine, other = dict(zip(xs.tolist(), left, strict=True)), dict(zip(ys.tolist(), right, strict=True))
-        for p, q in _divided(xs, ys, lambda x, y: pair(mine[x], other[y])[0]):
-            pairs += pair(left[p], right[q])[1]
-        return len(pairs), pairs
-    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    got = {}
-    for p in range(len(left)):
-        row, nxt = best[p], best[p + 1]
-        for q in range(len(right)):
-            score, some = pair(left[p], right[q])
-            if score:
-                got[p, q] = (score, some)
-            nxt[q + 1] = max(row[q + 1], nxt[q], row[q] + score)
-    p, q = len(left), len(right)
-    while p and q:
-        if best[p][q] == best[p - 1][q]:
-            p -= 1
-        elif best[p][q] == best[p][q - 1]:
-            q -= 1
-        else:
-            p, q = p - 1, q - 1
-            pairs += got[p, q][1]
-    return 1 + best[-1][-1], pairs
+    pairs, stack = [], [(0, 0)]
+    while stack:
+        i, j = stack.pop()
+        if sa[i] == sb[j]:  # alike all through, and numbered alike
+            size = shapes.sizes[sa[i]]
+            pairs += zip(range(i, i + size), range(j, j + size), strict=True)
+            continue
+        pairs.append((i, j))
+        left, right = a.kids[i], b.kids[j]
+        lo, hi = _trim([sa[k] for k in left], [sb[k] for k in right])
+        stack += zip(left[:lo], right[:lo], strict=True)
+        stack += zip(left[len(left) - hi :], right[len(right) - hi :], strict=True)
+        left, right = left[lo : len(left) - hi], right[lo : len(right) - hi]
+        if left and right:
+            for p in {sa[k] for k in left}:
+                for q in {sb[k] for k in right}:
+                    shapes.score(p, q)
+            stack += [(left[p], right[q]) for p, q in _divided([sa[k] for k in left], [sb[k] for k in right], shapes.known_score)]
+    return total, pairs
