@@ -1,9 +1,10 @@
 """Personal data: weak supervision over candidate spans.
 
 Candidates are the spans of four base kinds (email, ip, card, phone; always kept) and of the method's own kinds (secret,
-iban, ssn, hidden_email). Labelers vote on each: a shape labeler (regular expressions), a check labeler (check digits,
-variety of characters), a gazetteer labeler (cue words of the kind before the span), a context labeler (what touches the
-span) and a gazetteer of placeholder values. Votes are 1, -1 or 0 (none). Expectation-maximisation over all candidates of
+iban, ssn, hidden_email, person, address). Labelers vote on each: a shape labeler (regular expressions, among them the
+forms of keys that need no label before them), a check labeler (check digits, variety of characters), a cue labeler
+(words of the kind before the span), a gazetteer labeler (given names, places and street words inside it), a context
+labeler (what touches the span) and a labeler of placeholder values. Votes are 1, -1 or 0 (none). Expectation-maximisation over all candidates of
 all documents estimates, for each kind, how common true spans are and how reliable each labeler is; its posteriors then
 train the span classifier, a logistic model over votes, kind and length. Spans that it gives at least ``CUT`` are added.
 
@@ -11,14 +12,16 @@ Both fits need only how often each (kind, votes, features) pattern occurs, and t
 (at most ``PATTERNS``), so all candidates count and nothing grows with the corpus on the driver.
 
 Edge cases: a null or empty text has no spans. Spans are offsets in code points, end exclusive. Repeated rows are judged
-one by one. Texts are scanned whole, in time proportional to their length. Without any candidate nothing is fitted, and
-nothing is added.
+one by one. Texts and spans are taken whole, however long, in time proportional to their length (an IBAN has 15 to 34
+characters by its definition). Without any candidate nothing is fitted, and nothing is added. Of columns that share a
+name with a computed one, the computed one stays.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,10 +32,10 @@ from pyspark.sql import functions as F
 from .bytewords import Slice, class_table, map_text, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "secret", "iban", "ssn", "hidden_email")
-LABELERS = ("shape", "check", "cue", "context", "placeholder")
+KINDS = (*BASE_KINDS, "secret", "iban", "ssn", "hidden_email", "person", "address")
+LABELERS = ("shape", "check", "cue", "context", "placeholder", "gazetteer")
 #: How often each labeler is taken to be right before any data, and for how many spans that counts.
-BELIEVED, BELIEVED_FOR = (0.75, 0.9, 0.75, 0.75, 0.98), 10
+BELIEVED, BELIEVED_FOR = (0.75, 0.9, 0.75, 0.75, 0.98, 0.85), 10
 PATTERNS = len(KINDS) * 3 ** len(LABELERS) * 4
 CUT = 0.5
 EM_ROUNDS, FIT_ROUNDS, FIT_STEP, RIDGE = 50, 400, 0.5, 1e-3
@@ -50,12 +53,27 @@ _OWN = {
     "secret": re.compile(r"(?i)(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-+/=.]{8,})"),
     "iban": re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3}))(?![A-Za-z0-9])"),
     "ssn": re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"),
-    "hidden_email": re.compile(r"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}(?: ?[(\[]dot[)\]] ?[A-Za-z0-9-]{1,63}){1,5})"),
+    "hidden_email": re.compile(r"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++ ?[(\[]at[)\]] ?[A-Za-z0-9-]++(?: ?[(\[]dot[)\]] ?[A-Za-z0-9-]++)+)"),
+    "person": re.compile(r"(?:\b(?i:name|contact|patient|customer|signed|author|attn) ?: ?|\bDear |\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?)\.? )([A-Z][a-zà-ÿ]++(?: [A-Z]\.)?(?:[ -][A-Z][a-zà-ÿ]++)*)"),
+    "address": re.compile(r"(?<![A-Za-z0-9])([0-9]+[A-Za-z]?,? (?:[A-Z][A-Za-zà-ÿ]++\.? )+(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd|Square|Court|Place)(?![A-Za-z])|[A-ZÄÖÜ][a-zà-ÿ]+(?:straße|strasse|weg|platz|allee|gasse) [0-9]+[a-z]?(?![A-Za-z0-9]))"),
 }
+# How keys look that need no label, and what they begin with.
+_KEYS = re.compile(
+    r"(?<![A-Za-z0-9])(?:A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[A-Za-z0-9]{36,}+|github_pat_[A-Za-z0-9_]{22,}+|glpat-[A-Za-z0-9_-]{20,}+|xox[abeoprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])|[sr]k_live_[A-Za-z0-9]{16,}+|sk-[A-Za-z0-9_-]{20,}+|"
+    r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+)|-----BEGIN [A-Z ]*?PRIVATE KEY-----(?:\s*[A-Za-z0-9-]++: [^\n]*+)*[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]*?PRIVATE KEY-----)?"
+)
+_STARTS = (*(x.encode() for x in ("Mr", "Ms", "Dr ", "Dr.", "Prof", "Herr", "Frau", "Monsieur ", "Madame ", "Señor", "Dear ")), b"AKIA", b"ASIA", b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_", b"github_pat_", b"glpat-", b"xox", b"AIza", b"k_live_", b"sk-", b"eyJ", b"-----BEGIN ")
+# Given names and places.
+GIVEN_NAMES = frozenset(
+    "james mary john patricia robert jennifer michael linda david elizabeth william barbara richard susan joseph jessica thomas sarah charles karen daniel lisa matthew nancy anthony betty mark sandra paul ashley steven emily andrew donna kenneth michelle george carol joshua amanda kevin melissa brian deborah edward stephanie "
+    "hans anna peter maria klaus ursula jürgen monika wolfgang petra stefan sabine jean marie pierre jeanne michel françoise luc claire antoine sophie juan carmen josé ana carlos laura miguel isabel luis marta giovanni giulia marco francesca wei li ahmed fatima mohamed aisha ivan olga".split()
+)
+PLACES = frozenset("london paris berlin madrid rome vienna lisbon dublin amsterdam brussels zurich geneva munich hamburg cologne lyon marseille barcelona sevilla milan york boston chicago houston dallas seattle denver toronto sydney melbourne tokyo".split())
 #: Words that announce a kind.
 CUES = {
     "email": ("mail", "contact", "write", "@"), "ip": ("ip", "host", "server", "address", "login"), "card": ("card", "visa", "pay", "credit"), "phone": ("phone", "call", "tel", "fax", "mobile"),
     "secret": ("password", "token", "secret", "key", "pwd", "login"), "iban": ("iban", "bank", "account", "konto"), "ssn": ("ssn", "social", "security"), "hidden_email": ("mail", "contact", "write"),
+    "person": ("name", "contact", "dear", "patient", "customer", "signed", "author", "mr", "mrs"), "address": ("address", "lives", "live at", "ship", "office", "adresse", "visit"),
 }
 #: Values that stand for none.
 PLACEHOLDERS = re.compile(r"(?i)\A0+(?:[. -]0+)*[. -]?\Z|127\.0\.0\.1|x{4,}|changeme|your[_-]|placeholder|000-00-0000|123-45-6789")
@@ -102,7 +120,19 @@ def base_spans(text: str) -> list[Span]:
 
 
 def own_candidates(text: str) -> list[Span]:
-    return [(m.start(1), m.end(1), kind) for kind, pattern in _OWN.items() for m in pattern.finditer(text)]
+    keys = [(m.start(), m.end(), "secret") for m in _KEYS.finditer(text)]
+    return list(dict.fromkeys(keys + [(m.start(1), m.end(1), kind) for kind, pattern in _OWN.items() for m in pattern.finditer(text)]))
+
+
+def _words(text: str) -> list[str]:
+    return [w.lower() for w in re.findall(r"[^\W\d_]+", text)]
+
+
+def _listed(kind: str, value: str, after: str) -> int:
+    """Whether the lists know what the span is made of, or the place that follows it; of other kinds they say nothing."""
+    if kind == "person":
+        return 1 if any(w in GIVEN_NAMES for w in _words(value)) else -1
+    return 1 if kind == "address" and any(w in PLACES for w in _words(after)) else 0
 
 
 def _check(kind: str, value: str) -> int:
@@ -127,7 +157,8 @@ def votes(text: str, span: Span, base: bool) -> tuple[int, ...]:
     value, before, after = text[begin:end], text[max(0, begin - CUE_CHARS) : begin].lower(), text[end : end + 1]
     cue = 1 if any(c in before for c in CUES[kind]) else 0
     touching = (before[-1:].isalnum() or after.isalnum()) and kind != "hidden_email"
-    return (1 if base or kind in ("iban", "ssn") else 0, _check(kind, value), cue, -1 if touching else 1, -1 if PLACEHOLDERS.search(value) else 0)
+    shape = base or kind in ("iban", "ssn", "address", "hidden_email") or kind == "secret" and _KEYS.match(text, begin) is not None
+    return (1 if shape else 0, _check(kind, value), cue, -1 if touching else 1, -1 if PLACEHOLDERS.search(value) else 0, _listed(kind, value, text[end : end + CUE_CHARS]))
 
 
 def _length_class(span: Span) -> int:
@@ -159,7 +190,15 @@ def _decode(code: int) -> Pattern:
 
 def candidate_rows(part: Slice) -> list[int]:
     """The texts that can have a candidate at all."""
-    return np.flatnonzero(part.per_row(_WORTH[part.buf])).tolist()
+    worth = part.per_row(_WORTH[part.buf]) > 0
+    raw = part.buf.tobytes()
+    for start in _STARTS:
+        at = raw.find(start)
+        while at >= 0:
+            row = int(np.searchsorted(part.offs, at, "right")) - 1
+            worth[row] = True
+            at = raw.find(start, int(part.offs[row + 1]))
+    return np.flatnonzero(worth).tolist()
 
 
 def pattern_counts(docs: DataFrame, text: str = "text") -> dict[int, int]:
@@ -244,9 +283,18 @@ def train(counts: dict[int, int]) -> dict[int, float]:
 def find(text: str, model: dict[int, float]) -> tuple[list[Span], list[Span]]:
     """The base spans, and all spans: an added one gives way to base spans that it overlaps."""
     base = base_spans(text)
+    begins, ends = [], []  # where base spans stand, those that overlap as one
+    for a, b, _ in base:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
     added: list[Span] = []
     for s in sorted(own_candidates(text), key=lambda s: (s[0], KINDS.index(s[2]))):
-        if model.get(_code(pattern(text, s, False)), 0.0) >= CUT and not any(s[0] < b[1] and b[0] < s[1] for b in [*base, *added[-1:]]):
+        k = bisect_left(begins, s[1]) - 1  # the last that begins before the span ends
+        free = (k < 0 or ends[k] <= s[0]) and not (added and s[0] < added[-1][1])
+        if free and model.get(_code(pattern(text, s, False)), 0.0) >= CUT:
             added.append(s)
     return base, sorted([*base, *added], key=lambda s: (s[0], KINDS.index(s[2])))
 
