@@ -3,6 +3,7 @@ import itertools
 import random
 
 import numpy as np
+import plain
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from titrant.llm.components import components
 
 
 def brute_classes(rows, weights):
-    """Least id of each class, by all pairs."""
+    """Least id of each class, by all pairs of the operator's own vectors (so that words that share a bucket weigh alike)."""
     vectors = []
     for part in slices(pa.array([t for _, t in rows], pa.string())):
         r, ids, w, *_ = minhash.vectors(part, weights)
@@ -87,15 +88,47 @@ def test_links_beyond_hub_and_neighbours(spark):
     rows = [(i, t, len(t), [0] * minhash.SKETCH_LONGS, [1] + [100 + i] * (minhash.BANDS - 1)) for i, t in enumerate(texts)]
     frame = spark.createDataFrame(rows, "rid long, body string, size int, sketch array<long>, bands array<long>")
     members = spark.createDataFrame([(0, 1, i) for i in range(8)], "band int, h long, node long")
-    got = minhash._links(members, frame, np.ones(minhash.BUCKETS), minhash.THRESHOLD).collect()
-    assert [{r.a, r.b} for r in got] == [{1, 6}]
+    got = minhash._roots(members, frame, np.ones((2, minhash.BUCKETS)), minhash.THRESHOLD).collect()
+    assert {(r.node, r.root) for r in got} == {(1, 1), (6, 1)}
+
+
+def test_hundreds_of_near_copies(spark):
+    """Groups of copies round the threshold against a plain model of all pairs: the same classes at any number of partitions, and no link lost."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7)))
+    rows = []
+    for size, edits in ((300, 4), (150, 2), (60, 6), (40, 1)):
+        base = [word() for _ in range(200)]
+        for _ in range(size):
+            t = list(base)
+            for _ in range(rng.randint(0, edits)):
+                t[rng.randrange(len(t))] = word()
+            rows.append((len(rows), " ".join(t)))
+    rows += [(len(rows) + i, " ".join(word() for _ in range(rng.randint(1, 80)))) for i in range(60)]
+    rng.shuffle(rows)
+    # words that share both buckets with others weigh less, which may move a similarity a little: no link well above the threshold may be lost, none well below it made
+    (sure, links), (possible, _) = plain.near_classes(rows, 0.802), plain.near_classes(rows, 0.798)
+    assert links > 20_000
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for parts in ("4", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append(sorted((r.doc_id, r.class_id) for r in minhash.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert got[0] == got[1]
+    together = lambda classes: [{d for d, _ in g} for _, g in itertools.groupby(sorted(classes, key=lambda x: (x[1], x[0])), key=lambda x: x[1])]
+    mine, above = dict(got[0]), dict(possible)
+    lost = sum(len({mine[d] for d in group}) - 1 for group in together(sure))
+    assert lost == 0 and all(len({above[d] for d in group}) == 1 for group in together(got[0]))
 
 
 def test_block_links_are_all_pairs():
     rng = random.Random(3)
     base = [f"w{i}" for i in range(60)]
     texts = [" ".join(base[k : k + 40]) for k in range(0, 20, 2)] + [" ".join(rng.sample(base, 40)) for _ in range(5)]
-    weights = np.ones(minhash.BUCKETS)
+    weights = np.ones((2, minhash.BUCKETS))
     n, apart = len(texts), np.arange(len(texts))
     links = lambda mine: minhash.block_links(0, mine, apart, apart, np.zeros((n, minhash.BANDS), np.int64), pa.array(texts), weights, minhash.THRESHOLD)
     want = {d for d, c in brute_classes(list(enumerate(texts)), weights) if c == 0}
@@ -109,6 +142,11 @@ def test_minhash_edge_cases(spark, awkward, empty):
     kept = minhash.keep_one(awkward.withColumn("kept", F.lit(1)))
     assert kept.columns == ["doc_id", "text", "n_words", "kept"]
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "5", "7", "None"]  # 5, again 5, and 6 are one class
+    names = ["__rid", "__k1", "__K2", "__bands", "c0", "own1", "node", "body", "Class_ID", "kept"]
+    clash = awkward.select("doc_id", "text", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    kept = minhash.keep_one(clash)
+    assert kept.columns == clash.columns and kept.count() == 7 and tuple(kept.first())[2:] == tuple(range(10))
+    assert minhash.classes(clash, keep=clash.columns).columns == ["doc_id", "text", *names[:8], "class_id", "kept"]
 
 
 def test_samples_estimate_similarity():
@@ -160,6 +198,24 @@ def test_url_filter(spark):
     assert url_filter.judge(frame.limit(0)).count() == 0
 
 
+def test_very_long_urls(spark):
+    rows = [(1, "http://a.com/en/" + "x" * 200_000), (2, "http://" + "a." * 50_000 + "casino/" + "b/" * 50_000), (3, "x" * 100_000), (4, "http://b.org/" + "y" * 300_000 + ".exe")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert [(got[i].verdict, got[i].rule) for i in (1, 2, 3, 4)] == [("block", "com/en/"), ("block", None), ("allow", None), ("block", None)]
+    assert got[1].path == rows[0][1][12:] and got[2].host == "a." * 50_000 + "casino"
+
+
+def test_rule_table(spark):
+    """Rules and globs from a table, in its order; a table that is too large for one automaton is refused before it is read."""
+    table = spark.createDataFrame([("com/en/", "block", "host"), ("**/*.zip", "block", "glob"), ("b.com/en/", "allow", "host"), (None, None, None)], "rule string, verdict string, kind string")
+    rules, globs = url_filter.read_rules(table)
+    assert set(rules) == {("com/en/", "block"), ("b.com/en/", "allow")} and globs == ["**/*.zip"]
+    frame = spark.createDataFrame([(1, "http://a.com/en/x"), (2, "http://a.b.com/en/x"), (3, "http://c.net/d.zip"), (4, "http://c.net/d")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_filter.judge(frame, host_rules=rules, globs=globs).collect()} == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+    with pytest.raises(ValueError):
+        url_filter.read_rules(table, most=5)
+
+
 def test_globs():
     import re
 
@@ -223,6 +279,38 @@ def test_split_conversations(spark):
         assert [(r.cost, r.action, r.new_role) for r in turns] == [(s[0], s[1], chat.ROLES[s[2]]) for s in chat.repair(roles)]
 
 
+def test_pieces_by_a_plain_model(spark):
+    """Renderings of short conversations against trying every sequence."""
+    rng = random.Random(12)
+    rows, talks = [], {}
+    for c in range(300):
+        talks[c] = [(rng.choice(["system", "user", "assistant", "tool", None, ""]), rng.choice(["a", "", None, "two\nlines", "x" * 5000])) for _ in range(rng.randint(1, 7))]
+        rows += [(c, t, *turn) for t, turn in enumerate(talks[c])]
+    got = collections.defaultdict(list)
+    for r in sorted(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)).collect(), key=lambda r: (r.conv_id, r.turn)):
+        got[r.conv_id].append(r)
+    for c, turns in talks.items():
+        best = plain.chat_rendering(turns)
+        least = min(cost for cost, _ in best.values())
+        assert sum(r.cost for r in got[c]) == least
+        shown = "".join(r.piece for r in got[c])
+        if sum(cost == least for cost, _ in best.values()) == 1 and len(turns) == 1:
+            assert shown == next(s for cost, s in best.values() if cost == least)
+        # legal, with all texts in order, whichever of the cheapest it is
+        roles = [line[2:-2] for line in shown.split("\n") if line in ("<|system|>", "<|user|>", "<|assistant|>")]
+        state = None
+        for role in roles:
+            assert role in {None: ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}[state]
+            state = role
+        assert "".join(x for x in shown.split("\n") if x not in ("<|system|>", "<|user|>", "<|assistant|>")) == "".join((t or "").replace("\n", "") for _, t in turns)
+
+
+def test_very_long_turns(spark):
+    rows = [(1, 0, "user", "u" * 3_000_000), (1, 1, "user", "v" * 10), (1, 2, "assistant", "w" * 2_000_000)]
+    got = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("turn").collect()
+    assert [len(r.piece) for r in got] == [3_000_000 + 10, 11, 2_000_000 + 15]
+
+
 def test_chat_edge_cases(spark):
     schema = "conv_id long, turn long, role string, text string, piece int"
     rows = [(None, None, None, None, 1), (1, 0, "user", "a", 1), (1, 0, "user", "a", 1), (1, 1, "assistant", "b", 1)]

@@ -183,19 +183,33 @@ class IntTable:
         return out
 
 
+def unused(columns: Sequence[str], name: str) -> str:
+    """``name``, or a longer one that no column has (columns that differ in case only are the same to Spark)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def besides(keep: Sequence[str], computed: Sequence[str]) -> list[str]:
+    """The columns of ``keep`` that no computed one replaces."""
+    names = {c.lower() for c in computed}
+    return [c for c in dict.fromkeys(keep) if c.lower() not in names]
+
+
 Compute = Callable[[Slice, pa.RecordBatch], dict]
 
 
-def map_text(df: DataFrame, text: str, keep: Sequence[str], fields: str, make: Callable[[], Compute], where: str | None = None) -> DataFrame:
+def map_text(df: DataFrame, text: str, keep: Sequence[str], fields: str, make: Callable[[], Compute], where: str | None = None, also: Sequence[str] = ()) -> DataFrame:
     """Carry the columns ``keep`` and append ``fields`` (a DDL string), computed slice by slice from the column ``text``.
 
     A computed column replaces a kept one of the same name. ``make`` runs once per task and returns the function that
     maps a slice to a dict of column values; with ``where``, only rows whose value in that computed column is true stay,
-    and the column itself is dropped.
+    and the column itself is dropped. The rows that the function gets have the columns ``also`` too, which aren't carried.
     """
     added = T.StructType.fromDDL(fields)
-    keep = [c for c in keep if c not in added.names]
-    needed = list(dict.fromkeys([*keep, text]))
+    keep = besides(keep, added.names)
+    needed = list(dict.fromkeys([*keep, text, *also]))
     source = df.select(*[f"`{c}`" for c in needed])
     schema = T.StructType([*[source.schema[c] for c in keep], *[f for f in added if f.name != where]])
     arrow = to_arrow_schema(schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import settled
+from .storage import released, settled
 
 
 def _is_done(links: DataFrame) -> bool:
@@ -26,9 +26,11 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         # large star: u's larger neighbours point to the least of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = settled(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        now = settled(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "links")
+        large = settled(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "links")
+        released(now, least)
         # small star: u and its smaller neighbours point to the least of those
-        least = settled(now.groupBy("u").agg(F.min("v").alias("m")), "least")
-        joined = now.join(least, "u")
+        least = settled(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        joined = large.join(least, "u")
         now = settled(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "links")
+        released(large, least)
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

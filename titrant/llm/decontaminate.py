@@ -4,29 +4,32 @@ Items and texts are normalised alike: A-Z lower-cased, words joined by one space
 automaton holds every window of ``WINDOW`` consecutive item words (an item with fewer words is one window), so a match
 begins and ends at a word; its offset maps back to word numbers and, through them, to bytes of the original text.
 
-The automaton is built from the benchmark, whose size doesn't grow with the corpus. At most ``AUTOMATON_WINDOWS``
-windows go into one automaton: a larger benchmark is cut into several that are scanned one after the other, each task
-holding one at a time.
+The benchmark's size is checked before any of it is collected. Up to ``BENCHMARK_BYTES`` of item text make one automaton
+(about 400 bytes of memory for a byte of text), which every task has by broadcast. A larger benchmark is dealt to several
+automata by the hash of its item ids, and the texts go through one after the other: what one pass finds is written beside
+the texts for the next, so no task ever holds two automata or builds one twice, and hits are merged at the last.
 
 Edge cases: a null or wordless text has no hits; a null or wordless item has no windows and never occurs. Items with
 equal windows are all found. Repeated documents are judged one by one, repeated item rows count once per item id.
-An empty benchmark marks nothing.
+An empty benchmark marks nothing. Texts are scanned whole, however long. Of columns that share a name with a computed
+one, the computed one stays.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import LOWER, NORMAL, Slice, map_text, slices
+from .bytewords import LOWER, NORMAL, Slice, map_text, unused
+from .storage import settled
 
 WINDOW = 10
-AUTOMATON_WINDOWS = 500_000
+BENCHMARK_BYTES = 1 << 20
 FIELDS = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 SPANS = "n_words long, spans array<struct<first_byte:long,end_byte:long,first_word:long,end_word:long>>, items array<string>, contaminated boolean"
 
@@ -42,32 +45,33 @@ def item_windows(text: bytes, size: int = WINDOW) -> set[bytes]:
     return {b" " + b" ".join(words[i : i + size]) + b" " for i in range(max(1, len(words) - size + 1))}
 
 
-def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = WINDOW) -> list[tuple[bytes, list[str]]]:
-    """Each window and the items that have it. The benchmark is small by nature; it comes to the driver as a stream."""
-    by: dict[bytes, set[str]] = {}
-    for row in benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).toLocalIterator():
-        if row.i is not None and row.t is not None:
-            for w in item_windows(row.t.encode(), size):
-                by.setdefault(w, set()).add(row.i)
-    return [(w, sorted(by[w])) for w in sorted(by)]
+def benchmark_parts(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[DataFrame]:
+    """``i, t``: the items' ids and texts in parts of about ``BENCHMARK_BYTES`` of text, all rows of an item in one."""
+    rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).filter("i IS NOT NULL AND t IS NOT NULL").distinct()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    n = max(1, -(-size // BENCHMARK_BYTES))
+    return [rows.filter(F.pmod(F.xxhash64("i"), F.lit(n)) == k) for k in range(n)] if n > 1 else [rows]
 
 
-def _automata(windows: list[tuple[bytes, list[str]]]):
-    for at in range(0, len(windows), AUTOMATON_WINDOWS):
-        machine = ahocorasick.Automaton()
-        for window, items in windows[at : at + AUTOMATON_WINDOWS]:
-            # the library's keys are strings of characters; one character stands for one byte
-            machine.add_word(window.decode("latin-1"), (window.count(b" ") - 1, len(window), items))
-        machine.make_automaton()
-        yield machine
+def windows_of(items: DataFrame, size: int = WINDOW) -> list[tuple[bytes, list[str]]]:
+    """Each window of one part and the items that have it."""
+    by: dict[bytes, set[str]] = {}
+    for row in items.toLocalIterator():
+        for w in item_windows(row.t.encode(), size):
+            by.setdefault(w, set()).add(row.i)
+    return [(w, sorted(by[w])) for w in sorted(by)]
 
 
 class Scanner:
-    """Scans slices for the windows."""
+    """One automaton, and how slices are scanned with it."""
 
     def __init__(self, windows: list[tuple[bytes, list[str]]]):
-        self.windows = windows
-        self.single = next(_automata(windows), None) if len(windows) <= AUTOMATON_WINDOWS else None
+        self.machine = ahocorasick.Automaton()
+        for window, items in windows:
+            # the library's keys are strings of characters; one character stands for one byte
+            self.machine.add_word(window.decode("latin-1"), (window.count(b" ") - 1, len(window), items))
+        self.machine.make_automaton()
+        self.empty = not windows
 
     def normalised(self, part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Word starts, ends and places; the normalised bytes (each word with a space after it, each text with a space before); where each word stands there."""
@@ -90,84 +94,99 @@ class Scanner:
         size = np.zeros(part.n + 1, np.int64)
         # where each text begins in the output: before its words come those of earlier texts and their spaces
         size[1:] = np.cumsum(np.bincount(np.repeat(np.arange(part.n), np.diff(places)), weights=ends - starts + 1, minlength=part.n).astype(np.int64) + 1)
-        for machine in [self.single] if self.single is not None else _automata(self.windows):
-            for i in range(part.n):
-                if places[i] == places[i + 1]:
-                    continue
-                base = int(size[i])
-                for end, (words, length, items) in machine.iter(out[base : size[i + 1]].tobytes().decode("latin-1")):
-                    first = int(np.searchsorted(at, base + end - length + 2)) - int(places[i])
-                    mask, seen = found.setdefault(i, (np.zeros(int(places[i + 1] - places[i]), bool), set()))
-                    mask[first : first + words] = True
-                    seen.update(items)
+        for i in range(0 if self.empty else part.n):
+            if places[i] == places[i + 1]:
+                continue
+            base = int(size[i])
+            for end, (words, length, items) in self.machine.iter(out[base : size[i + 1]].tobytes().decode("latin-1")):
+                first = int(np.searchsorted(at, base + end - length + 2)) - int(places[i])
+                mask, seen = found.setdefault(i, (np.zeros(int(places[i + 1] - places[i]), bool), set()))
+                mask[first : first + words] = True
+                seen.update(items)
         return found, starts, ends, places
 
 
-def _digest(items: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+Found = dict[int, tuple[np.ndarray, set[str]]]  # by row, the mask of words hit and the items
+Finish = Callable[[Slice, Found, np.ndarray, np.ndarray, np.ndarray], dict]  # slice, found, starts, ends and places of words in; computed columns out
+CARRIED = "array<int>", "array<string>"
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), size: int = WINDOW) -> DataFrame:
-    """``keep`` and, per row, words, hit words, number and digest of the items found, and whether there is any hit."""
-    windows = docs.sparkSession.sparkContext.broadcast(benchmark_windows(benchmark, size=size))
+def scanned(docs: DataFrame, benchmark: DataFrame, text: str, keep: Sequence[str], fields: str, finish: Finish, size: int = WINDOW, where: str | None = None) -> DataFrame:
+    """``keep`` and the ``fields`` that ``finish`` makes of what all automata find in each slice."""
+    parts = benchmark_parts(benchmark)
+    hits, items = unused(docs.columns, "__hits"), unused(docs.columns, "__items")
+    rows = docs
+    for k, part_items in enumerate(parts):
+        windows = docs.sparkSession.sparkContext.broadcast(windows_of(part_items, size))
+        last = k + 1 == len(parts)
 
-    def make():
-        scanner = Scanner(windows.value)
+        def make(windows=windows, before=k > 0, last=last):
+            scanner = Scanner(windows.value)
 
-        def compute(part: Slice, _) -> dict:
-            found, _, _, places = scanner.scan(part)
-            none = (np.zeros(0, bool), set())
-            got = [found.get(i, none) for i in range(part.n)]
-            return {
-                "n_words": np.diff(places),
-                "n_hit": [int(m.sum()) for m, _ in got],
-                "n_items": [len(s) for _, s in got],
-                "items_sha256": [_digest(s) for _, s in got],
-                "contaminated": [bool(s) for _, s in got],
-            }
+            def compute(part: Slice, batch) -> dict:
+                found, starts, ends, places = scanner.scan(part)
+                if before:
+                    column = lambda c: batch.column(batch.schema.names.index(c)).to_pylist()
+                    for i, (words, seen) in enumerate(zip(column(hits), column(items), strict=True)):
+                        if words:
+                            mask, mine = found.setdefault(i, (np.zeros(int(places[i + 1] - places[i]), bool), set()))
+                            mask[words] = True
+                            mine.update(seen)
+                if last:
+                    return finish(part, found, starts, ends, places)
+                return {hits: [np.flatnonzero(found[i][0]).tolist() if i in found else [] for i in range(part.n)], items: [sorted(found[i][1]) if i in found else [] for i in range(part.n)]}
 
-        return compute
+            return compute
 
-    return map_text(docs, text, keep, FIELDS, make)
+        carried = [hits, items] if k else []
+        if last:
+            return map_text(rows, text, keep, fields, make, where, carried)
+        rows = settled(map_text(rows, text, docs.columns, f"`{hits}` {CARRIED[0]}, `{items}` {CARRIED[1]}", make, None, carried), "scanned")
+    raise AssertionError("there is always a part")
 
 
-def spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), size: int = WINDOW) -> DataFrame:
-    """Like :func:`find`, with the hit passages as byte and word offsets of the original text, and the items' ids."""
-    windows = docs.sparkSession.sparkContext.broadcast(benchmark_windows(benchmark, size=size))
+def _digest(items: set[str]) -> str:
+    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
-    def make():
-        scanner = Scanner(windows.value)
 
-        def compute(part: Slice, _) -> dict:
-            found, starts, ends, places = scanner.scan(part)
-            all_spans, items = [], []
-            for i in range(part.n):
-                mask, seen = found.get(i, (np.zeros(0, bool), set()))
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
-                all_spans.append([{"first_byte": int(starts[places[i] + a] - part.offs[i]), "end_byte": int(ends[places[i] + b - 1] - part.offs[i]), "first_word": int(a), "end_word": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)])
-                items.append(sorted(seen))
-            return {"n_words": np.diff(places), "spans": all_spans, "items": items, "contaminated": [bool(x) for x in items]}
+NOTHING: tuple[np.ndarray, set[str]] = (np.zeros(0, bool), set())
 
-        return compute
 
-    return map_text(docs, text, keep, SPANS, make)
+def _counts(part: Slice, found: Found, starts: np.ndarray, ends: np.ndarray, places: np.ndarray) -> dict:
+    got = [found.get(i, NOTHING) for i in range(part.n)]
+    return {"n_words": np.diff(places), "n_hit": [int(m.sum()) for m, _ in got], "n_items": [len(s) for _, s in got], "items_sha256": [_digest(s) for _, s in got], "contaminated": [bool(s) for _, s in got]}
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows without a hit, with their own columns."""
-    windows = docs.sparkSession.sparkContext.broadcast(benchmark_windows(benchmark))
+def _passages(part: Slice, found: Found, starts: np.ndarray, ends: np.ndarray, places: np.ndarray) -> dict:
+    all_spans, items = [], []
+    for i in range(part.n):
+        mask, seen = found.get(i, NOTHING)
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
+        all_spans.append([{"first_byte": int(starts[places[i] + a] - part.offs[i]), "end_byte": int(ends[places[i] + b - 1] - part.offs[i]), "first_word": int(a), "end_word": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)])
+        items.append(sorted(seen))
+    return {"n_words": np.diff(places), "spans": all_spans, "items": items, "contaminated": [bool(x) for x in items]}
+
+
+def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), size: int = WINDOW) -> DataFrame:
+    """``keep`` and, per row, words, hit words, number and digest of the items found, and whether there is any hit."""
+    return scanned(docs, benchmark, text, keep, FIELDS, _counts, size)
 
-    def make():
-        scanner = Scanner(windows.value)
 
-        def compute(part: Slice, _) -> dict:
-            clean = np.ones(part.n, bool)
-            clean[list(scanner.scan(part)[0])] = False
-            return {"__clean": clean}
+def spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), size: int = WINDOW) -> DataFrame:
+    """Like :func:`find`, with the hit passages as byte and word offsets of the original text, and the items' ids."""
+    return scanned(docs, benchmark, text, keep, SPANS, _passages, size)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows without a hit, with their own columns."""
+    mark = unused(docs.columns, "__clean")
 
-        return compute
+    def finish(part: Slice, found: Found, starts: np.ndarray, ends: np.ndarray, places: np.ndarray) -> dict:
+        clean = np.ones(part.n, bool)
+        clean[list(found)] = False
+        return {mark: clean}
 
-    return map_text(docs, text, docs.columns, "__clean boolean", make, where="__clean")
+    return scanned(docs, benchmark, text, docs.columns, f"`{mark}` boolean", finish, where=mark)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .bytewords import besides
 from .html_tree import Flat, Node, match, parse
-from .storage import settled
+from .storage import released, settled
 from .url_filter import canonical
 
 BROADCAST_BYTES = 16 << 20
@@ -333,10 +334,11 @@ def wrappers(pages: DataFrame, refs: DataFrame) -> DataFrame:
 
 def main_text(df: DataFrame, html: str = "html", url: str = "url", keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
     """``keep``, ``text`` and ``n_chars`` for every row."""
-    keep = [c for c in keep if c not in ("text", "n_chars")]
+    keep = besides(keep, ("text", "n_chars"))
     pages = df.select(*[F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)], F.col(f"`{html}`").alias("__html"), canonical(url)[0].alias("host"))
     refs = settled(references(pages), "references")
     states = settled(wrappers(pages, refs), "wrappers")
+    released(refs)
     schema = T.StructType([*[T.StructField(c, df.schema[c].dataType) for c in keep], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     arrow = to_arrow_schema(schema)
 

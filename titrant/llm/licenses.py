@@ -1,7 +1,7 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a paragraph: lines up to the next blank line. A template ``T`` is found in a block ``B`` if
-``|B & T| >= THRESHOLD * |T|`` over distinct words. The join is exact: words are ordered by how often they stand in all
+A block is a paragraph: lines up to the next blank line; a license's templates are the paragraphs of its text or notice.
+A template ``T`` is found in a block ``B`` if ``|B & T| >= THRESHOLD * |T|`` over distinct words. The join is exact: words are ordered by how often they stand in all
 documents, rare ones first (ties: by word), and
 
 - prefix: such a block has one of the template's first ``|T| - ceil(THRESHOLD * |T|) + 1`` words;
@@ -29,17 +29,41 @@ from .bytewords import LOWER, NORMAL, Slice, map_text, slices
 
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 THRESHOLD = 0.8
-#: Fixed texts: the notices that these licenses ask for.
+# The texts and notices of licenses, paragraph by paragraph, as blocks are paragraphs. Left out are headings,
+# copyright lines, and the disclaimer that several of them share word for word.
 TEMPLATES = {
-    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software",
-    "apache": "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version of the License, or (at your option) any later version",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
-    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at mozilla.org",
-    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
-    "cc-by": "This work is licensed under a Creative Commons Attribution International License. To view a copy of this license, visit creativecommons.org/licenses/by",
-}
+    "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software",
+    ),
+    "apache": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    "gpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
+    ),
+    "bsd": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.",
+    ),
+    "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA.", "This work is licensed under a Creative Commons Attribution International License. To view a copy of this license, visit creativecommons.org/licenses/by"),
+}
+Templates = dict[str, Sequence[str]]
 FIELDS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
@@ -61,11 +85,11 @@ def _tokens(text: str) -> list[str]:
 class Index:
     """Templates over a global order of their words."""
 
-    def __init__(self, templates: dict[str, str], frequency: dict[str, int], threshold: float):
-        sets = {label: set(_tokens(text)) for label, text in templates.items()}
-        self.vocabulary = sorted({w for s in sets.values() for w in s}, key=lambda w: (frequency.get(w, 0), w))
+    def __init__(self, templates: Templates, frequency: dict[str, int], threshold: float):
+        sets = [(label, set(_tokens(text))) for label, texts in templates.items() for text in texts]
+        self.vocabulary = sorted({w for _, s in sets for w in s}, key=lambda w: (frequency.get(w, 0), w))
         rank = {w: i for i, w in enumerate(self.vocabulary)}
-        self.templates = [(label, np.array(sorted(rank[w] for w in s)), math.ceil(round(threshold * len(s), 9))) for label, s in sets.items() if s]
+        self.templates = [(label, np.array(sorted(rank[w] for w in s)), math.ceil(round(threshold * len(s), 9))) for label, s in sets if s]
         self.postings: dict[int, list[tuple[int, int]]] = {}
         for t, (_, ranks, least) in enumerate(self.templates):
             for place in range(len(ranks) - least + 1):
@@ -97,7 +121,7 @@ class Index:
                     yield label, common / len(ranks)
 
 
-def template_frequency(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text") -> dict[str, int]:
+def template_frequency(docs: DataFrame, templates: Templates | None = None, text: str = "text") -> dict[str, int]:
     """How often each template word stands in all documents: one row for each such word and task, then one for each word."""
     words = Index(templates or TEMPLATES, {}, THRESHOLD).vocabulary
     schema = "word int, n long"
@@ -157,7 +181,7 @@ def _phrases(part: Slice, low: bytes, hashes: np.ndarray, starts: np.ndarray, en
     return out
 
 
-def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), templates: Templates | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``keep``, the phrases' counts and labels, all labels and the score."""
     templates = templates or TEMPLATES
     frequency = template_frequency(docs, templates, text)
@@ -193,7 +217,7 @@ def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",),
     return map_text(docs, text, keep, FIELDS, make)
 
 
-def blocks(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def blocks(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), templates: Templates | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` and ``matches``: the bytes, label and share of every block that has a template."""
     templates = templates or TEMPLATES
     frequency = template_frequency(docs, templates, text)
@@ -222,7 +246,7 @@ def sql() -> str:
 
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    templates = ", ".join(f"('{label}', {quoted(sorted(set(_tokens(t))))})" for label, t in TEMPLATES.items())
+    templates = ", ".join(f"('{label}', {quoted(sorted(set(_tokens(t))))})" for label, texts in TEMPLATES.items() for t in texts)
     phrases = ", ".join(f"({quoted(p.split(' '))}, '{label}')" for p, label in PHRASES.items())
     return rf"""
 WITH template(label, ws) AS (VALUES {templates}), phrase(ws, label) AS (VALUES {phrases}),

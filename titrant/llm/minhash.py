@@ -3,8 +3,8 @@
 A shingle is ``SHINGLE`` consecutive words (A-Z lower-cased; a text with fewer words is one shingle). Its weight is its
 count in the text times the mean inverse document frequency of its words. The frequency is that of words, not of whole
 shingles: the shingles of a text with n copies all stand in n documents, so their own frequency would weigh down just
-what near copies share. Words are counted in ``BUCKETS`` hash buckets over all documents, which bounds what is broadcast
-(words in one bucket share a frequency).
+what near copies share. Words are counted over all documents in two hash tables of ``BUCKETS`` buckets, which bounds what
+is broadcast; the lesser of a word's two counts holds, so only words that meet others in both tables seem more frequent.
 
 Each of ``RUNS`` runs deals the shingles to ``BINS`` bins by hash and takes an improved consistent weighted sample in
 each bin; an empty bin borrows from others by hash. Equal samples are as likely as the weighted Jaccard similarity.
@@ -33,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import NORMAL, ODD, Slice, _powers, map_text, mix64, row_of, slices, window_hash, windows
+from .bytewords import NORMAL, ODD, Slice, _powers, besides, map_text, mix64, row_of, slices, window_hash, windows
 from .components import components
-from .storage import settled
+from .storage import released, settled
 
 SHINGLE, THRESHOLD = 5, 0.8
-BUCKETS = 1 << 16
+BUCKET_BITS = 17
+BUCKETS = 1 << BUCKET_BITS
 RUNS, BINS = 4, 32
 BANDS, ROWS = 25, 5
 SKETCH_LONGS = RUNS * BINS * 4 // 64
@@ -50,33 +51,42 @@ BLOCK, BLOCK_BYTES = 256, 8 << 20
 SIGNATURE = "__n long, __k1 long, __k2 long, __bands array<long>, __sketch array<long>"
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(48)).astype(np.int64)
+def _buckets(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each word in either table, from other bits of its hash."""
+    first, second = hashes >> np.uint64(64 - BUCKET_BITS), hashes >> np.uint64(64 - 2 * BUCKET_BITS) & np.uint64(BUCKETS - 1)
+    return first.astype(np.int64), second.astype(np.int64)
 
 
 def word_weights(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The inverse document frequency of each word bucket, over all documents."""
+    """The inverse document frequency of each bucket of both tables, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(2 * BUCKETS, np.int64)
         rows = 0
         for batch in batches:
             for part in slices(batch.column(0)):
                 starts, ends, places = part.words(NORMAL)
-                key = row_of(places) * BUCKETS + _bucket(part.span_hash(part.prefix_hash(lower=True), starts, ends))
+                hashes = part.span_hash(part.prefix_hash(lower=True), starts, ends)
+                key = row_of(places).astype(np.uint64) << np.uint64(48) | hashes >> np.uint64(16)
                 key.sort()
                 first = np.ones(len(key), bool)
                 first[1:] = key[1:] != key[:-1]
-                counts += np.bincount(key[first] % BUCKETS, minlength=BUCKETS)
+                words = key[first] << np.uint64(16)  # the document's bits go, the buckets' stay
+                for table, bucket in enumerate(_buckets(words)):
+                    counts[table * BUCKETS : (table + 1) * BUCKETS] += np.bincount(bucket, minlength=BUCKETS)
                 rows += part.n
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(counts[at], rows), pa.int64())], names=["bucket", "n"])
 
     found = docs.select(F.col(f"`{text}`")).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    count, total = np.zeros(BUCKETS + 1), 0.0
+    count = np.zeros(2 * BUCKETS + 1)
     count[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(float)
-    total, count = count[-1], count[:-1]
-    return np.log1p(max(total, 1.0) / np.maximum(count, 1.0))
+    return np.log1p(max(count[-1], 1.0) / np.maximum(count[:-1], 1.0)).reshape(2, BUCKETS)
+
+
+def word_idf(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    first, second = _buckets(hashes)
+    return np.maximum(weights[0][first], weights[1][second])
 
 
 def vectors(part: Slice, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,7 +99,7 @@ def vectors(part: Slice, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     for salted in (hashes, mix64(hashes ^ ODD)):
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(salted * power[: len(hashes)])])
         keys.append(mix64((total[places[1:]] - total[places[:-1]]) * inverse[places[:-1]] + n_words.astype(np.uint64) * ODD))
-    idf = weights[_bucket(hashes)]
+    idf = word_idf(hashes, weights)
     first, rows = windows(places, SHINGLE)
     shingles = window_hash(hashes, first, SHINGLE)
     mean = sum((idf[first + k] for k in range(SHINGLE)), np.zeros(len(first))) / SHINGLE
@@ -263,15 +273,14 @@ def block_links(band: int, mine: np.ndarray, nodes: np.ndarray, roots: np.ndarra
     return out
 
 
-def remaining(members: DataFrame, texts: DataFrame, roots: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
-    """The links ``a, b`` that join what ``roots`` (``node, root``) leaves apart: see the exact round above."""
+def remaining(members: DataFrame, texts: DataFrame, roots: DataFrame, weights: np.ndarray, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The links ``a, b`` that join what ``roots`` (``node, root``) leaves apart (see the exact round above), and the settled table that they are made from."""
     held = members.sparkSession.sparkContext.broadcast(weights)
     labelled = members.select("band", "h", "node").join(texts.select(F.col("rid").alias("node"), "size").hint("merge"), "node")
     labelled = settled(labelled.join(roots.hint("merge"), "node", "left").select("band", "h", "node", "size", F.coalesce("root", "node").alias("root")), "labelled")
     parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("long")
     mixed = labelled.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), parts.alias("parts")).filter("lo < hi").select("band", "h", "parts")
     apart = labelled.join(mixed.hint("merge"), ["band", "h"]).withColumn("mine", F.expr("pmod(xxhash64(node, band), parts)"))
-    apart = settled(apart.select("band", "h", "node", "root", "mine", "parts"), "apart")
     apart = apart.join(texts.select(F.col("rid").alias("node"), "bands", "body").hint("merge"), "node")
     apart = apart.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
 
@@ -285,15 +294,15 @@ def remaining(members: DataFrame, texts: DataFrame, roots: DataFrame, weights: n
             got = block_links(key[0].as_py(), mine, column("node").to_numpy(zero_copy_only=False), column("root").to_numpy(zero_copy_only=False), bands, column("body"), held.value, threshold)
         return pa.table({"a": pa.array([a for a, _ in got], pa.int64()), "b": pa.array([b for _, b in got], pa.int64())})
 
-    return apart.select("band", "h", "x", "y", "node", "root", "mine", "bands", "body").groupBy("band", "h", "x", "y").applyInArrow(run, "a long, b long")
+    return apart.select("band", "h", "x", "y", "node", "root", "mine", "bands", "body").groupBy("band", "h", "x", "y").applyInArrow(run, "a long, b long"), labelled
 
 
-def _links(members: DataFrame, texts: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
-    """Verified links ``a, b`` among the nodes of ``members`` (``band, h, node``, buckets of two or more); ``texts``: ``rid, body, size, sketch, bands``."""
-    score = settled(members.groupBy("band", "h").agg(F.count("*").alias("size")), "sizes")
-    score = members.select("band", "h", "node").join(score, ["band", "h"]).groupBy("node").agg(F.sum("size").alias("score"))
-    scored = settled(members.select("band", "h", "node").join(settled(score, "scores"), "node"), "scored")
-    hubs = settled(scored.groupBy("band", "h").agg(F.max(F.struct("score", "node")).alias("top")).select("band", "h", F.col("top.node").alias("hub"), F.col("top.score").alias("rank")), "hubs")
+def _roots(members: DataFrame, texts: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
+    """``node, root`` of the verified links among ``members`` (``band, h, node``, buckets of two or more); ``texts``: ``rid, body, size, sketch, bands``."""
+    sizes = members.groupBy("band", "h").agg(F.count("*").alias("size"))
+    score = members.select("band", "h", "node").join(sizes, ["band", "h"]).groupBy("node").agg(F.sum("size").alias("score"))
+    scored = settled(members.select("band", "h", "node").join(score, "node"), "scored")
+    hubs = scored.groupBy("band", "h").agg(F.max(F.struct("score", "node")).alias("top")).select("band", "h", F.col("top.node").alias("hub"), F.col("top.score").alias("rank"))
     pairs = settled(scored.join(hubs, ["band", "h"]).filter("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.max("rank").alias("rank")), "pairs")
     first = settled(similar(pairs.select("a", "b"), texts, weights, threshold), "verified")
     links = first.filter("linked").select("a", "b")
@@ -302,46 +311,52 @@ def _links(members: DataFrame, texts: DataFrame, weights: np.ndarray, threshold:
     chief = links.join(pairs, ["a", "b"]).groupBy("a").agg(F.max(F.struct("rank", "b")).alias("top")).select(F.col("a").alias("node"), F.col("top.b").alias("chief"))
     known = texts.select(F.col("rid").alias("node"), "sketch").join(chief, "node", "left").select("node", "sketch", F.coalesce("chief", "node").alias("root"))
     labelled = members.join(known, "node")
-    near = settled(neighbours(labelled).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "near")
+    near = neighbours(labelled).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = similar(near, texts, weights, threshold).filter("linked").select("a", "b")
-    roots = settled(components(settled(links.unionByName(second), "all-links"), "a", "b"), "joined")
-    rest = remaining(members, texts, roots, weights, threshold)
-    return settled(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest), "whole-links")
+    roots = settled(components(links.unionByName(second), "a", "b"), "joined")
+    released(scored, pairs, first)
+    rest, made_from = remaining(members, texts, roots, weights, threshold)
+    out = components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest), "a", "b")
+    released(roots, made_from)
+    return out
 
 
 def classes(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), doc: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """``keep``, ``class_id`` and ``kept``, one row for each row of ``docs``."""
-    spark = docs.sparkSession
-    weights = word_weights(docs, text)
-    signed = signatures(docs, weights, text, list(dict.fromkeys([*keep, doc, text])))
+    """``keep``, ``class_id`` and ``kept``, one row for each row of ``docs``. Of columns that share a name with a computed one, the computed one stays."""
+    keep = besides(keep, ("class_id", "kept"))
+    names = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([*keep, doc, text]))}
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    body, number = names[text], names[doc]
+    weights = word_weights(rows, body)
+    signed = signatures(rows, weights, body, list(names.values()))
     signed = signed.withColumn("__rid", F.monotonically_increasing_id())
     signed = signed.withColumn("__k1", F.when(F.col("__n") > 0, F.col("__k1")).otherwise(F.col("__rid"))).withColumn("__k2", F.when(F.col("__n") > 0, F.col("__k2")).otherwise(F.lit(0)))
     signed = settled(signed, "signed")
     # texts with equal words are one node, named by its first row
-    firsts = signed.select("__k1", "__k2", F.col("__rid"), F.col(f"`{doc}`").cast("long").alias("__doc"), (F.col("__n") > 0).alias("__worded"))
+    firsts = signed.select("__k1", "__k2", F.col("__rid"), F.col(number).cast("long").alias("__doc"), (F.col("__n") > 0).alias("__worded"))
     nodes = settled(firsts.groupBy("__k1", "__k2").agg(F.min("__rid").alias("node"), F.min(F.struct("__doc", "__rid")).alias("least"), F.max("__worded").alias("worded")), "nodes")
     bands = signed.select(F.col("__rid").alias("node"), "__bands").join(nodes.filter("worded").select("node").hint("merge"), "node")
     bands = bands.select("node", F.posexplode("__bands").alias("band", "h"))
-    many = settled(bands.groupBy("band", "h").agg(F.count("*").alias("size")).filter("size > 1").select("band", "h"), "buckets")
+    many = bands.groupBy("band", "h").agg(F.count("*").alias("size")).filter("size > 1").select("band", "h")
     # the same kind of join at every size: the buckets grow with the rows
     members = settled(bands.join(many.hint("merge"), ["band", "h"]), "members")
     # only members of buckets are ever compared; their texts are moved once, at every size by the same kind of join
-    texts = signed.select(F.col("__rid").alias("rid"), F.col(f"`{text}`").alias("body"), F.octet_length(f"`{text}`").alias("size"), F.col("__sketch").alias("sketch"), F.col("__bands").alias("bands"))
+    texts = signed.select(F.col("__rid").alias("rid"), F.col(body).alias("body"), F.octet_length(body).alias("size"), F.col("__sketch").alias("sketch"), F.col("__bands").alias("bands"))
     texts = settled(texts.join(members.select(F.col("node").alias("rid")).distinct().hint("merge"), "rid", "left_semi"), "texts")
-    roots = components(_links(members, texts, weights, threshold), "a", "b")
-    rooted = nodes.join(settled(roots, "roots"), "node", "left").select("__k1", "__k2", "least", F.coalesce("root", "node").alias("root"))
-    rooted = settled(rooted, "rooted")
-    least = settled(rooted.groupBy("root").agg(F.min("least").alias("top")), "tops")
+    roots = _roots(members, texts, weights, threshold)
+    rooted = settled(nodes.join(roots, "node", "left").select("__k1", "__k2", "least", F.coalesce("root", "node").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("least").alias("top"))
     found = settled(rooted.join(least, "root").select("__k1", "__k2", F.col("top.__doc").alias("class_id"), F.col("top.__rid").alias("__first")), "classes")
-    out = signed.select(*[F.col(f"`{c}`") for c in keep if c not in ("class_id", "kept")], "__k1", "__k2", "__rid").join(found, ["__k1", "__k2"])
-    return out.select(*[F.col(f"`{c}`") for c in keep if c not in ("class_id", "kept")], "class_id", (F.col("__rid") == F.col("__first")).alias("kept"))
+    released(nodes, members, texts, rooted)
+    out = signed.select(*[names[c] for c in keep], "__k1", "__k2", "__rid").join(found, ["__k1", "__k2"])
+    return out.select(*[F.col(names[c]).alias(c) for c in keep], "class_id", (F.col("__rid") == F.col("__first")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """One row of each class, with its own columns."""
-    marked = classes(docs.withColumnsRenamed({"class_id": "__class_id", "kept": "__kept"}), text, docs.withColumnsRenamed({"class_id": "__class_id", "kept": "__kept"}).columns, doc)
-    out = marked.filter("kept").drop("class_id", "kept")
-    return out.withColumnsRenamed({"__class_id": "class_id", "__kept": "kept"}).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = {c: f"own{i}" for i, c in enumerate(docs.columns)}
+    marked = classes(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), own[text], list(own.values()), own[doc])
+    return marked.filter("kept").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import Slice, class_table, map_text, slices
+from .bytewords import Slice, class_table, map_text, slices, unused
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "iban", "ssn", "hidden_email", "person", "address")
@@ -337,6 +337,7 @@ def redact(docs: DataFrame, text: str = "text", count: str | None = None) -> Dat
     """All rows and columns, with the spans of ``text`` masked; ``count``, if given and there, becomes the new number of code points (of a masked text only)."""
     model = train(pattern_counts(docs, text))
     counted = count if count in docs.columns else None
+    size = unused(docs.columns, "__count")
 
     def make():
         def compute(part: Slice, rows: pa.RecordBatch) -> dict:
@@ -348,14 +349,46 @@ def redact(docs: DataFrame, text: str = "text", count: str | None = None) -> Dat
                     texts[i] = masked(texts[i], spans)
                     if counted:
                         sizes[i] = len(texts[i])
-            return {text: texts} | ({"__count": sizes} if counted else {})
+            return {text: texts} | ({size: sizes} if counted else {})
 
         return compute
 
-    fields = f"`{text}` string" + (f", __count {docs.schema[counted].dataType.simpleString()}" if counted else "")
+    fields = f"`{text}` string" + (f", `{size}` {docs.schema[counted].dataType.simpleString()}" if counted else "")
     out = map_text(docs, text, docs.columns, fields, make)
-    return out.select(*[F.col("__count").alias(c) if c == counted else F.col(f"`{c}`") for c in docs.columns])
+    return out.select(*[F.col(f"`{size}`").alias(c) if c == counted else F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     return detect(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def base_query(spark, sf_dir: str) -> DataFrame:
+    """What SQL can express of the operator's rows: the spans of the base kinds."""
+    return query(spark, sf_dir).drop("spans")
+
+
+def _base_sql() -> str:
+    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    # from the right, every second digit counts twice, less 9 if that has two digits
+    digit = f"CAST(substr(reverse({digits}), CAST(i AS BIGINT), 1) AS INTEGER)"
+    doubled = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN {digit} ELSE 2 * {digit} - CASE WHEN {digit} > 4 THEN 9 ELSE 0 END END))"
+    holds = {
+        "email": "TRUE", "ip": "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR CAST('0' || right(x, 3) AS INTEGER) > 255)) = 0",
+        "card": f"CASE WHEN length({digits}) BETWEEN 14 AND 19 THEN {doubled} % 10 = 0 ELSE FALSE END", "phone": f"length({digits}) BETWEEN 10 AND 15",
+    }
+    # a match begins behind the pieces between matches before it, and behind these matches
+    arms = " UNION ALL ".join(
+        f"SELECT k, '{kind}' AS kind, {o} AS o, m, b, b + length(m) AS e FROM (SELECT k, unnest(ms) AS m, unnest(list_transform(range(1, len(ms) + 1), lambda i: list_sum(list_transform(ps[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))) AS b"
+        f" FROM (SELECT k, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS ps FROM d)) WHERE {holds[kind]}"
+        for o, (kind, pattern) in enumerate(patterns.items())
+    )
+    counts = ", ".join(f"CAST(coalesce(n_{kind}, 0) AS BIGINT) AS n_{kind}" for kind in patterns)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents), s AS ({arms}),
+g AS (SELECT k, {", ".join(f"count_if(kind = '{kind}') AS n_{kind}" for kind in patterns)}, string_agg(kind || ':' || CAST(b AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY b, o) AS spans FROM s GROUP BY 1)
+SELECT doc_id, {counts}, sha256(coalesce(spans, '')) AS base_sha256 FROM d LEFT JOIN g USING (k)
+"""
+
+
+BASE_SQL = _base_sql()

@@ -17,7 +17,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
-from .bytewords import PLAIN, Slice, class_table, map_text, mix64, row_of, window_hash, windows
+from .bytewords import PLAIN, Slice, class_table, map_text, mix64, row_of, unused, window_hash, windows
 
 CHUNK_BYTES = 4096
 LEVEL = 3
@@ -25,9 +25,10 @@ MIN_WORDS = 50
 #: For texts of at least so many bytes: the least and the greatest ratio. The least stands about 0.01 (below 512 bytes
 #: 0.04) under what texts labelled good have on sf0.1 (from 256 bytes on 0.54-0.73, 0.51-0.68, 0.47-0.58, 0.45-0.52,
 #: 0.43-0.47, 0.42-0.45, 0.40-0.43; none labelled from 32 KiB on, where the trend is carried on, and none from 64 KiB on).
+#: Under 128 bytes, where the frame alone weighs a tenth, the band only tells single repeated words and encoded bytes.
 #: The greatest stands above them and below what base64 in words has (0.92-0.84, 0.84-0.80, 0.80-0.77, then 0.75 or more).
 BANDS = (
-    (0, 0.0, 1.2), (128, 0.40, 0.93), (256, 0.50, 0.80), (512, 0.49, 0.75), (1024, 0.455, 0.70), (2048, 0.44, 0.70),
+    (0, 0.30, 1.05), (128, 0.40, 0.93), (256, 0.50, 0.80), (512, 0.49, 0.75), (1024, 0.455, 0.70), (2048, 0.44, 0.70),
     (4096, 0.42, 0.70), (8192, 0.405, 0.70), (16384, 0.395, 0.70), (32768, 0.38, 0.70), (65536, 0.30, 0.70),
 )
 #: For fixed chunks: the bands (texts labelled good have 0.44-0.48 on sf0.1), and the greatest share of chunks that may
@@ -138,12 +139,34 @@ def judge(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",))
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text passes, with their own columns."""
 
+    mark = unused(df.columns, "__kept")
+
     def make():
         compute = _make()
-        return lambda part, rows: {"__kept": compute(part, rows)["kept"]}
+        return lambda part, rows: {mark: compute(part, rows)["kept"]}
 
-    return map_text(df, text, df.columns, "__kept boolean", make, where="__kept")
+    return map_text(df, text, df.columns, f"`{mark}` boolean", make, where=mark)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+BASE = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def base_query(spark, sf_dir: str) -> DataFrame:
+    """What SQL can express of the operator's rows: all but the compression verdict."""
+    return query(spark, sf_dir).select(*BASE)
+
+
+BASE_SQL = rf"""
+WITH w AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+line AS (SELECT k, line, count(*) AS n FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1, 2),
+dup AS (SELECT k, sum(n - 1) AS n FROM line GROUP BY 1),
+gram AS (SELECT k, i, list_slice(ws, i, i + {_SPAN - 1}) AS g FROM (SELECT k, ws, unnest(range(1, len(ws) - {_SPAN - 2})) AS i FROM w)),
+hit AS (SELECT k, count(DISTINCT j) AS n FROM (SELECT k, unnest(range(i, i + {_SPAN})) AS j FROM gram JOIN (SELECT k, g FROM gram GROUP BY 1, 2 HAVING count(*) > 1) USING (k, g)) GROUP BY 1),
+c AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN dup USING (k) LEFT JOIN hit USING (k))
+SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c
+"""

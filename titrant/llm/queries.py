@@ -19,9 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.query,
     "op9_bpe": bpe_automaton.query,
     "op10_token_shards": token_shards.query,
+    # of two operators' rows, the columns that SQL can express
+    "quality_base": quality.base_query,
+    "pii_base": pii.base_query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_url_filters": url_filter.sql(),
     "op4_decontamination": decontaminate.SQL,
     "op5_license_scans": licenses.sql(),
+    "quality_base": quality.BASE_SQL,
+    "pii_base": pii.BASE_SQL,
 }

@@ -1,22 +1,40 @@
-"""Where operators keep tables between their steps: the folder that the cluster shares."""
+"""Where operators keep tables between their steps: the folder that the cluster shares.
+
+All that a session keeps lies below one folder of its own there, which goes when the driver's process ends; tables that
+only later steps of one operator read go as soon as these are written.
+"""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUNS: dict[str, str] = {}
+
+
+def _remove(jvm, settings, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(settings).delete(path, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone, or the store may refuse; what stays is for whoever owns the folder
+        return
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where the session has none (a local test), a folder of this machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir isn't set; on a cluster it must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="titrant-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """This session's own folder in ``spark.checkpoint.dir``; only where the session has none (a local test), in a folder of this machine. The setting is only read."""
+    context = spark.sparkContext
+    if context.applicationId not in _RUNS:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir isn't set; on a cluster it must name a folder that all executors share")
+            folder = "file://" + tempfile.mkdtemp(prefix="titrant-")
+        _RUNS[context.applicationId] = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
+        atexit.register(_remove, context._jvm, context._jsc.hadoopConfiguration(), _RUNS[context.applicationId])
+    return _RUNS[context.applicationId]
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -24,4 +42,13 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Settled tables that nothing will read any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        _remove(context._jvm, context._jsc.hadoopConfiguration(), df.settled_at)

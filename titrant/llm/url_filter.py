@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import Slice, map_text
+from .bytewords import Slice, besides, map_text, unused
 
 #: (rule, verdict)
 HOST_RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "allow"), ("org/es/", "block"))
@@ -84,6 +84,20 @@ class GlobSet:
         return out
 
 
+#: Bytes of rules that make one automaton: a task holds 4 KB for each 64 of them.
+RULE_BYTES = 1 << 20
+
+
+def read_rules(table: DataFrame, most: int = RULE_BYTES) -> tuple[list[tuple[str, str]], list[str]]:
+    """Host rules and blocking globs of a table ``rule, verdict, kind`` (host or glob), whose size is checked before it is read. Rows without a rule say nothing."""
+    rows = table.filter("rule IS NOT NULL AND rule <> ''").distinct()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("rule")), F.lit(0))).first()[0]
+    if size > most:
+        raise ValueError(f"{size} bytes of rules are too many for one automaton of {most}")
+    got = sorted((r.kind, r.rule, r.verdict) for r in rows.collect())
+    return [(rule, verdict) for kind, rule, verdict in got if kind == "host"], [rule for kind, rule, _ in got if kind == "glob"]
+
+
 def host_rule_globs(rule: str) -> tuple[str, str]:
     return f"{rule}**", f"*.{rule}**"
 
@@ -98,8 +112,8 @@ def canonical(url: str) -> tuple:
 def judge(df: DataFrame, url: str = "url", keep: Sequence[str] = ("page_id",), host_rules: Sequence[tuple[str, str]] = HOST_RULES, globs: Sequence[str] = GLOBS) -> DataFrame:
     """``keep``, host, path, the host rule that decides, the globs that match, and the verdict."""
     host, path = canonical(url)
-    keep = [c for c in keep if c not in ("host", "path", "rule", "globs", "verdict")]
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"), F.concat(host, path).alias("__url"))
+    keep, whole = besides(keep, ("host", "path", "rule", "globs", "verdict")), unused(keep, "__url")
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"), F.concat(host, path).alias(whole))
     longest = sorted(range(len(host_rules)), key=lambda r: -len(host_rules[r][0]))
 
     def make():
@@ -118,7 +132,7 @@ def judge(df: DataFrame, url: str = "url", keep: Sequence[str] = ("page_id",), h
 
         return compute
 
-    return map_text(rows, "__url", [*keep, "host", "path"], "rule string, globs string, verdict string", make)
+    return map_text(rows, whole, [*keep, "host", "path"], "rule string, globs string, verdict string", make)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
