@@ -2,6 +2,11 @@
 
 Each stage works on all that its predecessor kept, written as Parquet and read again. All but the last return the columns
 of ``documents``; the last returns the digest of each remaining document's tokens.
+
+Edge cases: null, empty and blank texts fail the first stage's base rules. Repeated rows, and texts that differ in case or
+punctuation only, are near copies, of which one stays; a null doc_id comes before any other. Further columns of
+``documents`` go through unchanged, whatever they are called (``n_chars`` follows a masked text). Texts are worked on
+whole. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -55,7 +60,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("tokens", tokens),
 ]
 
-#: The first stage's compression bands, the classes and the tokens have no SQL; tests hold run() against a plain model.
+#: The first stage's compression bands, the classes and the tokens have no SQL; tests hold the first three stages against
+#: plain models (words and zstandard, all pairs, windows), the fourth against its patterns, the tokens against the library.
 ORACLE_SQL: str | None = None
 
 
