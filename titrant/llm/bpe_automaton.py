@@ -199,13 +199,6 @@ class Automaton:
         return [self.label[i] for i in ids]
 
 
-def _byte_alphabet() -> list[str]:
-    """The printable character that byte-level vocabularies write for each byte."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in set(plain) else chr(next(others)) for b in range(256)]
-
-
 class WordTokenizer:
     """A tokenizer file of the kind with word ends: normalise, pre-split, then the automaton for each distinct word."""
 
@@ -218,7 +211,7 @@ class WordTokenizer:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.library = Tokenizer.from_file(path)  # for the normaliser and pre-tokenizer of wide texts only
-        self.alphabet = _byte_alphabet()
+        self.alphabet = presplit.byte_alphabet()
         self.names = list(self.automaton.label)
         for token, i in self.special.items():
             self.names.extend([""] * (i + 1 - len(self.names)))

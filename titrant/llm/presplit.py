@@ -2,6 +2,9 @@
 
 Texts of U+0000 to U+00FF only are split with table look-ups over their bytes; any other text goes, whole, through the
 tokenizer library's own normaliser and pre-tokenizer. Both give the same pieces.
+
+Edge cases: null and empty texts have no pieces; a slice without a byte has none. Texts are split whole, however long; a
+piece may be as long as its text. Repeated rows have the same pieces.
 """
 
 from __future__ import annotations
@@ -28,6 +31,13 @@ _CLASS = np.array([_class(c) for c in range(256)], np.uint8)
 _TAILS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 
 
+def byte_alphabet() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in set(plain) else chr(next(others)) for b in range(256)]
+
+
 def latin_lower(buf: np.ndarray) -> np.ndarray:
     """Lower case of a text of U+0000 to U+00FF."""
     out = buf.copy()
@@ -109,7 +119,7 @@ def split(part: Slice, buf: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.nd
 
 
 class Pieces:
-    """Distinct pieces of a tokenizer, each encoded once and then looked up by its hash.
+    """Distinct pieces of a tokenizer, each encoded once and then looked up by its hash of 64 bits.
 
     The store is a cache only: when it is full it is emptied. ``encode`` maps distinct pieces to entries.
     """
@@ -117,19 +127,30 @@ class Pieces:
     LIMIT = 700_000
 
     def __init__(self, encode: Callable[[list[bytes]], list]):
-        self.encode, self.known = encode, {}
+        self.encode = encode
+        self._empty()
+
+    def _empty(self) -> None:
+        self.known: list = []
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending, and where each one's entry stands
 
-    def entries(self, part: Slice, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> tuple[list, np.ndarray]:
+    def entries(self, part: Slice, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list, np.ndarray]:
         """Entries of the distinct pieces, and for each piece the place of its entry."""
         view = Slice(part.lo, part.hi, buf, part.offs, part.null)
-        hashes = view.span_hash(view.prefix_hash(), starts, ends)
-        _, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        found, at, back = np.unique(view.span_hash(view.prefix_hash(), starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > self.LIMIT:
-            self.known.clear()
-        raw = buf.tobytes()
-        keys = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            self._empty()
+        place = np.searchsorted(self.hashes, found)
+        there = np.zeros(len(found), bool)
+        inside = place < len(self.hashes)
+        there[inside] = self.hashes[place[inside]] == found[inside]
+        new = np.flatnonzero(~there)
+        if len(new):
+            raw = buf.tobytes()
+            added = self.encode([raw[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+            self.places = np.insert(self.places, place[new], len(self.known) + np.arange(len(new)))
+            self.hashes = np.insert(self.hashes, place[new], found[new])
+            self.known += added
+            place = np.searchsorted(self.hashes, found)
         known = self.known
-        new = [k for k in keys if k not in known]
-        if new:
-            known.update(zip(new, self.encode(new), strict=True))
-        return [known[k] for k in keys], back
+        return [known[k] for k in self.places[place].tolist()], back
