@@ -40,6 +40,8 @@ from .storage import released, settled
 SHINGLE, THRESHOLD = 5, 0.8
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
+#: Both tables' counts travel in so many arrays.
+PIECES = 64
 RUNS, BINS = 4, 32
 BANDS, ROWS = 25, 5
 SKETCH_LONGS = RUNS * BINS * 4 // 64
@@ -58,10 +60,14 @@ def _buckets(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_weights(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The inverse document frequency of each bucket of both tables, over all documents."""
+    """The inverse document frequency of each bucket of both tables, over all documents.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 * BUCKETS, np.int64)
+    A task sends its counts as ``PIECES`` arrays (and the number of its rows as one more); those of one place are summed
+    as they arrive, so nothing grows with the number of tasks but what is read.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(2 * BUCKETS, np.int32)
         rows = 0
         for batch in batches:
             for part in slices(batch.column(0)):
@@ -73,15 +79,26 @@ def word_weights(docs: DataFrame, text: str = "text") -> np.ndarray:
                 first[1:] = key[1:] != key[:-1]
                 words = key[first] << np.uint64(16)  # the document's bits go, the buckets' stay
                 for table, bucket in enumerate(_buckets(words)):
-                    counts[table * BUCKETS : (table + 1) * BUCKETS] += np.bincount(bucket, minlength=BUCKETS)
+                    counts[table * BUCKETS : (table + 1) * BUCKETS] += np.bincount(bucket, minlength=BUCKETS).astype(np.int32)
                 rows += part.n
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(counts[at], rows), pa.int64())], names=["bucket", "n"])
+        if rows:
+            arrays = [*np.split(counts.astype("<i8"), PIECES), np.array([rows], "<i8")]
+            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES + 1), pa.int32()), pa.array([x.tobytes() for x in arrays], pa.binary())], names=["place", "counts"])
 
-    found = docs.select(F.col(f"`{text}`")).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    count = np.zeros(2 * BUCKETS + 1)
-    count[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(float)
-    return np.log1p(max(count[-1], 1.0) / np.maximum(count[:-1], 1.0)).reshape(2, BUCKETS)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for place, raw in zip(*[batch.column(i).to_pylist() for i in range(2)], strict=True):
+                sums[place] = sums.get(place, 0) + np.frombuffer(raw, "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["place", "counts"])
+
+    schema = "place int, counts binary"
+    found = docs.select(F.col(f"`{text}`")).mapInArrow(count, schema).repartition("place").mapInArrow(add, schema)
+    sums = {r.place: np.frombuffer(r.counts, "<i8") for r in found.collect()}
+    if not sums:
+        return np.zeros((2, BUCKETS))
+    total, counts = sums.pop(PIECES)[0], np.concatenate([sums[k] for k in range(PIECES)])
+    return np.log1p(total / np.maximum(counts, 1.0)).reshape(2, BUCKETS)
 
 
 def word_idf(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
