@@ -1,6 +1,7 @@
 import base64
 import collections
 import hashlib
+import os
 import re
 import zlib
 
@@ -13,7 +14,7 @@ from plain import quality as plain_quality
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from titrant.llm import bpe_automaton, decontaminate, licenses, pii, quality, token_shards
+from titrant.llm import bpe_automaton, decontaminate, licenses, pii, quality, storage, token_shards
 from titrant.llm.queries import ORACLE_SQL, QUERIES
 
 def key(rows, *columns):
@@ -333,6 +334,32 @@ def test_token_shards(spark, mixed, awkward, empty, tmp_path):
             assert places == [i for i, x in enumerate(flat) if x == tokens[0]]
 
 
+def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    """More input than the setting's partitions hold makes more of them; equal rows don't share one."""
+    rows = spark.createDataFrame([(None, "the same text " * 20)] * 3000 + [(i, f"text {i}") for i in range(300)], "doc_id long, text string")
+    assert storage.partitions_for(rows) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*"))
+    monkeypatch.setattr(storage, "PARTITION_BYTES", size // 12)
+    assert 12 <= storage.partitions_for(frame) <= 14
+    token_shards.write_shards(frame, str(tmp_path / "s"))
+    shards = spark.read.parquet(str(tmp_path / "s")).collect()
+    assert len({r.part for r in shards}) >= 10 and max(r.n_docs for r in shards) < 1500 and sum(r.n_docs for r in shards) == 3300
+    got = token_shards.read_documents(spark, str(tmp_path / "s")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 3000 + list(range(300)) and all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:], strict=False))
+
+
+def test_kept_tables_go(spark):
+    """A table lies below the session's one folder, and is gone when it is released."""
+    setting = spark.conf.get("spark.checkpoint.dir", None)
+    df = storage.settled(spark.range(3), "x")
+    folder = df.settled_at.removeprefix("file://")
+    assert df.settled_at.startswith(storage.shared_folder(spark)) and os.path.isdir(folder)
+    storage.released(df)
+    assert not os.path.exists(folder) and spark.conf.get("spark.checkpoint.dir", None) == setting
+
+
 def test_wavelet_matrix():
     x = np.random.default_rng(0).integers(0, 60, 1500)
     m = token_shards.WaveletMatrix.build(x, 6)

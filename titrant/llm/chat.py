@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .storage import shared_folder
+from .storage import partitions_for, shared_folder
 
 ROLES = ("system", "user", "assistant")
 RELABEL, UNKNOWN, MERGE, INSERT = 4, 2, 1, 3
@@ -186,9 +186,8 @@ def format_turns(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     rows = df.select(F.col(f"`{conv}`").alias("c"), F.col(f"`{turn}`").alias("t"), F.col(f"`{role}`").alias("r"), F.col(f"`{text}`").alias("x"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.monotonically_increasing_id().alias("i"))
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # a checkpoint keeps partitions and their order, so both passes see the same ones, whatever executors are lost
-    ordered = rows.repartitionByRange(parts, "c", "t", "r", "h", "i").sortWithinPartitions("c", "t", "r", "h", "i").drop("h", "i").checkpoint()
+    ordered = rows.repartitionByRange(partitions_for(rows), "c", "t", "r", "h", "i").sortWithinPartitions("c", "t", "r", "h", "i").drop("h", "i").checkpoint()
 
     key_field = T.StructField("c", ordered.schema["c"].dataType)
     summary = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("which", T.IntegerType()), key_field, T.StructField("m", T.ArrayType(T.LongType()))])

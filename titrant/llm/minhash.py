@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .bytewords import NORMAL, ODD, Slice, _powers, besides, map_text, mix64, row_of, slices, window_hash, windows
 from .components import components
-from .storage import released, settled
+from .storage import partitions_for, released, settled
 
 SHINGLE, THRESHOLD = 5, 0.8
 BUCKET_BITS = 17
@@ -227,10 +227,9 @@ def neighbours(labelled: DataFrame) -> DataFrame:
     The sketch is read from another place in each band, so that a node has other neighbours in each. Buckets are sorted
     by range, so that one with many members lies in several partitions.
     """
-    parts = max(1, int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     turn = [F.get("sketch", (F.col("band") + i) % SKETCH_LONGS).alias(f"s{i}") for i in range(2)]
     rows = labelled.select("band", "h", *turn, "node", "root", "sketch")
-    rows = rows.repartitionByRange(parts, "band", "h", "s0", "s1", "node").sortWithinPartitions("band", "h", "s0", "s1", "node").select("band", "h", "node", "root", "sketch")
+    rows = rows.repartitionByRange(partitions_for(rows), "band", "h", "s0", "s1", "node").sortWithinPartitions("band", "h", "s0", "s1", "node").select("band", "h", "node", "root", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, np.ndarray] | None = None

@@ -52,3 +52,16 @@ def released(*tables: DataFrame) -> None:
     for df in tables:
         context = df.sparkSession.sparkContext
         _remove(context._jvm, context._jsc.hadoopConfiguration(), df.settled_at)
+
+
+#: So many bytes of input make a partition.
+PARTITION_BYTES = 128 << 20
+
+
+def partitions_for(df: DataFrame) -> int:
+    """How many partitions a shuffle of ``df`` needs: ``spark.sql.shuffle.partitions``, or more where the tables it is read from are larger than that."""
+    least = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)  # tables of unknown size say that they are as large as can be
+    return max(least, -(-known // PARTITION_BYTES))

@@ -10,7 +10,7 @@ needed, so a step reads one list of blocks and one chunk of a plane.
 
 Shards are rows of a Parquet table (``part``, ``shard``, ``first_token`` within the part, ``n_docs``, ``n_tokens``,
 ``blob``), so Spark's commit protocol covers them, any store that Spark writes to will do, and a lost executor's shards
-are written again. Documents are range-partitioned and sorted by id (ties: by the text's hash), so shards hold ascending ids; the
+are written again. Documents are range-partitioned and sorted by id (ties: by the text's hash, then as they come), so shards hold ascending ids; the
 ids that stand before a part are a sum over earlier parts, of which there are as many as partitions.
 
 Edge cases: a null or empty text is the end id alone; a null doc_id sorts first; repeated rows are documents of their
@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import presplit
 from .bytewords import Slice, slices
-from .storage import shared_folder
+from .storage import partitions_for, shared_folder
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
@@ -308,10 +308,9 @@ SHARDS = T.StructType([T.StructField(n, t) for n, t in (("part", T.IntegerType()
 
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, doc: str = "doc_id", text: str = "text", end: int | None = END_ID, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode all documents and write the shards to ``folder``, in ascending order of ``doc``."""
-    rows = docs.select(F.col(f"`{doc}`").cast("long").alias("d"), F.col(f"`{text}`").alias("t"), F.xxhash64(F.col(f"`{text}`")).alias("h"))
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # texts are no sort keys: those of a sample go to the driver
-    ordered = rows.repartitionByRange(parts, "d", "h").sortWithinPartitions("d", "h").select("d", "t")
+    rows = docs.select(F.col(f"`{doc}`").cast("long").alias("d"), F.col(f"`{text}`").alias("t"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.monotonically_increasing_id().alias("i"))
+    # texts are no sort keys, as those of a sample go to the driver; the last key spreads rows that are equal
+    ordered = rows.repartitionByRange(partitions_for(rows), "d", "h", "i").sortWithinPartitions("d", "h", "i").select("d", "t")
     arrow = to_arrow_schema(SHARDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
