@@ -66,51 +66,60 @@ def _marks(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
+#: What ends the text of each element whose text is raw, and what each start tag closes.
+_RAW_ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
+_SHUTS = {tag: frozenset(CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set())) for tag in {*CLOSES, *ENDS_P}}
+
+
 def parse(page: str) -> Node:
     """The tree of a page. Unclosed, crossed and cut-off tags are mended as browsers roughly do."""
-    root = Node("#page")
+    top = root = Node("#page")
     stack = [root]
     opened: dict[str, int] = {}  # how many elements of a name are open, so that none is sought in vain, however deep it goes
-    at, size = 0, len(page)
-
-    def text(raw: str) -> None:
-        if raw:
-            stack[-1].own.append(html.unescape(raw) if "&" in raw else raw)
+    at, size, search = 0, len(page), _TOKEN.search
 
-    def pop_to(depth: int) -> None:
+    def pop_to(depth: int) -> Node:
         while len(stack) > depth:
             node = stack.pop()
-            opened[node.tag] = opened.get(node.tag, 1) - 1
-            node.close_block()
+            opened[node.tag] -= 1
+            if node.own:
+                node.close_block()
+        return stack[-1]
 
     while at < size:
-        m = _TOKEN.search(page, at)
+        m = search(page, at)
+        begin, end = m.span() if m else (size, size)
+        if begin > at:
+            raw = page[at:begin]
+            if top.own or not raw.isspace():
+                top.own.append(html.unescape(raw) if "&" in raw else raw)
         if m is None:
-            text(page[at:])
             break
-        text(page[at : m.start()])
-        at = m.end()
-        if m.group(2) is None:
+        at = end
+        closing, tag, attributes = m.groups()
+        if tag is None:
             continue
-        tag, closing = m.group(2).lower(), bool(m.group(1))
+        tag = tag.lower()
         if tag in INLINE:
             continue
         if tag == "br":
-            stack[-1].own.append(" ")
+            top.own.append(" ")
             continue
         if closing:
             if opened.get(tag):
-                pop_to(next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag))
-            stack[-1].close_block()
+                top = pop_to(len(stack) - 1 if top.tag == tag else next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag))
+            if top.own:
+                top.close_block()
             continue
-        stack[-1].close_block()
+        if top.own:
+            top.close_block()
         if tag in RAW:
             if not m.group().endswith("/>"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                ended = _RAW_ENDS[tag].search(page, at)
+                at = ended.end() if ended else size
             continue
-        shut = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-        if any(opened.get(x) for x in shut):
+        shut = _SHUTS.get(tag)
+        if shut and any([opened.get(x) for x in shut]):
             depth = len(stack) - 1
             least = len(stack)
             while depth > 0:
@@ -119,14 +128,17 @@ def parse(page: str) -> Node:
                 elif stack[depth].tag in SCOPE:
                     break
                 depth -= 1
-            pop_to(least)
+            top = pop_to(least)
         if tag in VOID:
             continue
-        node = Node(tag, _marks(m.group(3)))
+        node = Node(tag, _marks(attributes))
         opened[tag] = opened.get(tag, 0) + 1
-        stack[-1].parts.append(node)
+        top.parts.append(node)
         stack.append(node)
-    pop_to(0)
+        top = node
+    pop_to(1)
+    if root.own:
+        root.close_block()
     return root
 
 
