@@ -80,16 +80,19 @@ CLASS_NOTES = {"serum": "biological mixture; no single CAS", "enzyme": "recombin
 
 def scaffold(ranked: DataFrame, existing: DataFrame, order: str = "ord") -> DataFrame:
     """New records for names without a CAS, of a class that gets one, whose slug no record has; of equal slugs, the first."""
-    rows = ranked.filter(F.coalesce("cas", F.lit("")) == "").withColumns({"class": reagent_class(F.col("normalized_name")), "key": slugify(F.col("normalized_name"))})
+    # bound to a variable: filters on the class would repeat its whole chain, which is more than one method of code may hold
+    kind = F.get(F.transform(F.array("normalized_name"), lambda c: reagent_class(c)), F.lit(0))
+    rows = ranked.filter(F.coalesce("cas", F.lit("")) == "").withColumns({"class": kind, "key": slugify(F.col("normalized_name"))})
     rows = rows.filter(F.col("class").isin(*CLASS_FLAGS)).join(existing.select("key"), "key", "left_anti")
     rows = one_per_key(rows, ["key"], [F.col(order)])
     known = F.create_map(*[x for c, fs in CLASS_FLAGS.items() for x in (F.lit(c), F.array(*[F.lit(f) for f in fs]).cast("array<string>"))])
     member = F.struct(F.lit(True).alias("value"), F.lit("low").alias("confidence"), F.array(F.struct(F.lit("tacit_knowledge").alias("type"), F.concat(F.lit("reagent_class:"), F.col("class")).alias("ref"), F.lit(True).alias("agrees"))).alias("sources"))
-    entries = [F.struct(F.lit(f).alias("key"), F.when(F.array_contains(known[F.col("class")], f), member).otherwise(placeholder()).alias("value")) for f in FLAGS]
+    # over an array of the flags, so that the code for one serves all
+    entries = F.transform(F.array(*[F.lit(f) for f in FLAGS]), lambda f: F.struct(f.alias("key"), F.when(F.array_contains(known[F.col("class")], f), member).otherwise(placeholder()).alias("value")))
     note = F.create_map(*[F.lit(x) for kv in CLASS_NOTES.items() for x in kv])
     return rows.select(
         "key", F.lit("2.0").alias("schema_version"), title_case(F.col("normalized_name")).alias("name"), F.lit(None).cast("string").alias("cas"), note[F.col("class")].alias("cas_note"), F.lit(None).cast("string").alias("category"),
-        F.trim(F.concat_ws(" ", "source", "identifier")).alias("vendor_example"), F.lit("liquid").alias("physical_state"), F.map_from_entries(F.array(*entries)).alias("flags"), "class",
+        F.trim(F.concat_ws(" ", "source", "identifier")).alias("vendor_example"), F.lit("liquid").alias("physical_state"), F.map_from_entries(entries).alias("flags"), "class",
     )
 
 
