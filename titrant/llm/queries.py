@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, chat, decontaminate, html_extract, licenses, minhash, pii, quality, token_shards, url_filter
+from . import bpe_automaton, chat, decontaminate, exact_dedup, html_extract, licenses, minhash, pii, quality, token_shards, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": minhash.query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.query,
     "op9_bpe": bpe_automaton.query,
     "op10_token_shards": token_shards.query,
+    "op11_exact_dedup": exact_dedup.query,
     # of two operators' rows, the columns that SQL can express
     "quality_base": quality.base_query,
     "pii_base": pii.base_query,
@@ -27,6 +28,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filters": url_filter.sql(),
     "op4_decontamination": decontaminate.SQL,
     "op5_license_scans": licenses.sql(),
+    "op11_exact_dedup": exact_dedup.SQL,
     "quality_base": quality.BASE_SQL,
     "pii_base": pii.BASE_SQL,
 }
