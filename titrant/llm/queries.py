@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, chat, decontaminate, dialogue_repair, exact_dedup, html_extract, licenses, minhash, pii, quality, token_shards, url_filter
+from . import bpe_automaton, chat, decontaminate, dialogue_repair, exact_dedup, html_extract, licenses, minhash, pii, quality, spelling, token_shards, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": minhash.query,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_shards": token_shards.query,
     "op11_exact_dedup": exact_dedup.query,
     "op12_conversation_repair": dialogue_repair.query,
+    "op13_spelling_variants": spelling.query,
     # of two operators' rows, the columns that SQL can express
     "quality_base": quality.base_query,
     "pii_base": pii.base_query,
