@@ -85,26 +85,23 @@ def vocabulary(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Da
     return counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT)
 
 
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.int64)
+    while len(out) < n:
+        out = np.concatenate([out, out * pow(base, len(out), prime) % prime])
+    return out[:n]
+
+
 def deletion_keys(letters: np.ndarray, bases: tuple[int, int]) -> np.ndarray:
     """For words of one length (rows of code points): hashes of each word and of its deletions at every place, in columns."""
     m, length = letters.shape
     out = np.zeros((m, length + 1), np.int64)
-    for k, (prime, base) in enumerate(zip(PRIMES, bases, strict=True)):
-        value = letters.astype(np.int64) + 1
-        ahead = np.zeros((m, length + 1), np.int64)  # hash of the letters before each place
-        behind = np.zeros((m, length + 1), np.int64)  # of the letters from each place on, as if nothing stood before them
-        power = 1
-        powers = [1]
-        for j in range(length):
-            ahead[:, j + 1] = (ahead[:, j] * base + value[:, j]) % prime
-            i = length - 1 - j
-            behind[:, i] = (value[:, i] * power + behind[:, i + 1]) % prime
-            power = power * base % prime
-            powers.append(power)
-        after = np.array(powers[length - 1 :: -1], np.int64)  # letters that stand behind each deleted place
-        both = (ahead[:, :length] * after + behind[:, 1:]) % prime
-        whole = np.concatenate([ahead[:, length:], both], 1)
-        out = whole if k == 0 else out << 31 | whole
+    for prime, base in zip(PRIMES, bases, strict=True):
+        ahead = np.zeros((m, length + 1), np.int64)  # the sum of the letters before each place, times powers of the base
+        np.cumsum((letters + np.int64(1)) * _powers(base, prime, length) % prime, axis=1, out=ahead[:, 1:])
+        # what stands behind a deleted letter moves ahead by one place
+        moved = (ahead[:, length:] - ahead[:, 1:]) % prime * pow(base, -1, prime)
+        out = out << 31 | np.concatenate([ahead[:, length:], ahead[:, :length] % prime + moved], 1) % prime
     return out
 
 
@@ -130,6 +127,26 @@ def _emit(bases: tuple[int, int]):
     return run
 
 
+def one_apart(a: str, b: str) -> bool:
+    """Whether two different words differ by one letter inserted, deleted or replaced: what follows their first difference must be equal."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > 1:
+        return False
+    i = 0
+    for x, y in zip(a, b):  # noqa: B905  the longer one may have a letter more
+        if x != y:
+            break
+        i += 1
+    return a[i + 1 :] == b[i + (len(a) == len(b)) :]
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a_word", "b_word")]
+        yield batch.filter(pa.array([one_apart(a, b) for a, b in zip(*words, strict=True)], pa.bool_()))
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """``a, b, a_n, b_n, a_word, b_word`` of all near words of ``id, word, n``, both ways."""
     draw = random.SystemRandom()
@@ -138,8 +155,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     keys = settled(keys, "keys")
     meet = keys.select("key", F.col("id").alias("a")).join(keys.select("key", F.col("id").alias("b")), "key").filter("a < b").select("a", "b").distinct()
     left, right = (words.select(F.col("id").alias(x), F.col("word").alias(f"{x}_word"), F.col("n").alias(f"{x}_n")) for x in "ab")
-    near = meet.join(left, "a").join(right, "b").filter(F.levenshtein("a_word", "b_word", 1) == 1)
-    near = settled(near.select("a", "b", "a_n", "b_n", "a_word", "b_word"), "near")
+    met = meet.join(left, "a").join(right, "b").select("a", "b", "a_n", "b_n", "a_word", "b_word")
+    near = settled(met.mapInArrow(_verified, met.schema), "near")
     released(keys)
     return near
 
