@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import evidence, rules
+from ..operators import evidence, rule_index, rules
 from ..schemas import FLAGS
 from .common import Entry, quoted, sql_values, table
 from .ingest import standard_rules, standard_summaries
@@ -36,7 +36,7 @@ def _confidence_of(name: str) -> str:
 
 def applied(spark, sf_dir) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    return rules.apply_rules(parts, standard_rules(), lambda p: F.expr(property_sql(p)), lambda p: F.expr(_confidence_of(p)))
+    return rule_index.apply_indexed(parts, standard_rules(), lambda p: F.expr(property_sql(p)), lambda p: F.expr(_confidence_of(p)))
 
 
 _SQL_OPS = {"gt": ">", "gte": ">=", "lt": "<", "lte": "<=", "eq": "=", "ne": "<>"}
@@ -89,6 +89,50 @@ def rules_min_report(spark, sf_dir):
     return rules.with_least_rules(applied(spark, sf_dir), 8).select("p_partkey", F.size("rules_fired").alias("n_rules"))
 
 
+#: So many rules the query of the index has.
+MANY = 5000
+_MANY_VALUES = {"size": "p_size", "brand": "p_brand", "type": "p_type", "price": "p_retailprice", "flag": flag_sql(0)}
+_MANY_CONFIDENCE = {"size": confidence_sql(1), "brand": confidence_sql(2)}
+
+
+def many_rules(n: int = MANY) -> list[rules.Rule]:
+    """Rules by formula: a window of sizes, and most of them a brand; some a type that isn't, a least price, a flag."""
+    out = []
+    for k in range(n):
+        when: dict = {"size": {"gte": k % 48, "lt": k % 48 + 2 + k % 3}}
+        if k % 8:
+            when["brand"] = f"Brand#{k % 25 + 1}"
+        if k % 3 == 0:
+            when["type"] = {"ne": ("ECONOMY", "LARGE", "MEDIUM")[k % 9 // 3]}
+        if k % 5 == 0:
+            when["price"] = {"gt": 900.0 + k % 90}
+        if k % 7 == 0:
+            when["flag"] = k % 2 == 0
+        out.append(rules.Rule(f"r{k}", when, {f"g{k % 9}.p{k % 13}": k % 5}))
+    return out
+
+
+def rules_by_the_thousand(spark, sf_dir):
+    a = rule_index.apply_indexed(table(spark, sf_dir, "part"), many_rules(), lambda p: F.expr(_MANY_VALUES[p]), lambda p: F.expr(_MANY_CONFIDENCE.get(p, "CAST(NULL AS STRING)")))
+    many = lambda c: F.size(F.filter("rules_fired", lambda r: r["confidence"] == c)).cast("long")
+    paths = F.array_sort(F.transform(F.map_entries("profile"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return a.select(
+        "p_partkey", F.size("rules_fired").cast("long").alias("n_rules"), F.aggregate("rules_fired", F.lit(0).cast("long"), lambda s, r: s + r["ord"]).alias("ord_sum"), many("low").alias("n_low"), many("medium").alias("n_medium"),
+        F.get("rules_fired", F.lit(0))["id"].alias("first_id"), F.array_join(paths, "|").alias("profile"),
+    )
+
+
+_MANY_SQL = f"""WITH r AS (SELECT k FROM range({MANY}) t(k)),
+f AS (SELECT p_partkey, k, least(CASE coalesce({confidence_sql(1)}, 'high') WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END, CASE WHEN k % 8 = 0 THEN 2 ELSE CASE coalesce({confidence_sql(2)}, 'high') WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END END) AS c
+      FROM part JOIN r ON p_size >= k % 48 AND p_size < k % 48 + 2 + k % 3 AND (k % 8 = 0 OR p_brand = 'Brand#' || CAST(k % 25 + 1 AS VARCHAR))
+      WHERE (k % 3 <> 0 OR p_type <> CASE k % 9 WHEN 0 THEN 'ECONOMY' WHEN 3 THEN 'LARGE' ELSE 'MEDIUM' END) AND (k % 5 <> 0 OR p_retailprice > 900.0 + k % 90) AND (k % 7 <> 0 OR coalesce(({flag_sql(0)}) = (k % 2 = 0), FALSE))),
+w AS (SELECT p_partkey, 'g' || CAST(k % 9 AS VARCHAR) || '.p' || CAST(k % 13 AS VARCHAR) || '=' || CAST(arg_max(k % 5, k) AS VARCHAR) AS path FROM f GROUP BY p_partkey, k % 9, k % 13),
+n AS (SELECT p_partkey, count(*) AS n, sum(k) AS s, count_if(c = 0) AS low, count_if(c = 1) AS medium, 'r' || CAST(min(k) AS VARCHAR) AS first_id FROM f GROUP BY 1),
+j AS (SELECT p_partkey, string_agg(path, '|' ORDER BY path) AS profile FROM w GROUP BY 1)
+SELECT p_partkey, coalesce(n, 0) AS n_rules, CAST(coalesce(s, 0) AS BIGINT) AS ord_sum, CAST(coalesce(low, 0) AS BIGINT) AS n_low, CAST(coalesce(medium, 0) AS BIGINT) AS n_medium, first_id, coalesce(profile, '') AS profile
+FROM part LEFT JOIN n USING (p_partkey) LEFT JOIN j USING (p_partkey)"""
+
+
 def manifest_index(spark, sf_dir):
     a = applied(spark, sf_dir).withColumn("key", F.col("p_partkey").cast("string"))
     pictures = F.array_compact(F.array(*[F.when(F.expr(f"(p_partkey + {i}) % {i + 3} = 0"), F.lit(p)) for i, p in enumerate(("exclamation_mark", "compressed_gas", "flame", "corrosion", "health_hazard"))]))
@@ -227,6 +271,7 @@ ENTRIES: dict[str, Entry] = {
     "rules_frequency": (rules_frequency, f"{fired_sql()} SELECT id, count(*) AS n FROM fired GROUP BY 1"),
     "rule_confidence": (rule_confidence, f"{fired_sql()} SELECT id, confidence, count(*) AS n FROM fired GROUP BY 1, 2"),
     "rules_min_report": (rules_min_report, f"{fired_sql()} SELECT p_partkey, CAST(count(*) AS INTEGER) AS n_rules FROM fired GROUP BY 1 HAVING count(*) >= 8"),
+    "rules_by_the_thousand": (rules_by_the_thousand, _MANY_SQL),
     "manifest_index": (manifest_index, _manifest_sql()),
     "evidence_confidence": (evidence_confidence, f"WITH {_SOURCES}, g AS (SELECT user_id, day, {_SUMS} FROM s GROUP BY 1, 2) SELECT user_id, day, {_A1} AS confidence FROM g"),
     "evidence_inherit": (evidence_inherit, f"WITH {_SOURCES}, g AS (SELECT user_id, day, {_SUMS}, bool_or(type = 'rule_derived') AS d, bool_or({_TIERS} IN ('high', 'medium')) AS sub FROM s GROUP BY 1, 2) SELECT user_id, day, CASE WHEN d AND NOT sub THEN coalesce(CASE user_id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' END, {_A1}) ELSE {_A1} END AS confidence FROM g"),
