@@ -1,8 +1,10 @@
 import hashlib
 import itertools
 import random
+import time
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from titrant.operators import fuzzy, lookups, mining, tables
@@ -108,3 +110,54 @@ def test_services(spark):
     assert {tuple(r) for r in services.substance_of(rows, known).collect()} == {("Cat# 1", 11), ("2", None), ("", None), ("3", None)}
     hits = spark.createDataFrame([("k", 1, 0, True, "late"), ("k", 0, 5, True, "early"), ("k", 0, 1, False, "no")], "key string, query_ord int, hit_ord int, reviewed boolean, accession string")
     assert services.first_reviewed(hits).first().accession == "early"
+
+
+HOSTILE = {
+    "comments": "<a>" + "<!--" * 20_000, "instructions": "<a>" + "<?x " * 20_000, "sections": "<a>" + "<![CDATA[" * 20_000, "types": "<!DOCTYPE [" * 20_000 + "<a>", "opens": "<b>" * 20_000, "closed": "<b>" * 10_000 + "</c>" * 10_000,
+    "crossed": "<b><c>" * 5_000 + "</b>" * 5_000 + "</c>" * 5_000, "texts": "<a>" + "x<!---->" * 20_000, "brackets": "<" * 80_000, "quotes": "<a " + "b='" * 20_000, "empty": "<a>" + "<b/>" * 20_000, "names": "<a " + "x=" * 40_000 + ">", "references": "<a>" + "&" * 80_000,
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_recovery_is_linear(kind):
+    """Four times the page takes about four times as long (a quadratic pass took sixteen): seconds in all, where one took minutes."""
+    page = HOSTILE[kind]
+    began = time.process_time()
+    tables.recovered(page * 4 if kind != "closed" else "<b>" * 40_000 + "</c>" * 40_000)
+    assert time.process_time() - began < 5
+
+
+def test_recovery_keeps_what_never_ends_as_text():
+    got = tables.recovered("<a>1<!-- 2<b>3</b>4")
+    assert "".join(got.itertext()) == "1<!-- 234" and [c.tag for c in got] == ["b"]
+    assert tables.recovered("<!DOCTYPE x [ <y> <a>z</a>").tag == "y"
+
+
+def spread(*trs):
+    return list(tables.expand(tables.ET.fromstring(f"<t>{''.join(f'<tr>{r}</tr>' for r in trs)}</t>")))
+
+
+def test_spans_that_meet():
+    """A cell covers a column that is held from above, which goes on below; widths beyond what HTML allows are cut."""
+    assert spread("<td>a</td><td rowspan='3'>b</td><td>c</td>", "<td colspan='3'>wide</td>", "<td>d</td><td>e</td>", "<td>f</td>", "<td>g</td>") == [["a", "b", "c"], ["wide"] * 3, ["d", "b", "e"], ["f", "b"], ["g"]]
+    assert spread("<td>a</td><td rowspan='2'>b</td>", "<td colspan='2' rowspan='2'>both</td>", "<td>c</td>") == [["a", "b"], ["both", "both"], ["both", "both", "c"]]
+    (row,) = spread("<td colspan='1000000000'>x</td><td>y</td>")
+    assert len(row) == 1001 and set(row[:1000]) == {"x"} and row[-1] == "y"
+    assert spread("<td rowspan='99999999999'>x</td>", "<td>y</td>") == [["x"], ["x", "y"]]
+
+
+def test_rows_come_one_by_one(spark):
+    """A table of many rows is never held: the first rows are there while the rest is still markup, and all arrive through the plan."""
+    big = "<article><table-wrap><label>Key resources table</label><table><tbody>" + "<tr><td rowspan='2'>a</td><td>b</td></tr>" * 30_000 + "</tbody></table></table-wrap></article>"
+    rows = tables.grid_rows("p", big)
+    assert next(rows)[-2:] == (0, ["a", "b"]) and iter(rows) is rows
+    frame = spark.createDataFrame([("p", big), ("none", None), (None, "<article/>"), ("cut", big[:400])], "pmcid string, xml string")
+    got = tables.expand_tables(frame).groupBy("pmcid").agg(F.count("cells").alias("n"), F.max("n_tables").alias("t"), F.bool_and("xml_ok").alias("ok"))
+    assert {r.pmcid: (r.n, r.t, r.ok) for r in got.collect()} == {"p": (30_000, 1, True), "none": (0, 0, False), None: (0, 0, True), "cut": (8, 1, True)}
+    plan = tables.expand_tables(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "PythonUDTF" in plan and "mapInPandas" not in plan
+
+
+def test_named_tables():
+    root = tables.ET.fromstring("<a><sec><title>Key Resources Table</title><x><table-wrap id='1'><label>T</label></table-wrap></x></sec><table-wrap id='2'><caption><p>the key resource table</p></caption></table-wrap><table-wrap id='3'/><table-wrap id='4'><b><label>key resources table</label></b></table-wrap></a>")
+    assert [(t.get("id"), w) for t, w in tables.key_tables(root)] == [("1", "section"), ("2", "caption"), ("4", "label")]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from ..functions.classify import HEADER_ECHOES, canonical_category, header_role, heading_category
 from ..functions.text import strip
@@ -34,6 +34,10 @@ def _within(el: ET.Element, *path: str) -> list[ET.Element]:
     return found
 
 
+#: The greatest column span that counts, as in HTML.
+SPAN_MOST = 1000
+
+
 def span(el: ET.Element, name: str) -> int:
     raw = next((v for k, v in el.attrib.items() if local(k) == name), "1")
     try:
@@ -42,35 +46,35 @@ def span(el: ET.Element, name: str) -> int:
         return 1
 
 
-def expand(trs: list[ET.Element]) -> list[list[str]]:
-    """Rows with spans repeated. ``down[c]`` is what still hangs into column ``c`` from above; gaps become empty."""
+def expand(trs: Iterable[ET.Element]) -> Iterator[list[str]]:
+    """Rows with spans repeated, one after the other. ``down[c]`` is what still hangs into column ``c`` from above; gaps become empty.
+
+    A cell begins in the first column that is free. Where its columns run into one that is held from above, the cell covers
+    it in this row, and what hangs there goes on in the next one with as many rows left as before.
+    """
     down: dict[int, tuple[str, int]] = {}
-    out = []
     for tr in trs:
-        row: dict[int, str] = {}
-        below: dict[int, tuple[str, int]] = {}
-        for c, (text, left) in down.items():
-            row[c] = text
-            if left > 1:
-                below[c] = (text, left - 1)
+        row = {c: text for c, (text, _) in down.items()}
+        below = {c: (text, left - 1) for c, (text, left) in down.items() if left > 1}
         c = 0
         for cell in tr:
             if local(cell.tag) not in ("td", "th"):
                 continue
             text, tall = text_of(cell), span(cell, "rowspan")
-            for _ in range(span(cell, "colspan")):
-                while c in row:
-                    c += 1
-                row[c] = text
-                if tall > 1:
-                    below[c] = (text, tall - 1)
+            while c in row:
                 c += 1
+            for at in range(c, c + min(SPAN_MOST, span(cell, "colspan"))):
+                row[at] = text
+                if tall > 1:
+                    below[at] = (text, tall - 1)
+                elif at in down:
+                    below[at] = down[at]
+                c = at + 1
         down = below
-        out.append([row.get(i, "") for i in range(max(row) + 1)] if row else [])
-    return out
+        yield [row.get(i, "") for i in range(max(row) + 1)] if row else []
 
 
-_MARKUP = re.compile(r"<!--.*?-->|<!\[CDATA\[(?P<raw>.*?)\]\]>|<\?.*?\?>|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>|<(?P<close>/?)(?P<tag>[A-Za-z_][\w.:-]*)(?P<more>[^<>]*?)(?P<empty>/?)>", re.S)
+_TAG = re.compile(r"<(?P<close>/?)(?P<tag>[A-Za-z_][\w.:-]*)(?P<more>[^<>]*)>")
 _ATTRIBUTE = re.compile(r"""([A-Za-z_][\w.:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)')""")
 _REFERENCE = re.compile(r"&(?:#x([0-9A-Fa-f]+)|#([0-9]+)|([A-Za-z_][\w.-]*));?")
 # The references that XML itself defines.
@@ -89,44 +93,104 @@ def _unescaped(text: str) -> str:
     return _REFERENCE.sub(one, text) if "&" in text else text
 
 
+#: What stands between these is no element; the text between the third pair is taken as it is.
+_SKIPPED = (("<!--", "-->"), ("<?", "?>"), ("<![CDATA[", "]]>"))
+
+
+def _doctype_end(page: str, at: int) -> int:
+    """Behind a document type declaration, and the subset in brackets that it may have; -1 if it isn't closed."""
+    end, bracket = page.find(">", at), page.find("[", at)
+    if 0 <= bracket < end:
+        close = page.find("]", bracket)
+        end = page.find(">", close) if close >= 0 else -1
+    return end + 1 if end >= 0 else -1
+
+
+def tokens(page: str) -> Iterator[tuple[str, str | re.Match]]:
+    """``text``, ``raw`` and ``tag`` in one pass. What looks like markup but never ends is text.
+
+    A search that has failed isn't made again: there is no such end further on either.
+    """
+    at = start = 0
+    hopeless: set[str] = set()
+    while (at := page.find("<", at)) >= 0:
+        begin = next(((a, z) for a, z in _SKIPPED if page.startswith(a, at)), None)
+        end, found = -1, None
+        if begin and begin[1] not in hopeless:
+            close = page.find(begin[1], at + len(begin[0]))
+            if close < 0:
+                hopeless.add(begin[1])
+            else:
+                end = close + len(begin[1])
+                found = ("raw", page[at + len(begin[0]) : close]) if begin[0] == "<![CDATA[" else ("", "")
+        elif page.startswith("<!DOCTYPE", at) and "<!DOCTYPE" not in hopeless:
+            end = _doctype_end(page, at)
+            found = ("", "")
+            if end < 0:
+                hopeless.add("<!DOCTYPE")
+        elif m := _TAG.match(page, at):
+            end, found = m.end(), ("tag", m)
+        if end < 0:
+            at += 1
+            continue
+        if start < at:
+            yield "text", page[start:at]
+        if found[0]:
+            yield found
+        at = start = end
+    if start < len(page):
+        yield "text", page[start:]
+
+
 def recovered(raw: bytes | str) -> ET.Element | None:
-    """As much of malformed XML as can be read: what is unclosed ends with what holds it, an end tag of nothing open is passed over, and so is all behind the root. None if there is no element."""
-    page = bytes(raw).decode("utf-8", "replace") if not isinstance(raw, str) else raw
-    root, stack, at = None, [], 0
+    """As much of malformed XML as can be read: what is unclosed ends with what holds it, an end tag of nothing open is passed over, and so is all behind the root. None if there is no element.
 
-    def text(value: str) -> None:
-        if stack and value:
+    Time is linear in the page: one pass over its tokens, the places of open elements by name, texts joined once.
+    """
+    page = bytes(raw).decode("utf-8", "replace") if not isinstance(raw, str) else raw
+    root: ET.Element | None = None
+    stack: list[ET.Element] = []
+    open_at: dict[str, list[int]] = {}
+    pending: list[str] = []
+
+    def settle_text() -> None:
+        if pending and stack:
+            value = "".join(pending)
             if len(stack[-1]):
-                stack[-1][-1].tail = (stack[-1][-1].tail or "") + value
+                stack[-1][-1].tail = value
             else:
-                stack[-1].text = (stack[-1].text or "") + value
-
-    for m in _MARKUP.finditer(page):
-        text(_unescaped(page[at : m.start()]))
-        at = m.end()
-        if m["raw"] is not None:
-            text(m["raw"])
-        if m["tag"] is None:
+                stack[-1].text = value
+        pending.clear()
+
+    for kind, value in tokens(page):
+        if kind != "tag":
+            if stack:
+                pending.append(value if kind == "raw" else _unescaped(value))
             continue
-        tag = m["tag"].rpartition(":")[2]
-        if m["close"]:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].tag == tag), None)
-            if depth is not None:
-                del stack[depth:]
-                if not stack:
-                    break
+        tag = value["tag"].rpartition(":")[2]
+        if value["close"]:
+            if not open_at.get(tag):
+                continue
+            settle_text()
+            depth = open_at[tag][-1]
+            while len(stack) > depth:
+                open_at[stack.pop().tag].pop()
+            if not stack:
+                break
             continue
-        el = ET.Element(tag, {k.rpartition(":")[2]: _unescaped(a or b) for k, a, b in _ATTRIBUTE.findall(m["more"])})
+        settle_text()
+        more = value["more"]
+        el = ET.Element(tag, {k.rpartition(":")[2]: _unescaped(a or b) for k, a, b in _ATTRIBUTE.findall(more)})
         if stack:
             stack[-1].append(el)
         else:
             root = el
-        if not m["empty"]:
+        if not more.endswith("/"):
+            open_at.setdefault(tag, []).append(len(stack))
             stack.append(el)
         elif root is el:
             break
-    else:
-        text(_unescaped(page[at:]))
+    settle_text()
     return root
 
 
@@ -150,47 +214,68 @@ def is_article(raw: bytes | None) -> bool:
     return local(root.tag) == "article" or local(root.tag) == "pmc-articleset" and any(local(c.tag) == "article" for c in root)
 
 
-def key_tables(root: ET.Element) -> Iterator[tuple[ET.Element, str]]:
+def key_tables(root: ET.Element) -> list[tuple[ET.Element, str]]:
     """Table elements that a caption, a label or the title of a section around them names, with which of these did."""
-    parents = {c: p for p in root.iter() for c in p}
-    for tw in (e for e in root.iter() if local(e.tag) == "table-wrap"):
-        where = next((n for n in ("caption", "label") if any(KEY_TABLE.search(text_of(e)) for e in _within(tw, n))), None)
-        up = parents.get(tw)
-        while where is None and up is not None:
-            if local(up.tag) == "sec" and any(local(c.tag) == "title" and KEY_TABLE.search(text_of(c)) for c in up):
-                where = "section"
-            up = parents.get(up)
+    above: dict[ET.Element, ET.Element] = {}
+    in_section: dict[ET.Element, bool] = {root: False}  # whether a section around an element has such a title
+    holds: dict[str, set[ET.Element]] = {"caption": set(), "label": set()}
+    wraps = []
+    for el in root.iter():
+        name = local(el.tag)
+        titled = in_section[el] or name == "sec" and any(local(c.tag) == "title" and KEY_TABLE.search(text_of(c)) for c in el)
+        for c in el:
+            above[c], in_section[c] = el, titled
+        if name == "table-wrap":
+            wraps.append(el)
+        elif name in holds and KEY_TABLE.search(text_of(el)):
+            up = above.get(el)
+            while up is not None and up not in holds[name]:
+                holds[name].add(up)
+                up = above.get(up)
+    found = []
+    for tw in wraps:
+        where = next((n for n in ("caption", "label") if tw in holds[n]), "section" if in_section[tw] else None)
         if where:
-            yield tw, where
+            found.append((tw, where))
+    return found
 
 
-def grid_rows(pmcid: str, raw: bytes | str | None) -> list[tuple]:
-    """Rows of :data:`GRID`; one row without cells for an article that has none. Malformed articles are read as far as they go."""
+def grid_rows(pmcid: str | None, raw: bytes | str | None) -> Iterator[tuple]:
+    """Rows of :data:`GRID`, as they come; one row without cells for an article that has none. Malformed articles are read as far as they go."""
     root = parse_xml(raw, recover=True)
-    found = [] if root is None else list(key_tables(root))
-    out = []
+    found = [] if root is None else key_tables(root)
+    some = False
     for t, (tw, where) in enumerate(found):
         head = _within(tw, "thead", "tr")
-        header = (expand(head) or [[]])[-1]
+        header: list[str] = []
+        for header in expand(head):
+            pass
         heads = set(map(id, head))
         body = _within(tw, "tbody", "tr") or [tr for tr in _within(tw, "tr") if id(tr) not in heads]
-        out += [(pmcid, True, len(found), t, where, header, r, cells) for r, cells in enumerate(expand(body)) if cells]
-    return out or [(pmcid, root is not None, len(found), None, None, None, None, None)]
+        for r, cells in enumerate(expand(body)):
+            if cells:
+                some = True
+                yield pmcid, True, len(found), t, where, header, r, cells
+    if not some:
+        yield pmcid, root is not None, len(found), None, None, None, None, None
+
+
+class GridFunction:
+    """The table function behind :func:`expand_tables`: an article in, its tables' rows out one by one."""
+
+    def eval(self, pmcid: str | None, xml: bytes | str | None):
+        yield from grid_rows(pmcid, xml)
 
 
 def expand_tables(papers: DataFrame, xml: str = "xml", key: str = "pmcid") -> DataFrame:
-    """The grid of every key table of every paper. Cell order and spans are sequential, so this is Python; the rest isn't."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split(" ")[0] for c in GRID.split(", ")]
-        for pdf in batches:
-            rows = [r for k, x in zip(pdf["k"], pdf["x"], strict=True) for r in grid_rows(k, x)]
-            frame = pd.DataFrame(rows, columns=names)
-            for c in ("table_idx", "row_idx"):
-                frame[c] = frame[c].astype("Int32")
-            yield frame
-
-    return papers.select(F.col(key).alias("k"), F.col(xml).alias("x")).mapInPandas(run, GRID)
+    """The grid of every key table of every paper. Cell order and spans are sequential, so this is Python; the rest isn't.
+
+    A table function yields the rows of one article after the other, so a task holds the tree of one article and the
+    batch of rows under way, however many articles or rows there are.
+    """
+    grid = udtf(GridFunction, returnType=GRID)
+    rows = papers.select(F.col(key).cast("string").alias("k"), F.col(xml).alias("x"))
+    return rows.lateralJoin(grid(F.col("k").outer(), F.col("x").outer())).drop("k", "x")
 
 
 def _place(roles: Column, role: str, default: int | None) -> Column:
