@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import types as T
 
 from titrant.plans.ingest import ingest
 from titrant.schemas import RECORD
-from titrant.sources import readers, search, sinks
+from titrant.sources import documents, readers, search, sinks
 from titrant.streaming import incremental
 
 SHEET = """Revision Date 01/02/2024 Version 6.1
@@ -123,19 +124,44 @@ def test_profiles_and_mirrors(spark, tmp_path):
     sinks.profiles(rows, str(tmp_path / "rows"))
     assert spark.read.json(str(tmp_path / "rows")).count() == 20
     sinks.profile_files(rows, str(tmp_path / "files"))
-    names = {p.parent.name for p in (tmp_path / "files").glob("key=*/part-*")}
-    assert names == {f"key={r.key}" for r in rows.collect()}
+    assert {p.stem for p in (tmp_path / "files").glob("*/*.json")} == {r.key for r in rows.collect()}
     small = rows.select("key", "name")
     sinks.mirrors(small.limit(3), str(tmp_path / "b"))
     sinks.mirrors(small, str(tmp_path / "a"), str(tmp_path / "b"))
     assert spark.read.json(str(tmp_path / "a")).count() == spark.read.json(str(tmp_path / "b")).count() == 20
 
 
-def test_too_many_profile_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "FEW", 2)
-    rows = spark.range(3).select(F.col("id").cast("string").alias("key"), F.lit("n").alias("name"), F.lit("c").alias("cas"), F.create_map(F.lit("a.b"), F.lit("c")).alias("profile"), F.array(F.struct(*[F.lit("x").alias(c) for c in ("id", "because", "cite", "confidence")], F.lit(True).alias("field_consensus"))).alias("rules_fired"), F.array().cast("array<string>").alias("conflicts"))
-    with pytest.raises(ValueError, match="too many"):
-        sinks.profile_files(rows, str(tmp_path / "p"))
+def test_a_document_for_each_key(spark, tmp_path, monkeypatch):
+    """Any keys, in tasks of bounded size; read whole or by key, one index a folder."""
+    monkeypatch.setattr(documents, "PER_TASK", 1000)
+    keys = ["", ".", "..", "_keys", "a/b", "ä b", "x" * 400, "x" * 399 + "y", "Key", "key%2F", 'q"\n']
+    frame = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), F.concat(F.lit("v "), "id").alias("value")).unionByName(spark.createDataFrame([(k, f"of {k}") for k in keys] + [("none", None)], "key string, value string"))
+    path = str(tmp_path / "d")
+    documents.write_documents(frame, path)
+    folders = list(Path(path).iterdir())
+    assert len(folders) == 6 and all(len(list(f.iterdir())) < 1300 for f in folders) and [p.name for p in tmp_path.iterdir()] == ["d"]
+    got = {r.key: r.value for r in documents.read_documents(spark, path).collect()}
+    assert got == {r.key: r.value or "" for r in frame.collect()}
+    assert sorted(r.key for r in documents.read_documents(spark, path, ["k7", "a/b", "missing"]).collect()) == ["a/b", "k7"]
+    documents.write_documents(frame.limit(3), path)
+    assert documents.read_documents(spark, path).count() == 3
+    documents.write_documents(frame.limit(0), path)
+    assert documents.read_documents(spark, path).count() == 0
+
+
+def test_a_failed_task_leaves_nothing(spark, tmp_path):
+    """The old snapshot stays, and no folder beside it."""
+    path = str(tmp_path / "d")
+    documents.write_documents(spark.createDataFrame([("old", "1")], "key string, value string"), path)
+    rows = spark.range(200).select(F.col("id").cast("string").alias("key"), F.when(F.col("id") == 150, F.raise_error(F.lit("broken"))).otherwise("v").alias("value"))
+    spark.dataSource.register(documents.Documents)
+    for bad, why in ((rows.repartition(4, "key"), "broken"), (spark.createDataFrame([("a", "1"), ("a", "2")], "key string, value string").coalesce(1), "two documents"), (spark.createDataFrame([(None, "1")], "key string, value string"), "without a key")):
+        with pytest.raises(Exception, match=why):
+            bad.write.format(documents.NAME).mode("overwrite").save(path)
+        assert [p.name for p in tmp_path.iterdir()] == ["d"] and [r.key for r in documents.read_documents(spark, path).collect()] == ["old"]
+    with pytest.raises(Exception, match="there already"):
+        spark.createDataFrame([("a", "1")], "key string, value string").write.format(documents.NAME).mode("append").save(path)
+    assert [p.name for p in tmp_path.iterdir()] == ["d"] and [r.key for r in documents.read_documents(spark, path).collect()] == ["old"]
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import evidence, mining, rules, services
 from ..schemas import FIRST_FLAGS, FLAGS, MANIFEST, NUMERICS, PROFILE, struct
-from ..sources import fetch, readers, search, sinks
+from ..sources import documents, fetch, readers, search, sinks
 from ..sources.folders import shared
 from .common import Entry, quoted, sql_values, table
 from .corpus_queries import _RANK, ranked
@@ -97,6 +97,14 @@ def profiles_round_trip(spark, sf_dir):
     return _read_documents(spark.read.schema("key string, value string").json(path))
 
 
+def profile_files_round_trip(spark, sf_dir):
+    """A file for each profile, over an older snapshot that goes, and read back."""
+    path = _folder(spark, "profile-files")
+    documents.write_documents(table(spark, sf_dir, "region").select(F.col("r_name").alias("key"), F.lit("stale").alias("value")), path)
+    sinks.profile_files(_documents(spark, sf_dir), path)
+    return _read_documents(documents.read_documents(spark, path))
+
+
 def notes_write_back(spark, sf_dir):
     """Rules that fired become the record's notes; what was noted before goes."""
     out = sinks.with_rule_notes(applied(spark, sf_dir).withColumn("striking_fact", F.col("p_name")))
@@ -372,6 +380,7 @@ ENTRIES: dict[str, Entry] = {
     "profile_nested": (profile_nested, f"{_PROFILE} SELECT p_partkey, split_part(path, '.', 1) AS directives, split_part(path, '.', 2) AS name, value FROM last"),
     "profile_documents": (profile_documents, _DOCUMENTS),
     "profiles_round_trip": (profiles_round_trip, _DOCUMENTS),
+    "profile_files_round_trip": (profile_files_round_trip, _DOCUMENTS),
     "notes_write_back": (notes_write_back, f"{fired_sql()} SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY ord) - 1 AS INTEGER) AS place, id AS rule_id, confidence FROM fired"),
     "migrate_flags": (migrate_flags, _MIGRATE),
     "repair_provenance": (repair_provenance, _REPAIR),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rules import bench_notes, nested_profile
+from .documents import write_documents
 from .folders import written
 
 
@@ -25,16 +26,9 @@ def profiles(applied: DataFrame, path: str) -> None:
     profile_documents(applied).write.mode("overwrite").json(path)
 
 
-#: So many files at most are written one a record.
-FEW = 10_000
-
-
 def profile_files(applied: DataFrame, path: str) -> None:
-    """One folder for each record, for small sets: a folder a record would wear out any store beyond that."""
-    documents = written(profile_documents(applied), "documents")
-    if (n := documents.count()) > FEW:
-        raise ValueError(f"{n} records are too many for a folder each; write them as rows")
-    documents.repartition("key").write.mode("overwrite").partitionBy("key").text(path)
+    """One file for each record, many a task, committed together."""
+    write_documents(written(profile_documents(applied), "documents"), path)
 
 
 def mirrors(df: DataFrame, *paths: str) -> None:
