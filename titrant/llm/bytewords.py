@@ -6,6 +6,7 @@ scratch arrays stay small however large a batch is; a single very long text is i
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -43,18 +44,50 @@ NORMAL = class_table(lambda b: b >= 0x80 or chr(b).isascii() and chr(b).isalnum(
 #: A-Z to a-z.
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
-_LETTER = mix64(np.arange(1, 257, dtype=np.uint64) * ODD)
-_BASE, _BASE_INV = 0xD1342543DE82EF95, pow(0xD1342543DE82EF95, -1, 1 << 64)
+#: Sequences are hashed as polynomials modulo this prime in two bases, so no pattern of letters collides by itself, as
+#: some do modulo a power of two.
+PRIME = (1 << 31) - 1
+#: The bases of hashes that tasks exchange. Those that stay in a process are drawn there, so no text can be made for them.
+SHARED = (0x2C1B3C6D, 0x297A2D39)
+OWN = (1 + (1 << 20) + secrets.randbelow(1 << 30), 1 + (1 << 20) + secrets.randbelow(1 << 30))
 
+_LETTER = (mix64(np.arange(1, 257, dtype=np.uint64) * ODD) >> np.uint64(33)).astype(np.int64)
+_BASE = 0xD1342543DE82EF95
 
-@lru_cache(1)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (_BASE, _BASE_INV):
-        p = np.full(1 << bits, base, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+
+@lru_cache(4)
+def _powers(bits: int, base: int) -> np.ndarray:
+    """Powers of a base, up to 2^bits of them."""
+    out = np.ones(1, np.int32)
+    while len(out) < 1 << bits:
+        out = np.concatenate([out, (out * np.int64(pow(base, len(out), PRIME)) % PRIME).astype(np.int32)])
+    return out
+
+
+class Prefix:
+    """Sums over the items before each place of a sequence, by which any span of it is hashed. ``values`` are below 2^31, one array for each base."""
+
+    def __init__(self, values: tuple[np.ndarray, np.ndarray], bases: tuple[int, int] = SHARED):
+        n = len(values[0])
+        self.bits, self.bases, self.sums = max(21, n.bit_length()), bases, []
+        for base, value in zip(bases, values, strict=True):
+            term = value * _powers(self.bits, base)[:n]
+            high = term >> 31
+            term &= PRIME
+            term += high
+            total = np.zeros(n + 1, np.int64)
+            np.cumsum(term, out=total[1:])
+            self.sums.append(total)
+
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hashes of spans; equal spans get equal hashes wherever they stand."""
+        first, second = ((total[end] - total[start]) % PRIME * _powers(self.bits, pow(base, -1, PRIME))[start] % PRIME for base, total in zip(self.bases, self.sums, strict=True))
+        return mix64((first << 31 | second).astype(np.uint64) + np.asarray(end - start).astype(np.uint64) * ODD)
+
+
+def halves(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two values below 2^31 of each 64-bit hash."""
+    return (hashes & np.uint64(PRIME)).astype(np.int64), (hashes >> np.uint64(33)).astype(np.int64)
 
 
 @dataclass
@@ -74,17 +107,13 @@ class Slice:
     def text(self, i: int) -> bytes:
         return self.buf[self.offs[i] : self.offs[i + 1]].tobytes()
 
-    def prefix_hash(self, lower: bool = False) -> np.ndarray:
-        data = LOWER[self.buf] if lower else self.buf
-        power, _ = _powers(max(21, int(len(data)).bit_length()))
-        out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_LETTER[data] * power[: len(data)], out=out[1:])
-        return out
+    def prefix_hash(self, lower: bool = False, bases: tuple[int, int] = SHARED) -> Prefix:
+        letters = _LETTER[LOWER[self.buf] if lower else self.buf]
+        return Prefix((letters, letters), bases)
 
-    def span_hash(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def span_hash(self, prefix: Prefix, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of byte spans; equal spans get equal hashes wherever they stand."""
-        _, inverse = _powers(max(21, int(len(self.buf)).bit_length()))
-        return mix64((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64) * ODD)
+        return prefix.spans(start, end)
 
     def words(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of all words, and for each text the place of its first one (with the total at the end)."""

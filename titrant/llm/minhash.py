@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import NORMAL, ODD, Slice, _powers, besides, map_text, mix64, row_of, slices, window_hash, windows
+from .bytewords import NORMAL, ODD, Prefix, Slice, besides, halves, map_text, mix64, row_of, slices, window_hash, windows
 from .components import components
 from .storage import partitions_for, released, settled
 
@@ -111,11 +111,7 @@ def vectors(part: Slice, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     starts, ends, places = part.words(NORMAL)
     hashes = part.span_hash(part.prefix_hash(lower=True), starts, ends)
     n_words = np.diff(places)
-    power, inverse = _powers(max(21, int(len(hashes)).bit_length()))
-    keys = []
-    for salted in (hashes, mix64(hashes ^ ODD)):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(salted * power[: len(hashes)])])
-        keys.append(mix64((total[places[1:]] - total[places[:-1]]) * inverse[places[:-1]] + n_words.astype(np.uint64) * ODD))
+    keys = [Prefix(halves(salted)).spans(places[:-1], places[1:]) for salted in (hashes, mix64(hashes ^ ODD))]
     idf = word_idf(hashes, weights)
     first, rows = windows(places, SHINGLE)
     shingles = window_hash(hashes, first, SHINGLE)

@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .bytewords import Slice
+from .bytewords import OWN, Slice
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 _BLANK = {9, 10, 11, 12, 13, 32, 0x85, 0xA0}
@@ -119,12 +119,14 @@ def split(part: Slice, buf: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.nd
 
 
 class Pieces:
-    """Distinct pieces of a tokenizer, each encoded once and then looked up by its hash of 64 bits.
+    """Distinct pieces of a tokenizer, each encoded once and then looked up by its hash of 62 bits, in bases drawn by the process.
 
-    The store is a cache only: when it is full it is emptied. ``encode`` maps distinct pieces to entries.
+    The store is a cache only: when it is full it is emptied. What a hash finds there counts only if its bytes are those
+    of the piece. ``encode`` maps distinct pieces to entries.
     """
 
     LIMIT = 700_000
+    LIMIT_BYTES = 64 << 20
 
     def __init__(self, encode: Callable[[list[bytes]], list]):
         self.encode = encode
@@ -132,25 +134,36 @@ class Pieces:
 
     def _empty(self) -> None:
         self.known: list = []
+        self.pieces: list[bytes] = []
+        self.size = 0
         self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending, and where each one's entry stands
 
     def entries(self, part: Slice, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list, np.ndarray]:
         """Entries of the distinct pieces, and for each piece the place of its entry."""
         view = Slice(part.lo, part.hi, buf, part.offs, part.null)
-        found, at, back = np.unique(view.span_hash(view.prefix_hash(), starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > self.LIMIT:
+        found, at, back = np.unique(view.span_hash(view.prefix_hash(bases=OWN), starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) > self.LIMIT or self.size > self.LIMIT_BYTES:
             self._empty()
+        raw = buf.tobytes()
+        here = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
         place = np.searchsorted(self.hashes, found)
         there = np.zeros(len(found), bool)
         inside = place < len(self.hashes)
         there[inside] = self.hashes[place[inside]] == found[inside]
         new = np.flatnonzero(~there)
         if len(new):
-            raw = buf.tobytes()
-            added = self.encode([raw[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+            fresh = [here[i] for i in new.tolist()]
+            added = self.encode(fresh)
             self.places = np.insert(self.places, place[new], len(self.known) + np.arange(len(new)))
             self.hashes = np.insert(self.hashes, place[new], found[new])
             self.known += added
+            self.pieces += fresh
+            self.size += sum(map(len, fresh))
             place = np.searchsorted(self.hashes, found)
-        known = self.known
-        return [known[k] for k in self.places[place].tolist()], back
+        at_entry = self.places[place].tolist()
+        pieces, known = self.pieces, self.known
+        out = [known[k] for k in at_entry]
+        other = [i for i, k in enumerate(at_entry) if pieces[k] != here[i]]
+        for i, entry in zip(other, self.encode([here[i] for i in other]) if other else (), strict=True):
+            out[i] = entry
+        return out, back

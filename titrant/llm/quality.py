@@ -17,7 +17,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
-from .bytewords import PLAIN, Slice, class_table, map_text, mix64, row_of, unused, window_hash, windows
+from .bytewords import OWN, PLAIN, Slice, class_table, map_text, mix64, row_of, unused, window_hash, windows
 
 CHUNK_BYTES = 4096
 LEVEL = 3
@@ -61,7 +61,7 @@ def _later_copies(keys: np.ndarray) -> np.ndarray:
 def word_statistics(part: Slice) -> dict[str, np.ndarray]:
     n = part.n
     starts, ends, places = part.words(PLAIN)
-    prefix = part.prefix_hash()
+    prefix = part.prefix_hash(bases=OWN)
     n_words = np.diff(places)
     salt = mix64(np.arange(1, n + 1, dtype=np.uint64))
 
