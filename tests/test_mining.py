@@ -3,6 +3,7 @@ import itertools
 import random
 import time
 from difflib import SequenceMatcher
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,37 @@ def test_services(spark):
     assert services.first_reviewed(hits).first().accession == "early"
 
 
+def test_clusters_of_chains_stars_and_trees(spark, monkeypatch):
+    """Random graphs against a plain union of sets; a chain in rounds that grow with its logarithm, a star in two; only what is read stays on disk."""
+    from titrant.operators import graph
+
+    made: list = []
+    keep = graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: made.append((name, keep(df, name))) or made[-1][1])
+    rng = random.Random(4)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(1000 + i, 1001 + i) for i in range(255)] + [(5000, 5001 + i) for i in range(500)] + [(7, 7), (None, 3), (9001, 9000), (9000, 9001)]
+    root = {x: x for p in pairs for x in p if x is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for u, v in pairs:
+        if None not in (u, v) and find(u) != find(v):
+            root[max(find(u), find(v))] = min(find(u), find(v))
+    linked = {x for u, v in pairs if None not in (u, v) and u != v for x in (u, v)}
+    got = {r.node: r.cluster for r in graph.clusters(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()}
+    assert got == {x: find(x) for x in linked}
+    assert sum(name == "moves" for name, _ in made) <= 14
+    there = [t.written_at for _, t in made if Path(t.written_at.removeprefix("file://")).exists()]
+    assert there == [made[-1][1].written_at]
+    made.clear()
+    star = spark.range(1, 3001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+    assert graph.clusters(star, "a", "b").filter("cluster = 0").count() == 3001 and sum(name == "moves" for name, _ in made) <= 3
+    assert graph.clusters(star.limit(0), "a", "b").count() == 0
+
+
 HOSTILE = {
     "comments": "<a>" + "<!--" * 20_000, "instructions": "<a>" + "<?x " * 20_000, "sections": "<a>" + "<![CDATA[" * 20_000, "types": "<!DOCTYPE [" * 20_000 + "<a>", "opens": "<b>" * 20_000, "closed": "<b>" * 10_000 + "</c>" * 10_000,
     "crossed": "<b><c>" * 5_000 + "</b>" * 5_000 + "</c>" * 5_000, "texts": "<a>" + "x<!---->" * 20_000, "brackets": "<" * 80_000, "quotes": "<a " + "b='" * 20_000, "empty": "<a>" + "<b/>" * 20_000, "names": "<a " + "x=" * 40_000 + ">", "references": "<a>" + "&" * 80_000,

@@ -40,4 +40,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet and read back."""
     path = f"{shared(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Written tables that nothing will read any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        _removed(context._jvm, context._jsc.hadoopConfiguration(), df.written_at)
