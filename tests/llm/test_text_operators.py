@@ -397,7 +397,7 @@ def test_shards_are_read_in_parts(monkeypatch):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and set(ORACLE_SQL) <= set(QUERIES)
+    assert {n.split("_")[0] for n in QUERIES if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_counts_are_kept(awkward):
