@@ -232,6 +232,12 @@ def test_pii_own_kinds(spark):
     assert all(not got[i] and clean[i] == rows[i][1] for i in range(base, len(rows)))
 
 
+@pytest.mark.parametrize("text, found", [("password =     hunter2hunter2x", True), ("token:\n\n\n\nabcdefgh12345", True), ("accessToken=abcdefgh12345", True), ("my2ndSecret : abcdefgh12345", True), ("betoken=abcdefgh12345", False)])
+def test_pii_secret_candidates(text, found):
+    """Any white space around the sign, and labels that begin inside a name in camel case, but not inside a word."""
+    assert bool(pii._OWN["secret"].search(text)) is found
+
+
 def test_pii_overlaps_are_found_in_linear_time():
     import time
 

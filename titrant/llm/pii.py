@@ -50,7 +50,7 @@ _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _OWN = {
-    "secret": re.compile(r"(?i)(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-+/=.]{8,})"),
+    "secret": re.compile(r"(?i)(?:(?<![A-Za-z])|(?<=(?-i:[a-z0-9]))(?=(?-i:[A-Z])))(?:password|passwd|pwd|token|secret|api[_-]?key)\s*+[=:]\s*+[\"']?([A-Za-z0-9_\-+/=.]{8,})"),
     "iban": re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3}))(?![A-Za-z0-9])"),
     "ssn": re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"),
     "hidden_email": re.compile(r"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++ ?[(\[]at[)\]] ?[A-Za-z0-9-]++(?: ?[(\[]dot[)\]] ?[A-Za-z0-9-]++)+)"),
