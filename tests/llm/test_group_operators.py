@@ -376,6 +376,34 @@ def test_template_without_telling_names(spark):
             assert r.text == f"Home\nAbout\nT{i}\n{OPENING.format(i)}\nWe always say this\nJoin our club\nnow\nClose {i * i}\nImprint and law"
 
 
+STORY = "<article><h1>Title</h1><p>the story goes on and on for some words</p>{}</article>"
+
+
+@pytest.mark.parametrize("name", ["site-content has-sidebar", "no-sidebar", "search-results-page", "content-sidebar", "hasSidebar", "widget", "header"])
+def test_boxes_with_the_article_stay(name):
+    """Names that say what else is there, and names of boxes that hold nearly all text."""
+    for held in (STORY.format(""), STORY.format("").replace("article>", "div>")):
+        page = f"<body><div class='site-footer'>imprint</div><div id=page class='{name}'>{held}</div><ul class=navMain><li>Home</ul></body>"
+        assert html_extract.extract(page) == "Title\nthe story goes on and on for some words"
+
+
+def test_names_are_judged_whole():
+    kept = ["related-work", "copyright-law", "search-results-page", "share-price", "comments-open", "no-ads", "post-header"]
+    gone = ["ad", "ad-300x250", "AdBox", "cookieBanner", "comment-list", "related-posts", "sidebar-left", "site_footer", "menu__item", "x share-buttons", "top-nav"]
+    for names, tail in ((kept, "\nmore"), (gone, "")):
+        for name in names:
+            assert html_extract.extract(STORY.format(f"<section class='{name}'>more</section>")) == "Title\nthe story goes on and on for some words" + tail, name
+    long = "".join(f"<article class=comment><h3>c{i}</h3><p>{'words ' * 30}</p></article>" for i in range(9))  # comments may be most of a page
+    assert html_extract.extract(f"<body><div class='comments has-replies'>{long}</div><div>{STORY.format('')}</div></body>") == "Title\nthe story goes on and on for some words"
+    assert html_extract.extract("<div class=ad>" * 4000 + "<h1>a</h1>" + "<div class=ad>" * 4000 + "b") == "a"
+
+
+def test_article_in_a_marked_box_with_a_wrapper(spark):
+    rows = [(i, f"http://b.org/{i}", f"<body><div class=menu>Home</div><div class='site has-sidebar'><div>{OPENING.format(i)}</div><h1>T{i}</h1><p>{OPENING.format(i)}</p></div><div class=z><ul><li>Imprint</ul></div></body>") for i in range(20)]
+    got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{OPENING.format(i)}\nT{i}\n{OPENING.format(i)}" for i in range(20)}
+
+
 def test_extraction_against_known_articles(spark):
     """Pages put together from parts at random: the text is the article's parts, whatever is around them."""
     rng = random.Random(6)

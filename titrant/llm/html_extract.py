@@ -7,7 +7,8 @@ most of the varying text is the content container. Boxes (sections, tables, list
 template, whatever they are called; headings, paragraphs and quotations that stand in the container itself are the
 article's even if other articles repeat them. A page's main text is what its aligned container holds, without template
 and without elements that HTML or their class names mark as navigation, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles or comments. Where there is no container (layouts of fewer than ``LEAST_PAGES`` pages, content
+forms, scripts, styles or comments. Names are judged whole (``site-footer`` marks, ``no-sidebar`` and ``related-work``
+don't), and never mark a box that holds the article or its heading and most of the page's text. Where there is no container (layouts of fewer than ``LEAST_PAGES`` pages, content
 that stands in the body itself, pages that don't align) the text is that of ``article`` or ``main``, or else of the whole
 body, less the same.
 
@@ -25,16 +26,16 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
-from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from xxhash import xxh64_intdigest
 
 from .bytewords import besides
-from .html_tree import Flat, Node, match, parse
+from .html_tree import COMMENTS, Flat, Node, match, parse
 from .storage import released, settled
 from .url_filter import canonical
 
@@ -47,13 +48,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PROSE = HEADINGS | {"p", "pre", "blockquote", "ul", "ol", "dl"}
 BOXES = (SECTIONS - {"#page", "html", "body", "main", "article"}) | {"ul", "ol", "dl"}
 
-# Elements and class, id or role words that mark what isn't main text.
+# Elements that aren't main text.
 NOISE_TAGS = {"head", "nav", "footer", "aside", "form", "fieldset", "menu", "dialog"}
-NOISE_MARKS = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs",
-    "sidebar", "sidebars", "aside", "widget", "widgets", "footer", "complementary", "contentinfo", "search", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay",
-    "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "recommendations", "comment", "comments", "commentlist", "reply", "replies", "disqus", "respond", "pagination", "pager", "toolbar", "form", "hidden", "copyright",
-}
 
 
 def is_noise(node: Node, within: bool) -> bool:
@@ -61,8 +57,8 @@ def is_noise(node: Node, within: bool) -> bool:
     if node.tag in NOISE_TAGS or node.tag == "header" and not within:
         return True
     if node.tag in ("html", "body", "article", "main"):
-        return node.tag == "article" and bool({"comment", "comments", "reply"} & set(node.marks))
-    return bool(NOISE_MARKS & set(node.marks)) or "header" in node.marks and not within
+        return node.tag == "article" and not COMMENTS.isdisjoint(node.noise)
+    return bool(node.noise) and not (within and node.noise == ("header",))
 
 
 def blocks_of(node: Node, skip: set[int], within: bool = False) -> list[str]:
@@ -84,17 +80,16 @@ def blocks_of(node: Node, skip: set[int], within: bool = False) -> list[str]:
 
 def layout(root: Node) -> int:
     """A number for the paths of sections in a page, down to those that hold prose: what varies with the article leaves it as it is."""
-    found, stack = set(), [(root, "")]
+    found, stack = set(), [(root, 0)]
     while stack:
         node, above = stack.pop()
-        path = f"{above}>{node.label()}"
+        path = xxh64_intdigest(node.label(), above)  # a number for the path, at any depth
         found.add(path)
         kids = node.children
         if node.blocks() or any(c.tag in PROSE for c in kids) or node.tag in ("article", "main"):
             continue
-        if len(path) < 1000:  # a name for the layout needs no more
-            stack += [(c, path) for c in kids if c.tag in SECTIONS and not is_noise(c, False)]
-    return crc32("\n".join(sorted(found)).encode())
+        stack += [(c, path) for c in kids if c.tag in SECTIONS and not is_noise(c, False)]
+    return xxh64_intdigest(",".join(map(str, sorted(found))))
 
 
 def fallback(root: Node, skip: set[int]) -> list[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -17,20 +18,53 @@ CLOSES = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}, "body": {"head"},
 }
 ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul", "figure"}
+# Words of class names, ids and roles that mark what isn't main text, words for the boxes and parts of it that
+# follow them in a name, and words before them that say of another box whether it has such a part.
+NOISE_MARKS = {
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs",
+    "sidebar", "sidebars", "aside", "widget", "widgets", "footer", "complementary", "contentinfo", "search", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay",
+    "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "recommendations", "comment", "comments", "commentlist", "reply", "replies", "disqus", "respond", "pagination", "pager", "toolbar", "form", "hidden", "copyright", "header",
+}
+FRAMES = {
+    "area", "articles", "author", "bar", "block", "body", "bottom", "box", "bundle", "button", "buttons", "col", "column", "container", "content", "group", "holder", "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "meta", "outer", "panel", "posts", "primary",
+    "region", "right", "row", "secondary", "section", "slot", "stories", "text", "thread", "title", "top", "unit", "wrap", "wrapper", "zone",
+}
+COMMENTS = {"comment", "comments", "reply"}
+OTHERS = {"no", "not", "has", "have", "with", "without", "hide", "show", "enable", "disable"}
 SCOPE = {"table", "ul", "ol", "dl", "div", "article", "section", "body", "aside", "nav", "main", "form"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?i)(?:^|[\s"'])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPLIT = re.compile(r"[^a-z]+")
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+
+
+@lru_cache(100_000)
+def noise_words(value: str) -> tuple[str, ...]:
+    """The words by which the names in an attribute mark what isn't main text.
+
+    A name does so by its last word (``site-footer``), or by its first one if all others are words for boxes and parts
+    (``comment-list``): ``no-sidebar``, ``related-work`` and ``search-results-page`` don't.
+    """
+    found = []
+    for name in value.split():
+        words = [w for w in map(str.lower, _WORD.findall(name)) if len(w) > 1]
+        if not words or words[0] in OTHERS:
+            continue
+        if words[-1] in NOISE_MARKS:
+            found.append(words[-1])
+        elif words[0] in NOISE_MARKS and all(w in FRAMES or w in NOISE_MARKS for w in words[1:]):
+            found.append(words[0])
+    return tuple(dict.fromkeys(found))
 
 
 class Node:
-    """An element with its children and blocks of own text, in page order (``parts``)."""
+    """An element with its children and blocks of own text, in page order (``parts``). ``noise``: words of its names that mark what isn't main text."""
 
-    __slots__ = ("marks", "own", "parts", "tag")
+    __slots__ = ("marks", "noise", "own", "parts", "tag")
 
-    def __init__(self, tag: str, marks: tuple[str, ...] = ()):
-        self.tag, self.marks, self.parts, self.own = tag, marks, [], []
+    def __init__(self, tag: str, marks: tuple[str, ...] = (), noise: tuple[str, ...] = ()):
+        self.tag, self.marks, self.noise, self.parts, self.own = tag, marks, noise, [], []
 
     @property
     def children(self) -> list[Node]:
@@ -53,17 +87,36 @@ class Node:
         return crc32("\n".join(self.blocks()).encode())
 
 
-def _marks(attributes: str) -> tuple[str, ...]:
+def _marks(attributes: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """All words of the names, and those that mark what isn't main text."""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return ()
-    found = []
+        return (), ()
+    found, noise = [], []
     for name, *values in _NAMES.findall(attributes):
         if name.lower() in ("hidden", "aria-hidden"):
             if "".join(values).lower() in ("", "true", "hidden"):
                 found.append("hidden")
+                noise.append("hidden")
         else:
-            found += [x for x in _SPLIT.split(html.unescape("".join(values)).lower()) if x]
-    return tuple(dict.fromkeys(found))
+            value = html.unescape("".join(values))
+            found += [x for x in _SPLIT.split(value.lower()) if x]
+            noise += noise_words(value)
+    return tuple(dict.fromkeys(found)), tuple(dict.fromkeys(noise))
+
+
+def _spare(root: Node, boxes: set[int]) -> None:
+    """Boxes (by their ids) with at least half of a page's text aren't noise, whatever their names say."""
+    order, above = [root], [0]
+    for i, node in enumerate(order):  # grows on the way
+        kids = node.children
+        order += kids
+        above += [i] * len(kids)
+    chars = [sum(map(len, node.blocks())) for node in order]
+    for i in range(len(order) - 1, 0, -1):
+        chars[above[i]] += chars[i]
+    for node, n in zip(order, chars, strict=True):
+        if id(node) in boxes and 2 * n >= chars[0]:
+            node.noise = ()
 
 
 #: What ends the text of each element whose text is raw, and what each start tag closes.
@@ -72,9 +125,14 @@ _SHUTS = {tag: frozenset(CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else s
 
 
 def parse(page: str) -> Node:
-    """The tree of a page. Unclosed, crossed and cut-off tags are mended as browsers roughly do."""
+    """The tree of a page. Unclosed, crossed and cut-off tags are mended as browsers roughly do.
+
+    A box that names mark isn't marked if it holds an article (not a comment), a ``main`` or an ``h1``, and most of the text.
+    """
     top = root = Node("#page")
     stack = [root]
+    marked: list[Node] = []  # open boxes that names mark, of which none is known to hold an article
+    holding: set[int] = set()
     opened: dict[str, int] = {}  # how many elements of a name are open, so that none is sought in vain, however deep it goes
     at, size, search = 0, len(page), _TOKEN.search
 
@@ -82,6 +140,8 @@ def parse(page: str) -> Node:
         while len(stack) > depth:
             node = stack.pop()
             opened[node.tag] -= 1
+            if marked and marked[-1] is node:
+                marked.pop()
             if node.own:
                 node.close_block()
         return stack[-1]
@@ -131,7 +191,12 @@ def parse(page: str) -> Node:
             top = pop_to(least)
         if tag in VOID:
             continue
-        node = Node(tag, _marks(attributes))
+        node = Node(tag, *_marks(attributes))
+        if marked and (tag in ("main", "h1") or tag == "article" and not COMMENTS.intersection(node.noise)):
+            holding.update(map(id, marked))
+            marked.clear()
+        if node.noise and tag != "article":
+            marked.append(node)
         opened[tag] = opened.get(tag, 0) + 1
         top.parts.append(node)
         stack.append(node)
@@ -139,6 +204,8 @@ def parse(page: str) -> Node:
     pop_to(1)
     if root.own:
         root.close_block()
+    if holding:
+        _spare(root, holding)
     return root
 
 
