@@ -73,6 +73,16 @@ def test_duplicates(spark):
     assert [r.x for r in mod.select(mining.has_modifier(F.col("n"), corrected=True).alias("x")).collect()] == [True, True, True]
 
 
+def test_merge_forms(spark):
+    names = spark.createDataFrame([("Acme  Labs\u00a0Tris solution", 1), ("acme tris", 2), ("ACME", 3), ("acmetris", 4), ("acme lab Tris", 5), (None, 6), (" ", 7), ("acme alias", 8), ("acme  labs tris Reagent", 9), ("acme tris", 2)], "label string, k int")
+    vendors = spark.createDataFrame([("Acme",), (" acme  labs ",), (None,), ("",), ("a" * 5000,)], "vendor string")
+    synonyms = spark.createDataFrame([("Alias", "tris"), ("ALIAS", "zinc"), (None, "x"), ("", "y")], "alias string, name string")
+    got = sorted(((r.k, r.form) for r in mining.merge_forms(names, "label", vendors, synonyms).collect()))
+    assert got == [(1, "tris"), (2, "tris"), (2, "tris"), (3, "acme"), (4, "acmetris"), (5, "lab tris"), (6, None), (7, ""), (8, "tris"), (9, "tris")]
+    assert mining.merge_forms(names.limit(0), "label", vendors.limit(0), synonyms.limit(0)).count() == 0
+    assert {r.form for r in mining.merge_forms(names.filter("k = 2"), "label", vendors.limit(0), synonyms.limit(0)).collect()} == {"acme tris"}
+
+
 def test_clusters(spark):
     pairs = [(i, i + 1) for i in range(30)] + [(100, 200), (200, 150)]
     got = {r.node: r.cluster for r in clusters(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()}

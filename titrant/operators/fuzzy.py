@@ -11,7 +11,7 @@ substrings, of which those too many edits apart go before any Python; only candi
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -77,9 +77,6 @@ def similar_pairs(names: DataFrame, name: str = "name", threshold: float = THRES
     return candidates(names, name, threshold).sortWithinPartitions("b").mapInPandas(compare, "a string, b string, ratio double")
 
 
-def without_pairs(pairs: DataFrame, forbidden: Sequence[Sequence[str]]) -> DataFrame:
-    """``pairs`` less the unordered pairs given."""
-    if not forbidden:
-        return pairs
-    side = pairs.sparkSession.createDataFrame([tuple(sorted(p)) for p in forbidden], "a string, b string")
-    return pairs.join(F.broadcast(side), ["a", "b"], "left_anti")
+def without_pairs(pairs: DataFrame, forbidden: DataFrame) -> DataFrame:
+    """``pairs`` less the unordered pairs ``a, b`` of a table."""
+    return pairs.join(forbidden.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b"), ["a", "b"], "left_anti")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import lru_cache
 from importlib.resources import files
@@ -109,25 +108,43 @@ def has_modifier(name: Column, corrected: bool = False) -> Column:
     return name.rlike(rf"(?iuU)\b(?:{_MODIFIERS})" + (r"\w*\b" if corrected else r"\b"))
 
 
-def merge_form(name: Column) -> Column:
-    """The name under which duplicates meet: no vendor before it, one name of several, no "solution" after it."""
-    data = names_data()
-    n = strip(F.lower(name))
-    vendors = "|".join(re.escape(v) for v in sorted(data["vendors"], key=len, reverse=True))
-    n = F.regexp_replace(n, rf"\A(?:{vendors})\s+", "")
-    table = F.create_map(*[F.lit(x) for kv in data["synonyms"].items() for x in kv])
-    n = F.coalesce(F.try_element_at(table, n), n)
-    return strip(F.regexp_replace(n, r"(?i)\s+(?:solution|reagent)$", ""))
+def _fixed(names: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    return F.broadcast(names.sparkSession.createDataFrame(rows, schema))
+
 
+def merge_forms(names: DataFrame, name: str = "name", vendors: DataFrame | None = None, synonyms: DataFrame | None = None) -> DataFrame:
+    """``names`` with ``form``, under which duplicates meet: no vendor before it, one name of several, no "solution" after it.
 
-def duplicates(names: DataFrame, name: str = "name", n: str = "n", threshold: float = fuzzy.THRESHOLD, corrected_modifiers: bool = False) -> DataFrame:
-    """``slug, name, n, cluster, canonical, verdict`` (keep or drop).
+    ``vendors``: ``vendor``; ``synonyms``: ``alias, name``; the package's own lists unless given. A name's beginnings, as
+    far as the longest vendor goes, meet vendors in an equi-join, and the longest one found is cut off, so the lists may be
+    of any length. Of an alias with several names the least counts. Null and blank vendors and aliases match nothing; the
+    form of a null name is null. Names and lists are compared in lower case, without white space around them.
+    """
+    data = names_data()
+    vendors = _fixed(names, [(v,) for v in data["vendors"]], "vendor string") if vendors is None else vendors
+    synonyms = _fixed(names, list(data["synonyms"].items()), "alias string, name string") if synonyms is None else synonyms
+    clean = lambda c: strip(F.lower(c))
+    known = vendors.select(clean(F.col("vendor")).alias("start")).filter("start <> ''").distinct()
+    longest = known.agg(F.coalesce(F.max(F.length("start")), F.lit(0))).first()[0]
+    low = names.select(F.col(name).alias("__name"), clean(F.col(name)).alias("__low")).distinct()
+    ends = F.filter(F.sequence(F.lit(1), F.least(F.length("__low"), F.lit(longest + 1))), lambda i: F.substr(F.col("__low"), i + 1, F.lit(1)).rlike(r"(?U)\A\s\z"))
+    starts = low.select("__low").filter("__low <> ''").distinct().select("__low", F.explode(F.transform(ends, lambda i: F.substr(F.col("__low"), F.lit(1), i))).alias("start"))
+    cuts = starts.join(known, "start").groupBy("__low").agg(F.max(F.length("start")).alias("cut"))
+    one = synonyms.select(clean(F.col("alias")).alias("__bare"), clean(F.col("name")).alias("known")).filter("__bare <> ''").groupBy("__bare").agg(F.min("known").alias("known"))
+    bare = low.join(cuts, "__low", "left").withColumn("__bare", strip(F.substr(F.col("__low"), F.coalesce(F.col("cut"), F.lit(0)) + 1)))
+    found = bare.join(one, "__bare", "left").select("__name", strip(F.regexp_replace(F.coalesce("known", "__bare"), r"(?i)\s+(?:solution|reagent)$", "")).alias("form"))
+    return names.join(found, names[name] == found["__name"], "left").drop("__name")
+
+
+def duplicates(names: DataFrame, name: str = "name", n: str = "n", threshold: float = fuzzy.THRESHOLD, corrected_modifiers: bool = False, vendors: DataFrame | None = None, synonyms: DataFrame | None = None, never_merge: DataFrame | None = None) -> DataFrame:
+    """``slug, name, n, cluster, canonical, verdict`` (keep or drop). ``vendors``, ``synonyms``: as in ``merge_forms``; ``never_merge``: ``a, b``, pairs of forms.
 
     Names of one form and modifier are one group; groups whose forms are similar enough and not forbidden are merged. Of
     each cluster the name with the greatest count stays, the first slug on ties.
     """
-    rows = names.select(F.col(name).alias("name"), F.col(n).alias("n")).withColumns({"slug": slugify(F.col("name")), "form": merge_form(F.col("name")), "modified": has_modifier(F.col("name"), corrected_modifiers)})
-    pairs = fuzzy.without_pairs(fuzzy.similar_pairs(rows.select("form"), "form", threshold), names_data()["never_merge"])
+    rows = merge_forms(names.select(F.col(name).alias("name"), F.col(n).alias("n")), "name", vendors, synonyms).withColumns({"slug": slugify(F.col("name")), "modified": has_modifier(F.col("name"), corrected_modifiers)})
+    never = _fixed(names, [tuple(p) for p in names_data()["never_merge"]], "a string, b string") if never_merge is None else never_merge
+    pairs = fuzzy.without_pairs(fuzzy.similar_pairs(rows.select("form").distinct(), "form", threshold), never)
     key = lambda f: F.concat(F.when(F.col("modified"), "1").otherwise("0"), F.col(f))
     groups = rows.select("form", "modified").distinct()
     a = groups.withColumnsRenamed({"form": "a"}).join(pairs.select("a", "b"), "a")

@@ -280,6 +280,38 @@ best AS (SELECT cluster, slug AS canonical FROM every QUALIFY row_number() OVER
 SELECT slug, n, canonical, CASE WHEN slug = canonical THEN 'keep' ELSE 'drop' END AS verdict FROM every JOIN best USING (cluster)"""
 
 
+#: How lines name what they sell: behind a supplier, modified, with an ending, or by another name.
+_CALLED = """CASE (l_partkey + l_suppkey) % 4 WHEN 0 THEN '' WHEN 1 THEN concat(s_name, '  ') WHEN 2 THEN concat(upper(s_name), ' Labs ') ELSE concat(' ', lower(s_name), ' ') END,
+CASE WHEN l_partkey % 11 = 0 THEN concat('Alias of ', p_name) ELSE concat(CASE l_partkey % 5 WHEN 0 THEN '50x ' WHEN 1 THEN '5x ' ELSE '' END, 'Recombinant human carrier ', p_name, CASE l_partkey % 7 WHEN 0 THEN 's' WHEN 1 THEN ' x' WHEN 2 THEN ' Solution' WHEN 3 THEN ' reagent' ELSE '' END) END"""
+
+
+def dedup_products(spark, sf_dir):
+    """Names behind suppliers' names, with suppliers, aliases and pairs that mustn't meet as tables."""
+    lines, parts, suppliers = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier"))
+    names = lines.join(parts, F.expr("l_partkey = p_partkey")).join(suppliers, F.expr("l_suppkey = s_suppkey")).groupBy(F.expr(f"concat({_CALLED})").alias("name")).agg(F.count("*").alias("n"))
+    vendors = suppliers.select(F.col("s_name").alias("vendor")).union(suppliers.filter("s_suppkey % 2 = 0").select(F.concat("s_name", F.lit(" LABS"))))
+    synonyms = parts.filter("length(p_name) % 2 = 0").select(F.concat(F.lit("alias of "), "p_name").alias("alias"), F.concat(F.lit("Recombinant human carrier "), "p_name").alias("name"))
+    stem = F.concat(F.lit("recombinant human carrier "), "p_name")
+    never = parts.filter("p_name < 'l'").select(F.concat(stem, F.lit("s")).alias("a"), stem.alias("b")).distinct()
+    return mining.duplicates(names, vendors=vendors, synonyms=synonyms, never_merge=never).select("slug", "n", "canonical", "verdict")
+
+
+#: Similar forms: at most two characters of both without a partner, as they are all shorter than 50.
+_PRODUCTS = f"""WITH RECURSIVE names AS (SELECT concat({_CALLED}) AS name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
+vendors AS (SELECT lower(s_name) AS v FROM supplier UNION SELECT lower(s_name) || ' labs' FROM supplier WHERE s_suppkey % 2 = 0),
+low AS (SELECT name, n, trim(lower(name)) AS l FROM names), cuts AS (SELECT name, max(length(v)) AS cut FROM low JOIN vendors ON starts_with(l, v || ' ') GROUP BY 1),
+bare AS (SELECT name, n, trim(substr(l, coalesce(cut, 0) + 1)) AS m FROM low LEFT JOIN cuts USING (name)),
+f AS (SELECT name, n, regexp_replace(CASE WHEN starts_with(m, 'alias of ') AND length(m) % 2 = 1 THEN 'recombinant human carrier ' || substr(m, 10) ELSE m END, ' (solution|reagent)$', '') AS form, regexp_replace(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, regexp_matches(lower(name), '\\b50x\\b') AS modified FROM bare),
+g AS (SELECT DISTINCT form, modified, length(form) AS c, list_transform(range(1, length(form) + 1), lambda i: form[:i - 1] || form[i + 1:]) AS less FROM f),
+near AS (SELECT a.form AS a, b.form AS b, a.modified FROM g a JOIN g b ON a.modified = b.modified AND a.form <> b.form AND abs(a.c - b.c) <= 2 WHERE levenshtein(a.form, b.form) <= 2
+  AND CASE WHEN a.c = b.c THEN 200 <= 3 * (a.c + b.c) AND list_has_any(a.less, b.less) ELSE levenshtein(a.form, b.form) = abs(a.c - b.c) AND 100 * abs(a.c - b.c) <= 3 * (a.c + b.c) END
+  AND NOT ((b.form = a.form || 's' OR a.form = b.form || 's') AND least(a.form, b.form) IN (SELECT 'recombinant human carrier ' || p_name FROM part WHERE p_name < 'l'))),
+reach(form, modified, other) AS (SELECT form, modified, form FROM g UNION SELECT r.form, r.modified, near.b FROM reach r JOIN near ON r.other = near.a AND r.modified = near.modified),
+c AS (SELECT form, modified, min(other) AS cluster FROM reach GROUP BY 1, 2), every AS (SELECT slug, n, modified, cluster FROM f JOIN c USING (form, modified)),
+best AS (SELECT modified, cluster, slug AS canonical FROM every QUALIFY row_number() OVER (PARTITION BY modified, cluster ORDER BY n DESC, slug) = 1)
+SELECT slug, n, canonical, CASE WHEN slug = canonical THEN 'keep' ELSE 'drop' END AS verdict FROM every JOIN best USING (modified, cluster)"""
+
+
 def scaffold_records(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select(F.concat(F.lit("anti-"), "p_name").alias("normalized_name"), F.col("p_brand").alias("source"), F.col("p_size").cast("string").alias("identifier"), F.lit("").alias("cas"), F.col("p_partkey").alias("ord"))
     out = mining.scaffold(rows, values(spark, [("anti-red-bolt",)], "key string"))
@@ -331,6 +363,7 @@ ENTRIES: dict[str, Entry] = {
     "grid_expand": (grid_expand, _GRID),
     "fuzzy_pairs": (fuzzy_pairs, f"WITH {_VARIANTS}, {_PAIRS} SELECT a, b, ratio FROM near WHERE a IN (SELECT name FROM v) AND b IN (SELECT name FROM v)"),
     "dedup_verdict": (dedup_verdict, _DEDUP),
+    "dedup_products": (dedup_products, _PRODUCTS),
     "scaffold_records": (scaffold_records, _SCAFFOLD),
     "events_incremental": (events_incremental, "SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events WHERE value > 10 GROUP BY 1"),
     "events_windows": (events_windows, "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n_events, round(sum(value), 2) AS total_value FROM events GROUP BY 1, 2"),
