@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 
 def ingest(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
-    """Everything in ``source`` that ``checkpoint`` hasn't seen goes through ``work`` (stateless) into ``target``; what is there now is returned."""
+    """Everything in ``source`` that ``checkpoint`` hasn't seen goes through ``work`` (without state, or with state that emits by appending) into ``target``; what is there now is returned."""
     stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(source)
     query = work(stream).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
@@ -19,11 +19,13 @@ def ingest(spark: SparkSession, source: str, schema: T.StructType, target: str,
 
 def windowed_counts(events: DataFrame, time: str = "ts", by: str = "event_type", width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Events and their values by window and kind; a stream forgets windows that its watermark has passed."""
-    rows = events.withWatermark(time, late) if events.isStreaming else events
+    rows = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late) if events.isStreaming else events
     out = rows.groupBy(F.window(time, width).alias("w"), by).agg(F.count("*").alias("n_events"), F.sum("value").alias("total_value"))
     return out.select(F.col("w.start").alias("window_start"), by, "n_events", "total_value")
 
 
 def first_seen(events: DataFrame, keys: list[str], time: str = "ts", late: str = "10 minutes") -> DataFrame:
-    """Each key once; a stream keeps keys for as long as its watermark lets late ones come."""
-    return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys) if events.isStreaming else events.dropDuplicates(keys)
+    """Each key once; a stream keeps keys for as long as its watermark lets late ones come. Times without a zone are the session's."""
+    if not events.isStreaming:
+        return events.dropDuplicates(keys)
+    return events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
