@@ -65,11 +65,15 @@ class FlagConfidence(StatefulProcessor):
             if place in counts:
                 counts[place] += by
 
+        fresh = old is None  # no source is known yet, so none is asked for: each question is a message to the state's server
         for part in rows:
-            part = next(_least(iter([part])))
+            best: dict[tuple, tuple] = {}
             for kind, ref, agrees, order, level in zip(*[part[c].tolist() for c in ("type", "ref", "agrees", "ord", "tier")], strict=True):
-                source = (kind, ref)
-                there = self.sources.getValue(source) if self.sources.containsKey(source) else None
+                seen = best.get((kind, ref))
+                if seen is None or (order, not agrees) < (seen[1], not seen[0]):
+                    best[kind, ref] = agrees, order, level
+            for source, (agrees, order, level) in best.items():
+                there = None if fresh else self.sources.getValue(source)
                 if there is not None and (there[1], not there[0]) <= (order, not agrees):
                     continue
                 if there is None:
@@ -78,6 +82,7 @@ class FlagConfidence(StatefulProcessor):
                     count(level, there[0], -1)
                 count(level, agrees, 1)
                 self.sources.updateValue(source, (agrees, order))
+            fresh = False
         now = _verdict(**counts)
         changed = now != before
         self.summary.update((*counts.values(), n, change + changed, now))
