@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from titrant.plans.ingest import ingest
 from titrant.schemas import RECORD
-from titrant.sources import documents, readers, search, sinks
+from titrant.sources import buckets, documents, readers, search, sinks
 from titrant.streaming import incremental
 
 SHEET = """Revision Date 01/02/2024 Version 6.1
@@ -182,3 +182,38 @@ def test_ingest_chain(spark):
     assert row.flags["is_corrosive"].value and row.flags["is_corrosive"].confidence == "high"
     assert row.flags["is_hygroscopic"].value and row.sds_facts.storage.startswith("Store at 2–8°C")
     assert "corrosive_add_to_water" in [r.id for r in row.rules_fired] and row.status in ("passed", "warned")
+
+
+def test_upsert_rewrites_changed_buckets_only(spark, tmp_path):
+    """1% new keys, one changed value and one new miss rewrite their buckets; what is there already rewrites none."""
+    path = tmp_path / "cache"
+    rows = {i: (None if i % 5 == 0 else f"v{i}") for i in range(3000)}
+    make = lambda d: spark.createDataFrame(list(d.items()), "key long, v string").select("v", "key")
+    files = lambda: {f.parent.name: f.name for f in path.rglob("*.parquet")}
+    assert buckets.upsert(make({}), str(path)) == [] and not path.exists()
+    buckets.upsert(make(rows), str(path), buckets=200)
+    before = files()
+    assert len(before) == 200
+    more = {**{3000 + i: f"n{i}" for i in range(30)}, 7: "other", 8: None, 5: None, 9: "v9"}  # the last two are there
+    touched = buckets.upsert(make(more), str(path))
+    after = files()
+    assert {k for k in after if after[k] != before.get(k)} == {f"{buckets.BUCKET}={b}" for b in touched} and 1 < len(touched) <= 32
+    assert {r.key: r.v for r in buckets.entries(spark, str(path)).collect()} == {**rows, **more}
+    assert buckets.entries(spark, str(path)).count() == 3030
+    assert buckets.upsert(make(more), str(path)) == [] and files() == after
+
+
+def test_upsert_of_equal_and_null_keys(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "key string, `a.b` string, bucket int")
+    path = str(tmp_path / "cache")
+    buckets.upsert(make([("x", "1", 1), ("x", None, 9), (None, "n", 0)]), path, buckets=4)
+    buckets.upsert(make([(None, None, None), ("y", "2", None), ("y", "2", 3)]), path)
+    assert sorted(map(tuple, buckets.entries(spark, path).collect()), key=str) == sorted([("x", "1", 1), (None, None, None), ("y", "2", 3)], key=str)
+
+
+def test_upsert_that_fails_leaves_the_cache(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    buckets.upsert(spark.createDataFrame([("x", "1")], "key string, v string"), path, buckets=4)
+    with pytest.raises(Exception, match="no value"):
+        buckets.upsert(spark.range(3).select(F.lit("x").alias("key"), F.raise_error(F.lit("no value")).cast("string").alias("v")), path)
+    assert [tuple(r) for r in buckets.entries(spark, path).collect()] == [("x", "1")]

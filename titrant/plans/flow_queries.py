@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import evidence, mining, rules, services
 from ..schemas import FIRST_FLAGS, FLAGS, MANIFEST, NUMERICS, PROFILE, struct
-from ..sources import documents, fetch, readers, search, sinks
+from ..sources import buckets, documents, fetch, readers, search, sinks
 from ..sources.folders import shared
 from .common import Entry, quoted, sql_values, table
 from .corpus_queries import _RANK, ranked
@@ -340,6 +340,16 @@ def cache_round_trip(spark, sf_dir):
     return spark.read.parquet(path).select("key", "v")
 
 
+def cache_upsert(spark, sf_dir):
+    """A cache of all customers, some of them misses; then what their orders say goes over it, twice."""
+    path = _folder(spark, "buckets")
+    buckets.upsert(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.expr("CASE WHEN c_acctbal > 0 THEN c_mktsegment END").alias("v")), path, buckets=32)
+    found = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.max("o_orderpriority").alias("v"))
+    buckets.upsert(found, path)
+    again = buckets.upsert(found, path)
+    return buckets.entries(spark, path).select("key", "v", F.lit(len(again)).cast("long").alias("n_again"))
+
+
 _LITERATURE = "literature"
 
 
@@ -404,6 +414,7 @@ ENTRIES: dict[str, Entry] = {
     "mirrors_round_trip": (mirrors_round_trip, "SELECT n_nationkey, n_name, CAST(3 AS BIGINT) AS n_places FROM nation"),
     "kept_snapshot": (kept_snapshot, "SELECT s_suppkey AS slug, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT doc_id FROM labels WHERE quality = 1)"),
     "cache_round_trip": (cache_round_trip, "SELECT c_custkey AS key, CASE WHEN c_custkey % 3 <> 0 THEN 'old' WHEN c_custkey % 4 <> 0 THEN c_name END AS v FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0"),
+    "cache_upsert": (cache_upsert, "WITH o AS (SELECT o_custkey AS key, max(o_orderpriority) AS v FROM orders GROUP BY 1) SELECT key, v, CAST(0 AS BIGINT) AS n_again FROM o UNION ALL SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_mktsegment END, 0 FROM customer WHERE c_custkey NOT IN (SELECT key FROM o)"),
     "search_hits": (search_hits, _SEARCH),
     "article_fetch": (article_fetch, f"SELECT 'PMC' || c_custkey AS pmcid, CASE WHEN NOT ({_FETCHED}) THEN 'miss' WHEN c_custkey % 2 = 0 THEN 'cached' ELSE 'ok' END AS status FROM customer"),
     "cache_sweep": (cache_sweep, "WITH p AS (SELECT p_partkey % 4 <> 0 AND p_partkey % 9 NOT IN (1, 2) AS ok FROM part) SELECT count_if(ok) AS n_valid, count_if(NOT ok) AS n_removed, count_if(ok) AS n_left FROM p"),
