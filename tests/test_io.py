@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from titrant.operators import lookups
 from titrant.plans.ingest import ingest
 from titrant.schemas import RECORD
 from titrant.sources import buckets, documents, readers, search, sinks
@@ -217,3 +218,18 @@ def test_upsert_that_fails_leaves_the_cache(spark, tmp_path):
     with pytest.raises(Exception, match="no value"):
         buckets.upsert(spark.range(3).select(F.lit("x").alias("key"), F.raise_error(F.lit("no value")).cast("string").alias("v")), path)
     assert [tuple(r) for r in buckets.entries(spark, path).collect()] == [("x", "1")]
+
+
+def test_existing_record_of_a_sheet(spark):
+    """By its number alone where it has one, else by its stem; a blank number is none."""
+    records = spark.createDataFrame([("50-00-0", "A"), ("goat-serum", "B"), ("12-3", "C")], "key string, name string")
+    sheets = spark.createDataFrame([(1, "50-00-0", "goat-serum"), (2, None, "goat-serum"), (3, "", "12-3"), (4, "99-99-9", "50-00-0"), (5, None, None)], "i int, cas string, stem string")
+    got = {r.i: (r.cas, r.name) for r in lookups.with_existing(sheets, records).collect()}
+    assert got == {1: ("50-00-0", "A"), 2: (None, "B"), 3: ("12-3", "C"), 4: ("99-99-9", None), 5: (None, None)}
+
+
+def test_point_lookup_fails_without_a_record(spark):
+    records = spark.createDataFrame([("x", 1), ("x", 2)], "key string, v int")
+    assert lookups.one_record(records, "key", "x").count() == 2
+    with pytest.raises(LookupError, match="'y'"):
+        lookups.one_record(records, "key", "y")

@@ -44,9 +44,18 @@ def uncached(rows: DataFrame, cache: DataFrame, first: str, second: str) -> Data
 
 
 def cached_only(rows: DataFrame, cache: DataFrame, key: str) -> DataFrame:
+    """What can be done without asking a service: rows whose key the cache has, remembered misses among them."""
     return rows.join(cache.select(F.col("key").alias(key)), key, "left_semi")
 
 
+def one_record(records: DataFrame, key: str, value: object) -> DataFrame:
+    """The records under one key, which a scan can push down; a key that none has is an error, not an empty result."""
+    found = records.filter(F.col(key) == F.lit(value))
+    if found.isEmpty():
+        raise LookupError(f"no record has {key} {value!r}")
+    return found
+
+
 def pending(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return todo.join(done.select(key), key, "left_anti")
 
@@ -80,6 +89,16 @@ def record_key(cas: Column, stem: Column) -> Column:
     return F.coalesce(blank_to_null(cas), F.when(is_cas(stem, loose=True), stem), stem)
 
 
+def with_existing(sheets: DataFrame, records: DataFrame, cas: str = "cas", stem: str = "stem", key: str = "key") -> DataFrame:
+    """Sheets with their ``cas`` (a stem that looks like one stands for a missing one) and the columns of the record that is there already.
+
+    A sheet with a number is sought under it alone, one without under its stem. Blank is missing; sheets without either find none.
+    """
+    stem_cas = F.when(is_cas(F.col(stem), loose=True), F.col(stem))
+    rows = sheets.withColumns({"__key": record_key(F.col(cas), F.col(stem)), cas: F.coalesce(blank_to_null(F.col(cas)), stem_cas)})
+    return rows.join(records.withColumnRenamed(key, "__key"), "__key", "left").drop("__key")
+
+
 def by_either_key(rows: DataFrame, side: DataFrame, first: str, second: str, key: str, value: str) -> DataFrame:
     """``value`` of the row that ``side`` has under the first key, else under the second."""
     s = lambda p: side.select(F.col(key).alias(f"{p}_k"), F.col(value).alias(f"{p}_v"), F.lit(True).alias(f"{p}_there"))

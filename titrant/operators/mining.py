@@ -191,7 +191,3 @@ def forward_fill(rows: DataFrame, keys: Sequence[str], order: Sequence[str], val
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     filled = rows.withColumn(out, F.last(value, ignorenulls=True).over(w))
     return filled if is_heading is None else filled.filter(~is_heading)
-
-
-def equal_columns(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    return all_of([x.eqNullSafe(y) for x, y in zip(a, b, strict=True)])

@@ -160,7 +160,34 @@ _DIFF = """WITH e AS (SELECT DISTINCT user_id, event_type, dayofyear(ts) % 2 = 0
 a AS (SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS v FROM (SELECT * FROM n EXCEPT SELECT * FROM o) GROUP BY 1), r AS (SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS v FROM (SELECT * FROM o EXCEPT SELECT * FROM n) GROUP BY 1)
 SELECT user_id, coalesce(a.v, '') AS added, coalesce(r.v, '') AS removed FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN a USING (user_id) LEFT JOIN r USING (user_id)"""
 
+def existing_records(spark, sf_dir):
+    """Sheets of all parts against records of all suppliers, under registry numbers, stems that look like them, and names."""
+    sheets = table(spark, sf_dir, "part").select("p_partkey", F.expr("CASE p_partkey % 3 WHEN 0 THEN concat(p_size, '-1') WHEN 1 THEN '' END").alias("cas"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN concat(p_size, '-1-2') ELSE concat('supplier-', p_size) END").alias("stem"))
+    records = table(spark, sf_dir, "supplier").select(F.expr("CASE s_suppkey % 3 WHEN 0 THEN concat(s_suppkey, '-1') WHEN 1 THEN concat(s_suppkey, '-1-2') ELSE concat('supplier-', s_suppkey) END").alias("key"), F.col("s_name").alias("existing"))
+    return lookups.with_existing(sheets, records).select("p_partkey", "cas", "existing")
+
+
+_EXISTING = """WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_size || '-1' END AS cas, CASE WHEN p_partkey % 2 = 0 THEN p_size || '-1-2' ELSE 'supplier-' || p_size END AS stem FROM part),
+r AS (SELECT s_suppkey || CASE s_suppkey % 3 WHEN 0 THEN '-1' ELSE '-1-2' END AS k, s_name FROM supplier WHERE s_suppkey % 3 < 2 UNION ALL SELECT 'supplier-' || s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 = 2)
+SELECT p_partkey, coalesce(cas, CASE WHEN regexp_full_match(stem, '[0-9]+(-[0-9]+){1,2}') THEN stem END) AS cas, s_name AS existing FROM s LEFT JOIN r ON coalesce(cas, stem) = k"""
+
+
+def cache_only(spark, sf_dir):
+    """Customers as far as a cache of what their orders say knows them; a customer whose orders are all open is a remembered miss."""
+    cache = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.max(F.when(F.col("o_orderstatus") != "O", F.col("o_orderpriority"))).alias("hit"))
+    rows = lookups.cached_only(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name"), cache, "key")
+    return rows.join(cache, "key", "left").select("key", "c_name", "hit")
+
+
+def point_lookup(spark, sf_dir):
+    """One supplier by its name."""
+    return lookups.one_record(table(spark, sf_dir, "supplier"), "s_name", "Supplier#000000001").select("s_suppkey", "s_name", "s_nationkey")
+
+
 ENTRIES: dict[str, Entry] = {
+    "existing_records": (existing_records, _EXISTING),
+    "cache_only": (cache_only, "SELECT c_custkey AS key, any_value(c_name) AS c_name, max(CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END) AS hit FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1"),
+    "point_lookup": (point_lookup, "SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_name = 'Supplier#000000001'"),
     "left_lookup_na_key": (left_lookup_na_key, _NA),
     "crosswalk_two_keys": (crosswalk_two_keys, f"{_CROSS} SELECT p_partkey, cas, cas_method FROM x"),
     "crosswalk_coverage": (crosswalk_coverage, f"{_CROSS} SELECT count(*) AS total, count(cas) AS resolved, CAST(count_if(cas_method = 'not_queried') AS BIGINT) AS not_queried, CAST(count_if(cas IS NULL AND cas_method <> 'not_queried') AS BIGINT) AS still_null FROM x"),
