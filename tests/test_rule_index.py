@@ -74,3 +74,23 @@ def test_thousands_of_rules_are_one_pass(spark):
 def test_a_shared_test_is_evaluated_once():
     index = rule_index.RuleIndex([rules.Rule(str(i), {"kind": "a", "size": {"gt": i % 3}}) for i in range(1000)], {"kind": "string", "size": "double"})
     assert len(index.postings["kind", "eq"].literals) == 1 and len(index.postings["size", "gt"].literals) == 3
+
+
+@pytest.mark.parametrize("name", ["rules_by_the_thousand"])
+def test_rows_that_are_much_work_are_spread(spark, tmp_path, name):
+    """One small file is one split; its rows go to as many tasks as their number asks for, whatever is done with each."""
+    from titrant.plans.registry import QUERIES
+
+    spark.range(12_000).selectExpr("id AS p_partkey", "concat('n', id % 64) AS p_name", "'Brand#1' AS p_brand", "'ECONOMY' AS p_type", "CAST(id % 50 AS INT) AS p_size", "900.0D AS p_retailprice").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    frame = QUERIES[name](spark, str(tmp_path))
+    assert frame.rdd.getNumPartitions() >= 3 and frame.select("p_partkey").distinct().count() == 12_000
+
+
+def test_many_counters_and_few_give_the_same(spark):
+    """Values that share their counters, values that have few, null ones, and confidences that nobody knows: as expressions fire them."""
+    made = [rules.Rule(str(i), {"size": {"gte": i % 7, "lt": i % 7 + 3}, **({"kind": {"ne": "ab"[i % 2]}} if i % 3 else {"kind": "c"})}, {f"g.p{i % 4}": i, f"h.p{i % 3}": i}) for i in range(60)]
+    rows = [(i, i % 11 if i % 5 else None, "abcd"[i % 4] if i % 6 else None, ("low", "medium", "high", None, "odd")[i % 5]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "id long, size int, kind string, sure string")
+    by = [apply(frame, made, lambda p: F.col(p), lambda p: F.col("sure") if p == "kind" else F.lit(None)).select("id", F.to_json("rules_fired"), F.to_json("profile")) for apply in (rules.apply_rules, rule_index.apply_indexed)]
+    one, other = ({tuple(r) for r in d.collect()} for d in by)
+    assert one == other and len(one) == 300

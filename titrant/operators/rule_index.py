@@ -15,7 +15,6 @@ Properties are booleans, numbers (compared as doubles) or strings; a literal mus
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -30,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .rules import OPERATORS, RANKS, Lookup, Rule, literal
 
 #: So many counters (records x rules) a task holds at a time.
-CELLS = 1 << 22
+CELLS = 1 << 20
 KINDS = {"boolean": bool, "double": (int, float), "string": str}
 FIRED = T.ArrayType(
     T.StructType([T.StructField("ord", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in ("id", "because", "cite", "confidence")], T.StructField("field_consensus", T.BooleanType())]), False
@@ -94,10 +93,18 @@ class RuleIndex:
         self.postings = {key: Postings.of(pairs, "double" if key[1] in ("there", "never") else kinds[key[0]]) for key, pairs in found.items()}
         self.properties = list(kinds)
         at = {p: k for k, p in enumerate(self.properties)}
-        self.of_rule = [np.array([at[p] for p in r.when], np.int64) for r in rules]
-        self.ids, self.because, self.cites = [r.id for r in rules], [r.because for r in rules], [r.cite for r in rules]
-        self.consensus = [r.field_consensus for r in rules]
-        self.then = [{k: literal(v) for k, v in r.then.items()} for r in rules]
+        # a row for each rule, filled up with a property that no record has
+        self.of_rule = np.full((len(rules), max((len(r.when) for r in rules), default=0) + 1), len(at), np.int64)
+        for i, r in enumerate(rules):
+            self.of_rule[i, : len(r.when)] = [at[p] for p in r.when]
+        self.ids, self.because, self.cites = ([getattr(r, c) for r in rules] for c in ("id", "because", "cite"))
+        self.consensus = np.array([r.field_consensus for r in rules], bool)
+        # what all rules write, one after the other: rule i the places starts[i]:starts[i + 1]
+        writes = [(k, literal(v)) for r in rules for k, v in r.then.items()]
+        self.paths = sorted({k for k, _ in writes})
+        place = {k: i for i, k in enumerate(self.paths)}
+        self.starts = np.concatenate([[0], np.cumsum([len(r.then) for r in rules], dtype=np.int64)])
+        self.path_of, self.written = np.array([place[k] for k, _ in writes], np.int64), [v for _, v in writes]
 
     def fired(self, values: dict[str, tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
         """Records and rules that fire, in order, from each property's values and which of them are there."""
@@ -118,20 +125,45 @@ class RuleIndex:
             else:
                 ranges = [(post.starts[post.ranks(value, "right" if op == "lt" else "left")], full, 1)]
             for first, last, sign in ranges:
-                place, owner = _spread(first, last)
                 # a rule has one literal for a property and an operator, so no counter is met twice here
-                counts[rows[owner] * width + post.rules[place]] += np.int16(sign)
-        return np.nonzero(counts.reshape(n, width) == self.needed)
-
-    @functools.lru_cache(4096)  # noqa: B019  one index a task
-    def profile(self, ords: tuple[int, ...]) -> list[tuple[str, str]]:
-        """Directives of fired rules, later ones over earlier ones; a path that is written again moves behind the others."""
-        out: dict[str, str] = {}
-        for i in ords:
-            for k, v in self.then[i].items():
-                out.pop(k, None)
-                out[k] = v
-        return list(out.items())
+                if 8 * (last - first).sum() < n * width:
+                    place, owner = _spread(first, last)
+                    counts[rows[owner] * width + post.rules[place]] += np.int16(sign)
+                    continue
+                # many counters: values between the same literals have the same ones, which are then found once
+                kinds, alike = np.unique(first * (len(post.rules) + 1) + last, return_inverse=True)
+                place, owner = _spread(kinds // (len(post.rules) + 1), kinds % (len(post.rules) + 1))
+                block = np.zeros((len(kinds), width), np.int16)
+                block[owner, post.rules[place]] = sign
+                table = counts.reshape(n, width)
+                if len(rows) == n:
+                    table += block[alike]
+                else:
+                    table[rows] += block[alike]
+        return np.divmod(np.flatnonzero(counts.reshape(n, width) == self.needed.astype(np.int16)), max(1, width))
+
+    def profiles(self, rows: np.ndarray, ords: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where each record's directives begin, and their places among all that rules write: later ones over earlier ones; a path that is written again moves behind the others."""
+        place, owner = _spread(self.starts[ords], self.starts[ords + 1])
+        row = rows[owner]
+        _, last = np.unique((row * len(self.paths) + self.path_of[place])[::-1], return_index=True)
+        kept = np.sort(len(place) - 1 - last)
+        return np.searchsorted(row[kept], np.arange(n + 1)), place[kept]
+
+    def confidences(self, told: Sequence[pa.Array], rows: np.ndarray, ords: np.ndarray, n: int) -> pa.Array:
+        """The first of the least confidences of each fired rule's properties; a property without any counts as high."""
+        words, codes = ["high"], np.zeros((n, len(self.properties) + 1), np.int64)
+        for k, column in enumerate(told):
+            coded = column.dictionary_encode()
+            codes[:, k] = pc.fill_null(pc.add(coded.indices.cast(pa.int64()), len(words)), 0).to_numpy(zero_copy_only=False)
+            words += coded.dictionary.to_pylist()
+        ranks = np.array([RANKS.get(w, 0) for w in words])
+        each = codes[rows[:, None], self.of_rule[ords]]
+        rank = ranks[each]
+        least = rank.argmin(1)[:, None] if len(each) else np.zeros((0, 1), np.int64)
+        # what ranks as high is said as high
+        got = np.where(np.take_along_axis(rank, least, 1) < RANKS["high"], np.take_along_axis(each, least, 1), 0)[:, 0]
+        return pa.array(words, pa.string()).take(pa.array(got))
 
 
 def _values(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -169,29 +201,23 @@ def apply_indexed(records: DataFrame, rules: Sequence[Rule], value: Lookup, conf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: RuleIndex = held.value
+        texts = [pa.array(t, pa.string()) for t in (index.ids, index.because, index.cites)]
+        paths, written = pa.array(index.paths, pa.string()), pa.array(index.written, pa.string())
         for whole in batches:
             for lo in range(0, whole.num_rows, step):
                 batch = whole.slice(lo, step)
                 n = batch.num_rows
                 values = {p: _values(batch.column(1 + k), kinds[p]) for k, p in enumerate(names)}
-                told = [batch.column(1 + len(names) + k).to_pylist() for k in range(len(names))]
+                told = [batch.column(1 + len(names) + k) for k in range(len(names))]
                 rows, ords = index.fired(values, n)
                 given = np.searchsorted(rows, np.arange(n + 1))
-                worst = []
-                for r, o in zip(rows.tolist(), ords.tolist(), strict=True):
-                    best = "high"
-                    for k in index.of_rule[o].tolist():
-                        c = told[k][r]
-                        if c is not None and RANKS.get(c, 0) < RANKS.get(best, 0):
-                            best = c
-                    worst.append(best)
-                at = ords.tolist()
-                profiles = [index.profile(tuple(at[given[i] : given[i + 1]])) for i in range(n)]
-                fields = [pa.array(at, pa.int32()), *[pa.array([table[o] for o in at], pa.string()) for table in (index.ids, index.because, index.cites)], pa.array(worst, pa.string()), pa.array([index.consensus[o] for o in at], pa.bool_())]
+                begin, place = index.profiles(rows, ords, n)
+                profiles = pa.MapArray.from_arrays(pa.array(begin, pa.int32()), paths.take(pa.array(index.path_of[place])), written.take(pa.array(place)))
+                fields = [pa.array(ords, pa.int32()), *[t.take(pa.array(ords)) for t in texts], index.confidences(told, rows, ords, n), pa.array(index.consensus[ords])]
                 kind = arrow.field("rules_fired").type
                 fired = pa.ListArray.from_arrays(pa.array(given, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(kind.value_type)))
                 mine = batch.column(0)
-                columns = [*(mine.flatten() if own else []), fired, pa.array(profiles, arrow.field("profile").type), pa.array([[]] * n, arrow.field("conflicts").type)]
+                columns = [*(mine.flatten() if own else []), fired, profiles, pa.array([[]] * n, arrow.field("conflicts").type)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     return source.mapInArrow(run, schema)

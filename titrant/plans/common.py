@@ -9,12 +9,20 @@ from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 Entry = tuple[Query, str | None]
+#: So many rows a task gets, about, where each row is much work.
+PER_TASK = 5_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a table dealt over tasks by their number: a file of few bytes is few splits, however much work each of its rows is."""
+    tasks = -(-df.count() // PER_TASK)
+    return df.repartition(tasks, key) if tasks > 1 else df
+
+
 def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A literal table, the same on both sides of a comparison."""
     return spark.createDataFrame(rows, schema)

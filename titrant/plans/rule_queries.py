@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evidence, rule_index, rules
 from ..schemas import FLAGS
-from .common import Entry, quoted, sql_values, table
+from .common import Entry, quoted, spread, sql_values, table
 from .ingest import standard_rules, standard_summaries
 
 NUMBERS = {"glycerol_pct": "p_size * 1.5", "vapor_pressure_kPa_20C": "(p_partkey % 13) * 0.75", "freeze_point_C": "(p_partkey % 29) - 5.0"}
@@ -35,7 +35,7 @@ def _confidence_of(name: str) -> str:
 
 
 def applied(spark, sf_dir) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    parts = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), "p_partkey")
     return rule_index.apply_indexed(parts, standard_rules(), lambda p: F.expr(property_sql(p)), lambda p: F.expr(_confidence_of(p)))
 
 
@@ -113,7 +113,7 @@ def many_rules(n: int = MANY) -> list[rules.Rule]:
 
 
 def rules_by_the_thousand(spark, sf_dir):
-    a = rule_index.apply_indexed(table(spark, sf_dir, "part"), many_rules(), lambda p: F.expr(_MANY_VALUES[p]), lambda p: F.expr(_MANY_CONFIDENCE.get(p, "CAST(NULL AS STRING)")))
+    a = rule_index.apply_indexed(spread(table(spark, sf_dir, "part"), "p_partkey"), many_rules(), lambda p: F.expr(_MANY_VALUES[p]), lambda p: F.expr(_MANY_CONFIDENCE.get(p, "CAST(NULL AS STRING)")))
     many = lambda c: F.size(F.filter("rules_fired", lambda r: r["confidence"] == c)).cast("long")
     paths = F.array_sort(F.transform(F.map_entries("profile"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
     return a.select(
