@@ -23,15 +23,13 @@ def shipped_evidence(spark, sf_dir: str):
 
 def evidence_incremental(spark, sf_dir):
     """Evidence in two increments, the second of which has rows that come before ones of the first; then a run without anything new."""
-    for name, value in fusion.PROVIDER.items():
-        spark.conf.set(name, value)
     folder = f"{shared(spark)}/evidence-{uuid.uuid4().hex}"
     rows = shipped_evidence(spark, sf_dir)
     changes = None
     for part in ("part <> 1", "part = 1", None):
         if part is not None:
             rows.filter(part).drop("part").write.mode("append").parquet(f"{folder}/in")
-        changes = incremental.ingest(spark, f"{folder}/in", rows.drop("part").schema, f"{folder}/out", f"{folder}/state", fusion.confidence_changes)
+        changes = incremental.ingest(spark, f"{folder}/in", rows.drop("part").schema, f"{folder}/out", f"{folder}/state", fusion.Increments())
     return fusion.current(changes)
 
 

@@ -3,15 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def ingest(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
-    """Everything in ``source`` that ``checkpoint`` hasn't seen goes through ``work`` (without state, or with state that emits by appending) into ``target``; what is there now is returned."""
+class Batches(Protocol):
+    """Work on whole increments by number, which writes its rows to folders ``increment=<number>`` of the target; repeated with a number, it replaces what it wrote for it."""
+
+    schema: str
+
+    def __call__(self, spark: SparkSession, rows: DataFrame, number: int, target: str, kept: str) -> None: ...
+
+
+def ingest(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] | Batches, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
+    """Everything in ``source`` that ``checkpoint`` hasn't seen goes through ``work`` (without state, or with state that emits by appending; or with increments taken whole) into ``target``; what is there now is returned."""
     stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(source)
+    if hasattr(work, "schema"):
+        # in the caller's session: the stream's own has no adaptive plans
+        query = stream.writeStream.foreachBatch(lambda rows, number: work(spark, rows, number, target, f"{checkpoint}-kept")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        try:
+            return spark.read.schema(f"{work.schema}, increment int").parquet(target).drop("increment")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], work.schema)  # nothing has come yet
     query = work(stream).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.parquet(target)
