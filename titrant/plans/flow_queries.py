@@ -14,7 +14,7 @@ from ..operators import evidence, mining, rules, services
 from ..schemas import FIRST_FLAGS, FLAGS, MANIFEST, NUMERICS, PROFILE, struct
 from ..sources import buckets, documents, fetch, readers, search, sinks
 from ..sources.folders import shared
-from .common import Entry, quoted, sql_values, table
+from .common import Entry, quoted, spread, sql_values, table
 from .corpus_queries import _RANK, ranked
 from .ingest import handling_profiles, standard_rules
 from .rule_queries import _STATUS, NUMBERS, TEXTS, _manifest_sql, applied, confidence_sql, fired_sql, flag_sql, manifest_index, supplier_records
@@ -54,7 +54,7 @@ def _flags(**each: str) -> F.Column:
 def typed_rules(spark, sf_dir):
     """The standard rules over typed records: flat columns, numbers and sourced flags."""
     numbers = F.struct(*[F.expr(f"CAST({NUMBERS.get(n, 'NULL')} AS DOUBLE)").alias(n) for n in NUMERICS], F.expr(TEXTS["viscosity_class"]).alias("viscosity_class"), F.lit(None).cast("int").alias("freeze_thaw_max_cycles"))
-    records = table(spark, sf_dir, "part").select(P, F.expr(TEXTS["physical_state"]).alias("physical_state"), numbers.alias("numerics"), _flags(**{f: _flag(flag_sql(i), confidence_sql(i)) for i, f in enumerate(FLAGS)}))
+    records = spread(table(spark, sf_dir, "part"), P).select(P, F.expr(TEXTS["physical_state"]).alias("physical_state"), numbers.alias("numerics"), _flags(**{f: _flag(flag_sql(i), confidence_sql(i)) for i, f in enumerate(FLAGS)}))
     return rules.fired_long(handling_profiles(records), P).select(P, "ord", "id", "confidence", "field_consensus")
 
 
