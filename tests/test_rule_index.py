@@ -76,7 +76,7 @@ def test_a_shared_test_is_evaluated_once():
     assert len(index.postings["kind", "eq"].literals) == 1 and len(index.postings["size", "gt"].literals) == 3
 
 
-@pytest.mark.parametrize("name", ["rules_by_the_thousand", "typed_rules"])
+@pytest.mark.parametrize("name", ["rules_by_the_thousand", "typed_rules", "migrate_flags"])
 def test_rows_that_are_much_work_are_spread(spark, tmp_path, name):
     """One small file is one split; its rows go to as many tasks as their number asks for, whatever is done with each."""
     from titrant.plans.registry import QUERIES

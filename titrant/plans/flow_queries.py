@@ -115,7 +115,7 @@ def notes_write_back(spark, sf_dir):
 def migrate_flags(spark, sf_dir):
     """Two flags of the first version, and one that it had no place for."""
     bare = F.expr(f"map('is_protein', {flag_sql(0)}, 'is_volatile', {flag_sql(1)}, 'is_serum', true)")
-    out = table(spark, sf_dir, "part").select(P, F.explode(evidence.migrate(bare)).alias("flag", "f"))
+    out = spread(table(spark, sf_dir, "part"), P).select(P, F.explode(evidence.migrate(bare)).alias("flag", "f"))
     return out.select(P, "flag", "f.value", "f.confidence", F.get("f.sources", F.lit(0))["ref"].alias("ref"), F.size("f.sources").alias("n_sources"))
 
 
