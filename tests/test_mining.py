@@ -203,3 +203,13 @@ def test_rows_come_one_by_one(spark):
 def test_named_tables():
     root = tables.ET.fromstring("<a><sec><title>Key Resources Table</title><x><table-wrap id='1'><label>T</label></table-wrap></x></sec><table-wrap id='2'><caption><p>the key resource table</p></caption></table-wrap><table-wrap id='3'/><table-wrap id='4'><b><label>key resources table</label></b></table-wrap></a>")
     assert [(t.get("id"), w) for t, w in tables.key_tables(root)] == [("1", "section"), ("2", "caption"), ("4", "label")]
+
+
+def test_ranked_rows_lie_in_tasks_of_a_bounded_size(spark, monkeypatch):
+    """However few bytes a shuffle has, its rows are dealt by their number."""
+    from titrant.plans import corpus_queries
+
+    monkeypatch.setattr(corpus_queries, "HELD", 200, raising=False)
+    rows = corpus_queries.name_rows(spark, "/root/testdata/sf0.001")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert rows.count() == lines and rows.rdd.getNumPartitions() == -(-lines // 200)

@@ -11,15 +11,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 Entry = tuple[Query, str | None]
 #: So many rows a task gets, about, where each row is much work.
 PER_TASK = 5_000
+#: So many rows, where a task keeps them for a sort or an aggregation.
+HELD = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a table dealt over tasks by their number: a file of few bytes is few splits, however much work each of its rows is."""
-    tasks = -(-df.count() // PER_TASK)
+def spread(df: DataFrame, key: str, per_task: int = PER_TASK, like: DataFrame | None = None) -> DataFrame:
+    """Rows dealt over tasks by their number: a file of few bytes is few splits, and a shuffle of few bytes few tasks, however much work or memory each row is.
+
+    ``like``: a table with as many rows, where counting those of ``df`` is more than counting a table's.
+    """
+    tasks = -(-(df if like is None else like).count() // per_task)
     return df.repartition(tasks, key) if tasks > 1 else df
 
 

@@ -15,14 +15,16 @@ from ..functions import classify, sheet, text
 from ..operators import fuzzy, mining, rules, tables
 from ..sources.folders import shared
 from ..streaming import incremental
-from .common import Entry, quoted, sql_values, table, times, values
+from .common import HELD, Entry, quoted, spread, sql_values, table, times, values
 
 
 def name_rows(spark, sf_dir) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").cast("string").alias("year"))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), text.normalize_name(F.concat(F.upper("p_name"), F.lit("  ("), F.col("p_type"), F.lit(")")), True).alias("name"))  # once a part, not once a line
-    return lines.join(orders, "l_orderkey").join(parts, "l_partkey").select(F.col("l_orderkey").alias("paper"), "year", "name")
+    # by paper from here on: what is counted of papers stays where it is, in tasks of a bounded size
+    named = spread(lines.join(parts, "l_partkey"), "l_orderkey", HELD, lines)
+    return named.join(orders, "l_orderkey").select(F.col("l_orderkey").alias("paper"), "year", "name")
 
 
 def ranked(spark, sf_dir, **options) -> DataFrame:
