@@ -76,12 +76,12 @@ def test_a_shared_test_is_evaluated_once():
     assert len(index.postings["kind", "eq"].literals) == 1 and len(index.postings["size", "gt"].literals) == 3
 
 
-@pytest.mark.parametrize("name", ["rules_by_the_thousand", "typed_rules", "migrate_flags"])
+@pytest.mark.parametrize("name", ["rules_by_the_thousand", "typed_rules", "migrate_flags", "protein_names"])
 def test_rows_that_are_much_work_are_spread(spark, tmp_path, name):
     """One small file is one split; its rows go to as many tasks as their number asks for, whatever is done with each."""
     from titrant.plans.registry import QUERIES
 
-    spark.range(12_000).selectExpr("id AS p_partkey", "concat('n', id % 64) AS p_name", "'Brand#1' AS p_brand", "'ECONOMY' AS p_type", "CAST(id % 50 AS INT) AS p_size", "900.0D AS p_retailprice").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(12_000).selectExpr("id AS p_partkey", "concat('n m', id % 64) AS p_name", "'Brand#1' AS p_brand", "'ECONOMY' AS p_type", "CAST(id % 50 AS INT) AS p_size", "900.0D AS p_retailprice").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     frame = QUERIES[name](spark, str(tmp_path))
     assert frame.rdd.getNumPartitions() >= 3
     keys = frame.select("p_partkey").distinct().count()

@@ -171,7 +171,7 @@ concat_ws('|', CASE p_partkey % 4 WHEN 1 THEN 'HEAT it ' WHEN 3 THEN 'Lasts ab'
 def protein_names(spark, sf_dir):
     """The searches for a protein of three kinds of names, in order."""
     name = F.expr(f"CASE {P} % 3 WHEN 0 THEN concat('Recombinant Human ', split(p_name, ' ')[1], '-α', p_size) WHEN 1 THEN concat('his-tagged  ', p_name, ' protein factor (biotinylated)') ELSE p_name END")
-    out = table(spark, sf_dir, "part").select(P, text.clean_protein_name(name).alias("clean"), F.posexplode(text.protein_queries(name)).alias("place", "q"))
+    out = spread(table(spark, sf_dir, "part"), P).select(P, text.clean_protein_name(name).alias("clean"), F.posexplode(text.protein_queries(name)).alias("place", "q"))
     return out.select(P, "clean", "place", "q.label", "q.query")
 
 
