@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import re
 import time
 from difflib import SequenceMatcher
 from pathlib import Path
@@ -83,6 +84,37 @@ def test_merge_forms(spark):
     assert {r.form for r in mining.merge_forms(names.filter("k = 2"), "label", vendors.limit(0), synonyms.limit(0)).collect()} == {"acme tris"}
 
 
+def test_forms_are_those_of_the_longest_vendor(spark):
+    """Beginnings that many names share, vendors of several words, any white space: as one by one."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("ab\u00e9") for _ in range(rng.randrange(1, 3)))
+    gap = lambda: rng.choice([" ", " ", "  ", "\t", "\u00a0"])
+    label = lambda n: "".join(word() + gap() for _ in range(n))
+    names = sorted({label(rng.randrange(1, 6)) + rng.choice(["", "a", "solution"]) for _ in range(300)})
+    vendors = [label(rng.randrange(1, 4)).upper() for _ in range(40)]
+
+    def form(name):
+        low = name.lower().strip()
+        cut = max((len(v) for v in (x.lower().strip() for x in vendors) if low.startswith(v) and low[len(v) : len(v) + 1].isspace()), default=0)
+        return re.sub(r"(?a:\s)+solution$", "", low[cut:].strip()).strip()
+
+    got = mining.merge_forms(spark.createDataFrame([(n,) for n in names], "name string"), vendors=spark.createDataFrame([(v,) for v in vendors], "vendor string"), synonyms=spark.createDataFrame([], "alias string, name string"))
+    assert {r.name: r.form for r in got.collect()} == {n: form(n) for n in names}
+
+
+def test_names_are_counted_once(spark):
+    """What the names are made of is read once, however many steps need them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def made(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    names = spark.range(200).selectExpr("concat('fbs ', id % 40, ' of ', id) AS name", "id AS n").mapInArrow(made, "name string, n long")
+    assert mining.duplicates(names).count() == 200 and seen.value == 200
+
+
 def test_clusters(spark):
     pairs = [(i, i + 1) for i in range(30)] + [(100, 200), (200, 150)]
     got = {r.node: r.cluster for r in clusters(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()}

@@ -14,6 +14,7 @@ from ..functions.classify import reagent_class
 from ..functions.first_match import all_of
 from ..functions.text import normalize_name, slugify, strip, title_case
 from ..schemas import FLAGS
+from ..sources.folders import written
 from . import fuzzy
 from .evidence import placeholder
 from .graph import clusters
@@ -115,10 +116,12 @@ def _fixed(names: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 def merge_forms(names: DataFrame, name: str = "name", vendors: DataFrame | None = None, synonyms: DataFrame | None = None) -> DataFrame:
     """``names`` with ``form``, under which duplicates meet: no vendor before it, one name of several, no "solution" after it.
 
-    ``vendors``: ``vendor``; ``synonyms``: ``alias, name``; the package's own lists unless given. A name's beginnings, as
-    far as the longest vendor goes, meet vendors in an equi-join, and the longest one found is cut off, so the lists may be
-    of any length. Of an alias with several names the least counts. Null and blank vendors and aliases match nothing; the
-    form of a null name is null. Names and lists are compared in lower case, without white space around them.
+    ``vendors``: ``vendor``; ``synonyms``: ``alias, name``; the package's own lists unless given. Of a name only its first
+    words, as far as the longest vendor goes, decide what is cut off; these beginnings, each once however many names have it,
+    meet vendors in an equi-join, and the longest vendor found is cut off, so the lists may be of any length. What is cut and
+    the aliases are written, so that names are shuffled for neither if it is small. Of an alias with several names the least
+    counts. Null and blank vendors and aliases match nothing; the form of a null name is null. Names and lists are compared
+    in lower case, without white space around them. ``names`` is read twice.
     """
     data = names_data()
     vendors = _fixed(names, [(v,) for v in data["vendors"]], "vendor string") if vendors is None else vendors
@@ -126,33 +129,40 @@ def merge_forms(names: DataFrame, name: str = "name", vendors: DataFrame | None
     clean = lambda c: strip(F.lower(c))
     known = vendors.select(clean(F.col("vendor")).alias("start")).filter("start <> ''").distinct()
     longest = known.agg(F.coalesce(F.max(F.length("start")), F.lit(0))).first()[0]
-    low = names.select(F.col(name).alias("__name"), clean(F.col(name)).alias("__low")).distinct()
-    ends = F.filter(F.sequence(F.lit(1), F.least(F.length("__low"), F.lit(longest + 1))), lambda i: F.substr(F.col("__low"), i + 1, F.lit(1)).rlike(r"(?U)\A\s\z"))
-    starts = low.select("__low").filter("__low <> ''").distinct().select("__low", F.explode(F.transform(ends, lambda i: F.substr(F.col("__low"), F.lit(1), i))).alias("start"))
-    cuts = starts.join(known, "start").groupBy("__low").agg(F.max(F.length("start")).alias("cut"))
-    one = synonyms.select(clean(F.col("alias")).alias("__bare"), clean(F.col("name")).alias("known")).filter("__bare <> ''").groupBy("__bare").agg(F.min("known").alias("known"))
-    bare = low.join(cuts, "__low", "left").withColumn("__bare", strip(F.substr(F.col("__low"), F.coalesce(F.col("cut"), F.lit(0)) + 1)))
-    found = bare.join(one, "__bare", "left").select("__name", strip(F.regexp_replace(F.coalesce("known", "__bare"), r"(?i)\s+(?:solution|reagent)$", "")).alias("form"))
-    return names.join(found, names[name] == found["__name"], "left").drop("__name")
+    low = clean(F.col(name))
+    headed = names.withColumn("__head", F.regexp_extract(F.substr(low, F.lit(1), F.lit(longest + 1)), r"(?Us)\A(.*)\s", 1))
+    ends = F.filter(F.sequence(F.lit(1), F.length("__head")), lambda i: F.substr(F.col("__head"), i + 1, F.lit(1)).rlike(r"(?U)\A\s?\z"))
+    starts = headed.select("__head").filter("__head <> ''").distinct().select("__head", F.explode(F.transform(ends, lambda i: F.substr(F.col("__head"), F.lit(1), i))).alias("start"))
+    cuts = written(starts.join(known, "start").groupBy("__head").agg(F.max(F.length("start")).alias("__cut")), "cuts")
+    one = synonyms.select(clean(F.col("alias")).alias("__bare"), clean(F.col("name")).alias("__known")).filter("__bare <> ''").groupBy("__bare").agg(F.min("__known").alias("__known"))
+    bare = headed.join(cuts, "__head", "left").withColumn("__bare", strip(F.substr(low, F.coalesce(F.col("__cut"), F.lit(0)) + 1)))
+    found = bare.join(written(one, "aliases"), "__bare", "left")
+    return found.select(*names.columns, strip(F.regexp_replace(F.coalesce("__known", "__bare"), r"(?i)\s+(?:solution|reagent)$", "")).alias("form"))
 
 
 def duplicates(names: DataFrame, name: str = "name", n: str = "n", threshold: float = fuzzy.THRESHOLD, corrected_modifiers: bool = False, vendors: DataFrame | None = None, synonyms: DataFrame | None = None, never_merge: DataFrame | None = None) -> DataFrame:
     """``slug, name, n, cluster, canonical, verdict`` (keep or drop). ``vendors``, ``synonyms``: as in ``merge_forms``; ``never_merge``: ``a, b``, pairs of forms.
 
     Names of one form and modifier are one group; groups whose forms are similar enough and not forbidden are merged. Of
-    each cluster the name with the greatest count stays, the first slug on ties.
+    each cluster the name with the greatest count stays, the first slug on ties. Names are counted once and their forms made
+    once; from there on all work is on groups, with their first name each, until verdicts go back to names.
     """
-    rows = merge_forms(names.select(F.col(name).alias("name"), F.col(n).alias("n")), "name", vendors, synonyms).withColumns({"slug": slugify(F.col("name")), "modified": has_modifier(F.col("name"), corrected_modifiers)})
+    counted = written(names.select(F.col(name).alias("name"), F.col(n).alias("n")), "names")
+    rows = written(merge_forms(counted, "name", vendors, synonyms).withColumns({"slug": slugify(F.col("name")), "modified": has_modifier(F.col("name"), corrected_modifiers)}), "forms")
+    first = lambda df, *keys: one_per_key(df.select(*keys, "n", "slug"), keys, [-F.col("n"), F.col("slug")])
+    groups = written(first(rows.filter("form IS NOT NULL"), "form", "modified"), "groups")
     never = _fixed(names, [tuple(p) for p in names_data()["never_merge"]], "a string, b string") if never_merge is None else never_merge
-    pairs = fuzzy.without_pairs(fuzzy.similar_pairs(rows.select("form").distinct(), "form", threshold), never)
+    pairs = fuzzy.without_pairs(fuzzy.similar_pairs(groups.select("form").distinct(), "form", threshold), never)
     key = lambda f: F.concat(F.when(F.col("modified"), "1").otherwise("0"), F.col(f))
-    groups = rows.select("form", "modified").distinct()
-    a = groups.withColumnsRenamed({"form": "a"}).join(pairs.select("a", "b"), "a")
-    linked = a.join(groups.withColumnsRenamed({"form": "b"}), ["b", "modified"]).select(key("a").alias("u"), key("b").alias("v"))
+    ends = groups.select("form", "modified")
+    a = ends.withColumnsRenamed({"form": "a"}).join(pairs.select("a", "b"), "a")
+    linked = a.join(ends.withColumnsRenamed({"form": "b"}), ["b", "modified"]).select(key("a").alias("u"), key("b").alias("v"))
     found = clusters(linked, "u", "v")
-    out = rows.withColumn("g", key("form")).join(found.withColumnRenamed("node", "g"), "g", "left").withColumn("cluster", F.coalesce("cluster", "g"))
-    best = one_per_key(out.select("cluster", "n", "slug"), ["cluster"], [-F.col("n"), F.col("slug")]).select("cluster", F.col("slug").alias("canonical"))
-    return out.join(best, "cluster").select("slug", "name", "n", "cluster", "canonical", F.when(F.col("slug") == F.col("canonical"), "keep").otherwise("drop").alias("verdict"))
+    placed = groups.withColumn("g", key("form")).join(found.withColumnRenamed("node", "g"), "g", "left").withColumn("cluster", F.coalesce("cluster", "g"))
+    best = first(placed, "cluster").select("cluster", F.col("slug").alias("canonical"))
+    verdicts = written(placed.select("form", "modified", "cluster").join(best, "cluster"), "verdicts")
+    out = rows.join(verdicts, ["form", "modified"])
+    return out.select("slug", "name", "n", "cluster", "canonical", F.when(F.col("slug") == F.col("canonical"), "keep").otherwise("drop").alias("verdict"))
 
 
 def with_counts(names: DataFrame, ranked: DataFrame, name: str = "name") -> DataFrame:
