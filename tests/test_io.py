@@ -132,6 +132,23 @@ def test_profiles_and_mirrors(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "a")).count() == spark.read.json(str(tmp_path / "b")).count() == 20
 
 
+def test_documents_are_read_in_batches(spark, tmp_path, monkeypatch):
+    """A folder's documents come as Arrow batches that end behind so many rows or bytes; what isn't UTF-8 fails."""
+    path = str(tmp_path / "d")
+    documents.write_documents(spark.range(25).selectExpr("CAST(id AS STRING) AS key", "IF(id = 7, repeat('é', 600), concat('v', id)) AS value"), path)
+    monkeypatch.setattr(documents, "BATCH", 10)
+    monkeypatch.setattr(documents, "BATCH_BYTES", 1000)
+    reader = documents.DocumentReader(path, None)
+    [folder] = reader.partitions()
+    batches = list(reader.read(folder))
+    assert max(b.num_rows for b in batches) <= 10 and len(batches) in (3, 4)
+    assert {k: v for b in batches for k, v in zip(b["key"].to_pylist(), b["value"].to_pylist(), strict=True)} == {str(i): "é" * 600 if i == 7 else f"v{i}" for i in range(25)}
+    assert [b["key"].to_pylist() for b in documents.DocumentReader(path, ["3", "missing"]).read(folder)] == [["3"]] and not list(documents.DocumentReader(path, []).read(folder))
+    next(Path(path).glob("*/3.json")).write_bytes(b"\xff")
+    with pytest.raises(ValueError):
+        list(reader.read(folder))
+
+
 def test_a_document_for_each_key(spark, tmp_path, monkeypatch):
     """Any keys, in tasks of bounded size; read whole or by key, one index a folder."""
     monkeypatch.setattr(documents, "PER_TASK", 1000)

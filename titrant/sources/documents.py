@@ -6,8 +6,8 @@ not one a document, into a new snapshot and puts it in the place of the old one.
 goes and the old snapshot stays as it was; attempts that were lost or repeated are never moved, as only the attempts that
 report to the commit are.
 
-Reading takes the folders' indexes, one partition each, so nothing is listed document by document; with ``keys`` only the
-documents named there are opened.
+Reading takes the folders' indexes, one partition each, so nothing is listed document by document, and gives Arrow batches
+of a bounded size; with ``keys`` only the documents named there are opened.
 
 The folder may be anything that Arrow's file systems reach (local or mounted folders, HDFS, object stores). Keys are any
 strings, none null and none twice; a null document is an empty file and comes back as an empty text.
@@ -34,6 +34,8 @@ SCHEMA = "key string, value string"
 #: So many documents a task writes, about.
 PER_TASK = 10_000
 INDEX = "_keys.jsonl"
+#: So many documents a batch that is read has at most; it ends sooner behind ``BATCH_BYTES``.
+BATCH, BATCH_BYTES = 2_000, 8 << 20
 #: Longer names are cut, and told apart by a digest.
 NAME_MOST = 150
 
@@ -130,15 +132,29 @@ class DocumentReader(DataSourceReader):
         system, path = located(self.path)
         return [Folder(x.base_name) for x in system.get_file_info(fs.FileSelector(path)) if x.type == fs.FileType.Directory]
 
-    def read(self, partition: Folder) -> Iterator[tuple[str, str]]:
+    def read(self, partition: Folder) -> Iterator[pa.RecordBatch]:
         system, path = located(self.path)
         wanted = None if self.keys is None else set(self.keys)
+        keys, values, held = [], [], 0
         with system.open_input_stream(f"{path}/{partition.name}/{INDEX}") as index:
             for line in _lines(index):
                 entry = json.loads(line)
                 if wanted is None or entry["key"] in wanted:
                     with system.open_input_stream(f"{path}/{partition.name}/{entry['file']}") as document:
-                        yield entry["key"], document.readall().decode()
+                        value = document.readall()
+                    keys.append(entry["key"])
+                    values.append(value)
+                    held += len(value)
+                    if len(keys) >= BATCH or held >= BATCH_BYTES:
+                        yield _batch(keys, values)
+                        keys, values, held = [], [], 0
+        if keys:
+            yield _batch(keys, values)
+
+
+def _batch(keys: list[str], values: list[bytes]) -> pa.RecordBatch:
+    # the cast fails on what isn't UTF-8
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.binary()).cast(pa.string())], ["key", "value"])
 
 
 def _lines(stream: pa.NativeFile) -> Iterator[bytes]:
